@@ -1,0 +1 @@
+"""Every program rebuilt here is a batch job, so there are no streaming operators."""
