@@ -47,7 +47,7 @@ class Tables:
     @property
     def texts(self) -> DataFrame:
         """Every review with its plain cleaned text, `review_id, overall, text`."""
-        return reviews.clean_text(self.reviews).select(
+        return reviews.clean_text(self.reviews, variants=("plain",)).select(
             "review_id", "overall", F.col(VARIANTS["plain"]).alias("text")
         )
 
@@ -66,7 +66,7 @@ class Tables:
     @property
     def classes(self) -> DataFrame:
         """Multi-word reviews of the two classes, plain text."""
-        cleaned = prepare.cleaned_classes(self.reviews)
+        cleaned = prepare.cleaned_classes(self.reviews, ("plain",))
         return reviews.multiword_filter(
             cleaned.select("review_id", "overall", F.col(VARIANTS["plain"]).alias("text")), "text"
         )
@@ -230,9 +230,8 @@ def lowercase_text(t: Tables) -> DataFrame:
 
 @query
 def tokenize_strip(t: Tables) -> DataFrame:
-    return t.words.select("review_id", F.explode("words").alias("word")).groupBy(
-        "review_id", "word"
-    ).agg(F.count(F.lit(1)).alias("n"))
+    words = reviews.explode_rows(t.words.select("review_id", "words"), "words", "word")
+    return words.groupBy("review_id", "word").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query

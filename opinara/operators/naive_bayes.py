@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from opinara.functions import text as fn
 from opinara.operators.joins import keyed_lookup
 from opinara.operators.reviews import NEGATIVE, POSITIVE
+from opinara.operators.word_stats import unpack_bags
 
 # How often a token counts in a score, as (non-empty, empty) weights. The
 # reference behaviour counts non-empty tokens twice and empty ones once.
@@ -62,7 +63,8 @@ def word_probabilities(word_counts: DataFrame, statistics: DataFrame) -> DataFra
 
 def review_words(reviews: DataFrame) -> DataFrame:
     """`review_id, word, n` of one-row-per-review test texts, without a shuffle."""
-    return reviews.select("review_id", F.inline(fn.word_bag(fn.split_words(F.col("text")))))
+    bags = reviews.select("review_id", fn.word_bag(fn.split_words(F.col("text"))).alias("bag"))
+    return unpack_bags(bags)
 
 
 def model_lookup_join(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from opinara.operators.reviews import explode_words, nonempty_tokens
 from opinara.operators.selection import SCORE_DIGITS
 
 # The word the frequency report leaves out, and the length of the top lists.
@@ -27,15 +28,14 @@ def top_words_by_sentiment(averages: DataFrame, k: int = TOP_WORDS) -> DataFrame
     """
     order = [F.round("avg_tfidf", SCORE_DIGITS).desc(), F.col("word").asc()]
     ranks = F.row_number().over(Window.partitionBy("sentiment").orderBy(*order))
-    return averages.withColumn("rank", ranks).filter(F.col("rank") <= k)
+    top = averages.withColumn("rank", ranks).filter(F.col("rank") <= k)
+    return top.withColumn("rank", F.col("rank").cast("long"))
 
 
 def feature_word_frequency(feature_texts: DataFrame) -> DataFrame:
     """Word frequencies over all selected feature texts."""
-    words = feature_texts.select(F.explode(F.split("text", " ")).alias("word"))
-    return words.filter(F.col("word") != "").groupBy("word").agg(
-        F.count(F.lit(1)).alias("frequency")
-    )
+    words = nonempty_tokens(explode_words(feature_texts.select("text")))
+    return words.groupBy("word").agg(F.count(F.lit(1)).alias("frequency"))
 
 
 def head_preview(df: DataFrame, order: list, n: int = 10) -> DataFrame:

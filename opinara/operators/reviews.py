@@ -19,21 +19,28 @@ POSITIVE_RATING = 5.0
 POSITIVE, NEGATIVE = "POSITIVE", "NEGATIVE"
 
 
-def clean_text(reviews: DataFrame, text: str = "reviewText", mode: str = "strip") -> DataFrame:
-    """Replace `text` by the plain, stemmed and lemmatized variants; other columns stay.
+def clean_text(
+    reviews: DataFrame,
+    text: str = "reviewText",
+    mode: str = "strip",
+    variants: tuple[str, ...] = tuple(VARIANTS),
+) -> DataFrame:
+    """Replace `text` by its plain, stemmed and lemmatized variants; other columns stay.
 
     The first two come from the stop-word-filtered tokens, the last from the raw lower-cased
-    text. Unused variants are pruned together with their work.
+    text.
     """
     others = [c for c in reviews.columns if c != text]
     filtered = reviews.withColumn(
         "filtered_words", fn.remove_stopwords(fn.tokenize(F.col(text), mode))
     )
+    build = {
+        "plain": lambda: F.col("filtered_words"),
+        "stemmed": lambda: stem_words(F.col("filtered_words")),
+        "lemmatized": lambda: fn.lemmatize(F.col(text)),
+    }
     return filtered.select(
-        *others,
-        fn.join_tokens(F.col("filtered_words")).alias(VARIANTS["plain"]),
-        fn.join_tokens(stem_words(F.col("filtered_words"))).alias(VARIANTS["stemmed"]),
-        fn.join_tokens(fn.lemmatize(F.col(text))).alias(VARIANTS["lemmatized"]),
+        *others, *[fn.join_tokens(build[v]()).alias(VARIANTS[v]) for v in variants]
     )
 
 
@@ -63,10 +70,19 @@ def multiword_filter(reviews: DataFrame, text: str) -> DataFrame:
 
 def explode_words(reviews: DataFrame, text: str = "text") -> DataFrame:
     """One row per piece between single spaces, empty pieces included."""
-    return reviews.select(
-        *[c for c in reviews.columns if c != text],
-        F.explode(fn.split_words(F.col(text))).alias("word"),
-    )
+    return explode_rows(reviews.withColumn(text, fn.split_words(F.col(text))), text, "word")
+
+
+def explode_rows(df: DataFrame, column: str, name: str) -> DataFrame:
+    """Explode an array that holds no nulls.
+
+    A plain explode makes Spark infer a filter on the array's size and push it, with all the
+    expressions that build the array, down to the scan: the array is then built twice. The
+    outer form with a filter behind it gives the same rows without that.
+    """
+    others = [c for c in df.columns if c != column]
+    exploded = df.select(*others, F.explode_outer(column).alias(name))
+    return exploded.filter(F.col(name).isNotNull())
 
 
 def nonempty_tokens(words: DataFrame) -> DataFrame:

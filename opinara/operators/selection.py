@@ -28,9 +28,9 @@ def rank_in_groups(
     """
     if bounded_groups:
         whole = Window.partitionBy(*group)
-        return df.withColumn("rank", F.row_number().over(whole.orderBy(*order))).withColumn(
-            "group_rows", F.count(F.lit(1)).over(whole)
-        )
+        return df.withColumn(
+            "rank", F.row_number().over(whole.orderBy(*order)).cast("long")
+        ).withColumn("group_rows", F.count(F.lit(1)).over(whole))
     ordered = df.orderBy(*group, *order).withColumn("_pos", F.monotonically_increasing_id())
     rows = materialize(ordered, "ranked").withColumn(
         "_slice", F.shiftright("_pos", PARTITION_SHIFT)

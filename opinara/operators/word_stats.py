@@ -27,6 +27,12 @@ def bag_of_words(reviews: DataFrame) -> DataFrame:
     )
 
 
+def unpack_bags(bags: DataFrame) -> DataFrame:
+    """One row `word, n` per bag entry. The outer form for the reason given at `explode_rows`."""
+    others = [c for c in bags.columns if c != "bag"]
+    return bags.select(*others, F.inline_outer("bag")).filter(F.col("word").isNotNull())
+
+
 def word_count(reviews: DataFrame, one_row_per_review: bool = False) -> DataFrame:
     """Occurrences of each word in each review: `review_id, sentiment, word, n`.
 
@@ -34,7 +40,7 @@ def word_count(reviews: DataFrame, one_row_per_review: bool = False) -> DataFram
     save the shuffle with `one_row_per_review`.
     """
     if one_row_per_review:
-        return bag_of_words(reviews).select(*REVIEW, F.inline("bag"))
+        return unpack_bags(bag_of_words(reviews).drop("review_len"))
     return (
         nonempty_tokens(explode_words(reviews.select(*REVIEW, "text")))
         .groupBy(*REVIEW, "word")
@@ -61,8 +67,7 @@ def term_frequency(counts: DataFrame) -> DataFrame:
 
 def bag_term_frequency(bags: DataFrame) -> DataFrame:
     """The same from bags, where the length is at hand and nothing is shuffled."""
-    words = bags.select(*REVIEW, "review_len", F.inline("bag"))
-    return _with_tf(words).select(*REVIEW, "word", "n", "review_len", "tf")
+    return _with_tf(unpack_bags(bags)).select(*REVIEW, "word", "n", "review_len", "tf")
 
 
 def document_frequency(counts: DataFrame) -> DataFrame:

@@ -10,10 +10,14 @@ from opinara.operators.reviews import VARIANTS, class_filter, clean_text, multiw
 from opinara.session import materialize
 
 
-def cleaned_classes(reviews: DataFrame) -> DataFrame:
+def cleaned_classes(reviews: DataFrame, variants: tuple[str, ...] = tuple(VARIANTS)) -> DataFrame:
     """Cleaned reviews of the two classes. The rating filter comes first, so that texts of
-    undecided and unrated reviews are neither joined nor cleaned."""
-    return clean_text(class_filter(reviews))
+    undecided and unrated reviews are neither joined nor cleaned.
+
+    The result is written once: counting the classes, balancing and every later pass over the
+    sample would each clean the texts again.
+    """
+    return materialize(clean_text(class_filter(reviews), variants=variants), "cleaned")
 
 
 def balanced_variant(cleaned: DataFrame, variant: str) -> DataFrame:
@@ -24,16 +28,16 @@ def balanced_variant(cleaned: DataFrame, variant: str) -> DataFrame:
 
 
 def prepared_variant(reviews: DataFrame, variant: str) -> DataFrame:
-    """`balanced_variant` of raw reviews, written once: training reads it twice, testing once."""
-    return materialize(balanced_variant(cleaned_classes(reviews), variant), f"balanced-{variant}")
+    """`balanced_variant` of raw reviews, a filter over the written cleaned texts."""
+    return balanced_variant(cleaned_classes(reviews, (variant,)), variant)
 
 
 def prepare_datasets(reviews: DataFrame, write) -> None:
     """Hand the nine datasets to `write(name, frame)`: train, test and final for each variant.
 
-    `reviews` has `review_id, overall, reviewText`. Cleaning, the costly part, runs once.
+    `reviews` has `review_id, overall, reviewText`.
     """
-    cleaned = materialize(cleaned_classes(reviews), "cleaned")
+    cleaned = cleaned_classes(reviews)
     for variant in VARIANTS:
         balanced = balanced_variant(cleaned, variant)
         train, test = sampling.train_test_split(balanced)

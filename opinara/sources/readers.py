@@ -27,8 +27,12 @@ def read_json_reviews(spark: SparkSession, path: str, schema: str = JSON_REVIEW_
 
 
 def read_csv_reviews(spark: SparkSession, path: str, schema: str = CSV_REVIEW_SCHEMA) -> DataFrame:
-    """Headerless CSV with quoting; a value that does not fit its type fails the job."""
-    return spark.read.schema(schema).options(mode="FAILFAST", **CSV_OPTIONS).csv(path)
+    """Headerless CSV with quoting; a value that does not fit its type fails the job.
+
+    The format cannot tell an empty text from a missing one; both are read as empty.
+    """
+    rows = spark.read.schema(schema).options(mode="FAILFAST", **CSV_OPTIONS).csv(path)
+    return rows.withColumn("text", F.coalesce("text", F.lit("")))
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
