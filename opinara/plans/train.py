@@ -19,7 +19,7 @@ from opinara.session import materialize
 
 @dataclass(frozen=True)
 class WordFrames:
-    """The lazy intermediate frames of training."""
+    """The intermediate frames of training; bags and frequencies are written, the rest is lazy."""
 
     bags: DataFrame
     n_reviews: Column
@@ -37,10 +37,15 @@ class WordFrames:
 
 def word_frames(reviews: DataFrame, lines: DataFrame | None = None) -> WordFrames:
     """`lines` is the raw input when it has more rows than could be parsed: all of them count
-    as reviews in the document frequency ratio."""
-    bags = word_stats.bag_of_words(sentiment_label(reviews))
+    as reviews in the document frequency ratio.
+
+    The bags are written: document frequencies, both sides of the score join and the class
+    totals each pass over them. So are the frequencies, which the join and the totals share.
+    """
+    bags = materialize(word_stats.bag_of_words(sentiment_label(reviews)), "bags")
     n_reviews = word_stats.review_total(reviews if lines is None else lines).scalar()
-    frequencies = word_stats.document_frequency(word_stats.bag_term_frequency(bags))
+    words = word_stats.unpack_bags(bags)
+    frequencies = materialize(word_stats.document_frequency(words), "frequencies")
     scored = word_stats.tf_idf(word_stats.bag_term_frequency(bags), frequencies, n_reviews)
     return WordFrames(bags, n_reviews, frequencies, scored)
 
