@@ -71,8 +71,13 @@ class Tables:
             cleaned.select("review_id", "overall", F.col(VARIANTS["plain"]).alias("text")), "text"
         )
 
+    @property
+    def balanced(self) -> DataFrame:
+        cleaned = prepare.cleaned_classes(self.reviews, ("plain",))
+        return prepare.balanced_variant(cleaned, "plain")
+
     def split(self) -> tuple[DataFrame, DataFrame]:
-        return sampling.train_test_split(prepare.prepared_variant(self.reviews, "plain"))
+        return sampling.train_test_split(self.balanced)
 
     def model(self) -> tuple[DataFrame, DataFrame, DataFrame]:
         """Test set, word counts and statistics of the plain variant."""
@@ -139,7 +144,7 @@ def csv_export(t: Tables) -> DataFrame:
 @query
 def tsv_export(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "tf")
-    writers.write_tsv(writers.stage_tf(word_stats.bag_term_frequency(t.frames.bags)), path)
+    writers.write_tsv(writers.stage_tf(t.frames.tf), path)
     return readers.read_stage(t.spark, path, "tf")
 
 
@@ -303,7 +308,7 @@ def class_counts(t: Tables) -> DataFrame:
 
 @query
 def balanced_sample(t: Tables) -> DataFrame:
-    return prepare.prepared_variant(t.reviews, "plain")
+    return t.balanced
 
 
 @query
@@ -427,14 +432,14 @@ def word_probabilities(t: Tables) -> DataFrame:
 @query
 def score_reviews(t: Tables) -> DataFrame:
     test, counts, statistics = t.model()
-    scored = nb.score_reviews(test, counts, statistics)
+    scored = nb.score_reviews(test, nb.review_bags(test), counts, statistics)
     return rounded(scored.select("review_id", "pos_ll", "neg_ll"), "pos_ll", "neg_ll")
 
 
 @query
 def score_reviews_standard(t: Tables) -> DataFrame:
     test, counts, statistics = t.model()
-    scored = nb.score_reviews(test, counts, statistics, mode="standard")
+    scored = nb.score_reviews(test, nb.review_bags(test), counts, statistics, mode="standard")
     return rounded(scored.select("review_id", "pos_ll", "neg_ll"), "pos_ll", "neg_ll")
 
 
@@ -457,7 +462,8 @@ def classification_metrics(t: Tables) -> DataFrame:
 @query
 def model_lookup_join(t: Tables) -> DataFrame:
     test, counts, statistics = t.model()
-    joined = nb.model_lookup_join(nb.review_words(test), counts, statistics)
+    words = word_stats.unpack_bags(nb.review_bags(test))
+    joined = nb.model_lookup_join(words, counts, statistics)
     return joined.withColumns({c: F.round(c, 9) for c in ("pos_prob", "neg_prob")})
 
 
@@ -505,17 +511,11 @@ def head_preview(t: Tables) -> DataFrame:
 @query
 def prepare_datasets(t: Tables) -> DataFrame:
     """Writes the nine datasets and counts what arrived in each."""
-    root, summaries = scratch_path(t.spark, "datasets"), []
-
-    def write(name: str, frame: DataFrame) -> None:
-        writers.write_csv(frame, f"{root}/{name}")
+    summaries = []
+    for name, path in prepare.prepare_datasets(t.reviews, scratch_path(t.spark, "datasets")).items():
         schema = readers.BALANCED_SCHEMA if name.startswith("final") else readers.CSV_REVIEW_SCHEMA
-        back = readers.read_csv_reviews(t.spark, f"{root}/{name}", schema)
-        summaries.append(
-            sampling.class_counts(back).select(F.lit(name).alias("dataset"), "n_negative", "n_positive")
-        )
-
-    prepare.prepare_datasets(t.reviews, write)
+        counts = sampling.class_counts(readers.read_csv_reviews(t.spark, path, schema))
+        summaries.append(counts.select(F.lit(name).alias("dataset"), "*"))
     return reduce(DataFrame.unionByName, summaries)
 
 

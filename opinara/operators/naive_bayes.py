@@ -61,10 +61,9 @@ def word_probabilities(word_counts: DataFrame, statistics: DataFrame) -> DataFra
     )
 
 
-def review_words(reviews: DataFrame) -> DataFrame:
-    """`review_id, word, n` of one-row-per-review test texts, without a shuffle."""
-    bags = reviews.select("review_id", fn.word_bag(fn.split_words(F.col("text"))).alias("bag"))
-    return unpack_bags(bags)
+def review_bags(reviews: DataFrame, key: str = "review_id") -> DataFrame:
+    """`key, bag` of test texts, without a shuffle."""
+    return reviews.select(key, fn.word_bag(fn.split_words(F.col("text"))).alias("bag"))
 
 
 def model_lookup_join(
@@ -92,20 +91,24 @@ def _log_prior(statistics: DataFrame, side: str) -> Column:
 
 
 def score_reviews(
-    reviews: DataFrame, word_counts: DataFrame, statistics: DataFrame, mode: str = "reference"
+    reviews: DataFrame,
+    bags: DataFrame,
+    word_counts: DataFrame,
+    statistics: DataFrame,
+    mode: str = "reference",
+    key: str = "review_id",
 ) -> DataFrame:
     """Log-likelihood of each class: adds `pos_ll`, `neg_ll`.
 
     A known word's probability is (count + 1) times the unknown word's. So every token is first
     charged the unknown word's, from the token numbers in the row, and only known words then
     add ln(count + 1): an inner join, from which unknown words drop out, and a row-local part.
-    `review_id` must be unique.
+    `bags` are the `review_bags` of `reviews`; `key` must be unique.
     """
     weight, empty_weight = SCORE_WEIGHTS[mode]
-    words = review_words(reviews)
     known = (
-        keyed_lookup(words, word_counts, "word")
-        .groupBy("review_id")
+        keyed_lookup(unpack_bags(bags), word_counts, "word")
+        .groupBy(key)
         .agg(
             *[
                 F.sum(weight * F.col("n") * F.ln(F.col(f"{side}_count") + 1)).alias(f"{side}_known")
@@ -116,7 +119,7 @@ def score_reviews(
     pieces = fn.split_words(F.col("text"))
     n_words = F.size(F.array_remove(pieces, ""))
     tokens = n_words * weight + (F.size(pieces) - n_words) * empty_weight
-    scored = reviews.withColumn("_tokens", tokens).join(known, "review_id", "left")
+    scored = reviews.withColumn("_tokens", tokens).join(known, key, "left")
     return scored.select(
         *reviews.columns,
         *[

@@ -1,4 +1,7 @@
-"""Raw reviews -> cleaned, balanced, split and indexed datasets, for each text variant."""
+"""Raw reviews -> cleaned, balanced, split and indexed datasets, for each text variant.
+
+Raw reviews are `review_id, overall, reviewText`.
+"""
 
 from __future__ import annotations
 
@@ -8,9 +11,12 @@ from pyspark.sql import functions as F
 from opinara.operators import sampling
 from opinara.operators.reviews import VARIANTS, class_filter, clean_text, multiword_filter
 from opinara.session import materialize
+from opinara.sources.writers import write_csv
+
+ALL_VARIANTS = tuple(VARIANTS)
 
 
-def cleaned_classes(reviews: DataFrame, variants: tuple[str, ...] = tuple(VARIANTS)) -> DataFrame:
+def cleaned_classes(reviews: DataFrame, variants: tuple[str, ...] = ALL_VARIANTS) -> DataFrame:
     """Cleaned reviews of the two classes. The rating filter comes first, so that texts of
     undecided and unrated reviews are neither joined nor cleaned.
 
@@ -21,29 +27,33 @@ def cleaned_classes(reviews: DataFrame, variants: tuple[str, ...] = tuple(VARIAN
 
 
 def balanced_variant(cleaned: DataFrame, variant: str) -> DataFrame:
-    """`review_id, overall, text` of one variant: more than one word, classes balanced."""
+    """`review_id, overall, text` of one variant: more than one word, classes balanced. A
+    filter over the cleaned texts."""
     text = VARIANTS[variant]
     kept = multiword_filter(cleaned.select("review_id", "overall", text), text)
     return sampling.balanced_sample(kept).withColumnRenamed(text, "text")
 
 
-def prepared_variant(reviews: DataFrame, variant: str) -> DataFrame:
-    """`balanced_variant` of raw reviews, a filter over the written cleaned texts."""
-    return balanced_variant(cleaned_classes(reviews, (variant,)), variant)
-
-
-def prepare_datasets(reviews: DataFrame, write) -> None:
-    """Hand the nine datasets to `write(name, frame)`: train, test and final for each variant.
-
-    `reviews` has `review_id, overall, reviewText`.
-    """
-    cleaned = cleaned_classes(reviews)
-    for variant in VARIANTS:
+def prepare_datasets(
+    reviews: DataFrame, folder: str, mode: str = "error", variants: tuple[str, ...] = ALL_VARIANTS
+) -> dict[str, str]:
+    """Write train, test and final CSV datasets of each variant and return their paths."""
+    cleaned = cleaned_classes(reviews, variants)
+    paths = {}
+    for variant in variants:
         balanced = balanced_variant(cleaned, variant)
         train, test = sampling.train_test_split(balanced)
-        write(f"train_{variant}", sampling.index_rows(train, "text"))
-        write(f"test_{variant}", sampling.index_rows(test, "text"))
-        write(f"final_{variant}", sampling.shuffled_rows(balanced).select("overall", "text"))
+        final = sampling.shuffled_rows(balanced).select("overall", "text")
+        for part, frame in (
+            ("train", sampling.index_rows(train, "text")),
+            ("test", sampling.index_rows(test, "text")),
+            ("final", final),
+        ):
+            name = f"{part}_{variant}"
+            paths[name] = f"{folder.rstrip('/')}/{name}"
+            # evening out the files would undo the order of the final set
+            write_csv(frame, paths[name], mode, compact=part != "final")
+    return paths
 
 
 def with_row_key(reviews: DataFrame) -> DataFrame:

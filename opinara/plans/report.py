@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from opinara.operators import reports, selection, word_stats
+from opinara.operators import reports, selection
 from opinara.operators.reviews import exclude_words
 from opinara.plans.train import WordFrames
 
@@ -12,11 +12,9 @@ from opinara.plans.train import WordFrames
 def word_reports(frames: WordFrames) -> dict[str, DataFrame]:
     """The report tables by name; each is lazy."""
     averages = reports.avg_tfidf_by_sentiment(frames.scored)
-    counts = word_stats.bag_term_frequency(frames.bags)
+    frequency = reports.word_frequency(frames.tf)
     return {
-        "word_frequency": exclude_words(
-            reports.word_frequency(counts), reports.EXCLUDED_WORDS
-        ),
+        "word_frequency": exclude_words(frequency, reports.EXCLUDED_WORDS),
         "avg_tfidf_by_sentiment": averages,
         "top_words_by_sentiment": reports.top_words_by_sentiment(averages),
         "feature_word_frequency": reports.feature_word_frequency(

@@ -1,53 +1,63 @@
 """Labelled texts -> features -> model -> evaluation.
 
-Inputs have one row per review: `review_id, overall, text`, ids unique.
+Inputs are `review_id, overall, text`. By default ids are unique, as indexing makes them; then
+counting needs no shuffle. With `one_row_per_review=False` training rows that share an id and a
+sentiment form one review, and test rows are scored one by one whatever their ids.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from opinara.operators import naive_bayes as nb
 from opinara.operators import selection, word_stats
 from opinara.operators.reviews import VARIANTS, sentiment_label
 from opinara.operators.sampling import train_test_split
-from opinara.plans.prepare import prepared_variant
+from opinara.plans.prepare import balanced_variant, cleaned_classes
 from opinara.session import materialize
 
 
 @dataclass(frozen=True)
 class WordFrames:
-    """The intermediate frames of training; bags and frequencies are written, the rest is lazy."""
+    """The intermediate frames of training. What several of them read is written, the rest lazy."""
 
-    bags: DataFrame
+    tf: DataFrame
     n_reviews: Column
     frequencies: DataFrame
     scored: DataFrame
+    features: DataFrame
+    statistics: DataFrame
 
-    @property
-    def features(self) -> DataFrame:
-        return selection.feature_selection(self.scored, one_row_per_review=True)
 
-    @property
-    def statistics(self) -> DataFrame:
-        return word_stats.class_statistics_of_bags(self.bags, self.frequencies, self.n_reviews)
-
-
-def word_frames(reviews: DataFrame, lines: DataFrame | None = None) -> WordFrames:
+def word_frames(
+    reviews: DataFrame, lines: DataFrame | None = None, one_row_per_review: bool = True
+) -> WordFrames:
     """`lines` is the raw input when it has more rows than could be parsed: all of them count
     as reviews in the document frequency ratio.
 
-    The bags are written: document frequencies, both sides of the score join and the class
-    totals each pass over them. So are the frequencies, which the join and the totals share.
+    Two things are written: the counted words, which document frequencies and both sides of
+    the score join pass over, and the frequencies, which the join and the class totals share.
     """
-    bags = materialize(word_stats.bag_of_words(sentiment_label(reviews)), "bags")
-    n_reviews = word_stats.review_total(reviews if lines is None else lines).scalar()
-    words = word_stats.unpack_bags(bags)
-    frequencies = materialize(word_stats.document_frequency(words), "frequencies")
-    scored = word_stats.tf_idf(word_stats.bag_term_frequency(bags), frequencies, n_reviews)
-    return WordFrames(bags, n_reviews, frequencies, scored)
+    labelled = sentiment_label(reviews)
+    if one_row_per_review:
+        bags = materialize(word_stats.bag_of_words(labelled), "bags")
+        tf, rows = word_stats.bag_term_frequency(bags), bags
+    else:
+        tf = materialize(word_stats.term_frequency(word_stats.word_count(labelled)), "tf")
+        rows = reviews
+    n_reviews = word_stats.review_total(rows if lines is None else lines).scalar()
+    frequencies = materialize(word_stats.document_frequency(tf), "frequencies")
+    scored = word_stats.tf_idf(tf, frequencies, n_reviews)
+    if one_row_per_review:
+        statistics = word_stats.class_statistics_of_bags(bags, frequencies, n_reviews)
+    else:
+        statistics = word_stats.class_statistics(scored)
+    features = selection.feature_selection(scored, one_row_per_review=one_row_per_review)
+    return WordFrames(tf, n_reviews, frequencies, scored, features, statistics)
 
 
 def train_model(frames: WordFrames) -> tuple[DataFrame, DataFrame]:
@@ -58,10 +68,19 @@ def train_model(frames: WordFrames) -> tuple[DataFrame, DataFrame]:
 
 
 def evaluate(
-    test: DataFrame, word_counts: DataFrame, statistics: DataFrame, mode: str = "reference"
+    test: DataFrame,
+    word_counts: DataFrame,
+    statistics: DataFrame,
+    mode: str = "reference",
+    one_row_per_review: bool = True,
 ) -> DataFrame:
-    """Predictions of labelled test reviews."""
-    scored = nb.score_reviews(sentiment_label(test), word_counts, statistics, mode)
+    """Predictions of labelled test reviews. The test bags are written, as the bags above."""
+    key = "review_id"
+    if not one_row_per_review:
+        key = "row_id"
+        test = materialize(test.withColumn(key, F.monotonically_increasing_id()), "test")
+    bags = materialize(nb.review_bags(test, key), "test-bags")
+    scored = nb.score_reviews(sentiment_label(test), bags, word_counts, statistics, mode, key)
     return nb.predict_sentiment(scored)
 
 
@@ -72,20 +91,13 @@ def train_and_evaluate(train: DataFrame, test: DataFrame, mode: str = "reference
     return nb.classification_metrics(nb.confusion_matrix(predictions))
 
 
-def variant_metrics(reviews: DataFrame, variant: str, mode: str = "reference") -> DataFrame:
-    """Prepare, train and evaluate one text variant of raw reviews."""
-    train, test = train_test_split(prepared_variant(reviews, variant))
-    return train_and_evaluate(train, test, mode)
-
-
 def variant_comparison(reviews: DataFrame, mode: str = "reference") -> DataFrame:
-    """Metrics of all variants, one row each."""
-    from functools import reduce
-
-    from pyspark.sql import functions as F
-
+    """Metrics of all text variants of raw reviews, one row each. Cleaning runs once."""
+    cleaned = cleaned_classes(reviews)
     rows = [
-        variant_metrics(reviews, variant, mode).select(F.lit(variant).alias("variant"), "*")
+        train_and_evaluate(*train_test_split(balanced_variant(cleaned, variant)), mode).select(
+            F.lit(variant).alias("variant"), "*"
+        )
         for variant in VARIANTS
     ]
     return reduce(DataFrame.unionByName, rows)

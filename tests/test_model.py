@@ -11,10 +11,11 @@ from opinara.operators.selection import feature_selection, feature_text
 from opinara.plans import report, train
 
 
-@pytest.fixture(scope="module")
-def frames(golden):
+@pytest.fixture(scope="module", params=[True, False], ids=["bags", "grouped"])
+def frames(golden, request):
+    """Both ways to count must train the same model."""
     lines, reviews = golden
-    return train.word_frames(reviews, lines)
+    return train.word_frames(reviews, lines, one_row_per_review=request.param)
 
 
 @pytest.fixture(scope="module")
@@ -145,9 +146,18 @@ def test_review_without_known_words_is_kept_and_ties_are_negative(spark, model):
     assert {r["predicted"] for r in got.values()} == {"NEGATIVE"}
 
 
+def test_test_rows_with_one_id_are_scored_one_by_one(spark, model):
+    test = spark.createDataFrame(
+        [("1", 5.0, "love"), ("1", 1.0, "broken")], "review_id string, overall double, text string"
+    )
+    predictions = train.evaluate(test, *model, one_row_per_review=False)
+    got = {r["text"]: r["predicted"] for r in predictions.collect()}
+    assert got == {"love": "POSITIVE", "broken": "NEGATIVE"}
+
+
 def test_lookup_join_defaults(spark, golden_test, model):
     counts, statistics = model
-    joined = rows(nb.model_lookup_join(nb.review_words(golden_test), counts, statistics), "review_id", "word")
+    joined = rows(nb.model_lookup_join(word_stats.unpack_bags(nb.review_bags(golden_test)), counts, statistics), "review_id", "word")
     assert len(joined) == 10
     assert joined[("1", "charger")]["pos_prob"] == 1 / 16
     assert joined[("1", "love")]["pos_prob"] == 3 / 16
@@ -189,8 +199,7 @@ def test_bag_and_grouped_counts_agree(golden):
 
 
 def test_tf_sums_to_one(frames):
-    tf = word_stats.bag_term_frequency(frames.bags)
-    sums = tf.groupBy("review_id").agg(F.sum("tf").alias("s")).collect()
+    sums = frames.tf.groupBy("review_id").agg(F.sum("tf").alias("s")).collect()
     assert all(abs(r["s"] - 1) < 1e-9 for r in sums)
 
 

@@ -56,8 +56,8 @@ def test_json_reads_two_fields(spark, path):
 def test_stage_files_round_trip(spark, golden, path):
     frames = train.word_frames(golden[1], golden[0])
     stages = {
-        "wordcount": writers.stage_wordcount(word_stats.unpack_bags(frames.bags)),
-        "tf": writers.stage_tf(word_stats.bag_term_frequency(frames.bags)),
+        "wordcount": writers.stage_wordcount(frames.tf),
+        "tf": writers.stage_tf(frames.tf),
         "tfidf": writers.stage_tfidf(frames.scored),
         "features": writers.stage_features(selection.feature_text(frames.features)),
         "training": writers.stage_training(nb.train_word_counts(frames.features)),
@@ -85,13 +85,18 @@ def test_predictions_are_sorted_by_key(spark):
     assert [r[0] for r in writers.stage_output(frame).collect()] == ["1@a", "2@b"]
 
 
-def test_prepare_datasets(spark):
+def test_prepare_datasets(spark, path):
     rows = [(i, 1.0 if i % 4 == 0 else 5.0, f"Nice phone number{i} works") for i in range(200)]
     rows += [(300, 3.0, "so so thing"), (301, None, "no rating here"), (302, 1.0, "single")]
     frame = spark.createDataFrame(rows, "review_id long, overall double, reviewText string")
-    written = {}
-    prepare.prepare_datasets(frame, lambda name, df: written.update({name: df}))
-    assert len(written) == 9
+    paths = prepare.prepare_datasets(frame, path)
+    assert len(paths) == 9
+    written = {
+        name: readers.read_csv_reviews(
+            spark, p, readers.BALANCED_SCHEMA if "final" in name else readers.CSV_REVIEW_SCHEMA
+        )
+        for name, p in paths.items()
+    }
     for variant in ("plain", "stemmed", "lemmatized"):
         sizes = {part: written[f"{part}_{variant}"].count() for part in ("train", "test", "final")}
         assert sizes["train"] + sizes["test"] == sizes["final"]
