@@ -26,8 +26,8 @@ def _labelled(spark: SparkSession, path: str, lenient: bool) -> tuple[DataFrame,
 
 
 def run_prepare(spark: SparkSession, args: argparse.Namespace) -> None:
-    reviews = prepare.with_row_key(readers.read_json_reviews(spark, args.reviews))
-    for path in prepare.prepare_datasets(reviews, args.output).values():
+    reviews = prepare.with_row_id(readers.read_json_reviews(spark, args.reviews))
+    for path in prepare.prepare_datasets(readers.spread(reviews), args.output).values():
         print(path)
 
 

@@ -47,6 +47,8 @@ STEP_4 = (
 
 
 def longest_suffix(word: str, suffixes) -> str | None:
+    if not word.endswith(tuple(suffixes)):
+        return None
     return max((s for s in suffixes if word.endswith(s)), key=len, default=None)
 
 

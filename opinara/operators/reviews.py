@@ -28,7 +28,8 @@ def clean_text(
     """Replace `text` by its plain, stemmed and lemmatized variants; other columns stay.
 
     The first two come from the stop-word-filtered tokens, the last from the raw lower-cased
-    text.
+    text. The texts leave through a one-row generator: a filter on them, such as the
+    multi-word filter, would otherwise be pushed below their computation and repeat it.
     """
     others = [c for c in reviews.columns if c != text]
     filtered = reviews.withColumn(
@@ -39,9 +40,11 @@ def clean_text(
         "stemmed": lambda: stem_words(F.col("filtered_words")),
         "lemmatized": lambda: fn.lemmatize(F.col(text)),
     }
-    return filtered.select(
+    names = [VARIANTS[v] for v in variants]
+    cleaned = filtered.select(
         *others, *[fn.join_tokens(build[v]()).alias(VARIANTS[v]) for v in variants]
     )
+    return cleaned.select(*others, F.inline_outer(F.array(F.struct(*names))))
 
 
 def is_negative() -> Column:

@@ -104,10 +104,14 @@ def test_prepare_datasets(spark, path):
         assert written[f"final_{variant}"].columns == ["overall", "text"]
 
 
-def test_row_key_is_the_same_for_copies(spark):
-    frame = spark.createDataFrame([(5.0, "a"), (5.0, "a"), (None, "a")], readers.JSON_REVIEW_SCHEMA)
-    keys = [r["review_id"] for r in prepare.with_row_key(frame).collect()]
-    assert keys[0] == keys[1] != keys[2]
+def test_copies_of_a_review_are_sampled_one_by_one(spark, path):
+    """When most rows are copies of one text, the sample must still balance and split."""
+    rows = [(1.0, "bad bad thing")] * 300 + [(5.0, "good good thing")] * 900
+    frame = spark.createDataFrame(rows, readers.JSON_REVIEW_SCHEMA)
+    paths = prepare.prepare_datasets(prepare.with_row_id(frame), path, variants=("plain",))
+    sizes = {name: spark.read.text(p).count() for name, p in paths.items()}
+    assert 500 < sizes["final_plain"] < 700
+    assert 0.7 < sizes["train_plain"] / sizes["final_plain"] < 0.9
 
 
 def test_scratch_folder_is_the_one_the_session_names(spark):
