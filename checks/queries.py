@@ -17,7 +17,7 @@ from opinara.operators import naive_bayes as nb
 from opinara.operators import reports, reviews, sampling, selection, word_stats
 from opinara.operators.reviews import VARIANTS
 from opinara.plans import prepare, report, train
-from opinara.session import scratch_path
+from opinara.session import materialize, scratch_path
 from opinara.sources import readers, writers
 
 DIGITS = 6
@@ -144,7 +144,8 @@ def csv_export(t: Tables) -> DataFrame:
 @query
 def tsv_export(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "tf")
-    writers.write_tsv(writers.stage_tf(t.frames.tf), path)
+    tf = word_stats.bag_term_frequency(word_stats.bag_of_words(t.labelled))
+    writers.write_tsv(writers.stage_tf(tf), path)
     return readers.read_stage(t.spark, path, "tf")
 
 
@@ -359,12 +360,13 @@ def review_total(t: Tables) -> DataFrame:
 
 @query
 def term_frequency(t: Tables) -> DataFrame:
-    return rounded(word_stats.term_frequency(word_stats.word_count(t.labelled)), "tf")
+    counts = materialize(word_stats.word_count(t.labelled), "counts")
+    return rounded(word_stats.term_frequency(counts), "tf")
 
 
 @query
 def document_frequency(t: Tables) -> DataFrame:
-    return t.frames.frequencies
+    return word_stats.document_frequency(t.counts)
 
 
 @query
@@ -470,8 +472,9 @@ def model_lookup_join(t: Tables) -> DataFrame:
 @query
 def scalar_stats_join(t: Tables) -> DataFrame:
     """Job-wide totals next to each word's document frequency."""
-    frames = t.frames
-    return frames.frequencies.select("word", "df").withColumn("n_reviews", frames.n_reviews)
+    n_reviews = word_stats.review_total(t.table("documents")).scalar()
+    frequencies = word_stats.document_frequency(t.counts).select("word", "df")
+    return frequencies.withColumn("n_reviews", n_reviews)
 
 
 # Ranking

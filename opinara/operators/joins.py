@@ -11,7 +11,7 @@ HOT_KEYS = 10_000
 def keyed_lookup(
     rows: DataFrame,
     table: DataFrame,
-    key: str,
+    key: str | list[str],
     how: str = "inner",
     key_counts: DataFrame | None = None,
     hot_keys: int = HOT_KEYS,
@@ -23,14 +23,15 @@ def keyed_lookup(
     size, and the rows that natural-language text concentrates on them are never shuffled.
     Every other key is too rare to fill a shuffle partition and takes a plain join. `rows` is
     read twice, so it should be cheap to recompute. `key_counts(key, n_rows)` may be passed
-    when the caller has it anyway.
+    when the caller has it anyway. Keys are not null.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"unsupported join type {how!r}")
+    keys = [key] if isinstance(key, str) else key
     if key_counts is None:
-        key_counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"))
+        key_counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
     total = key_counts.agg(F.sum("n_rows")).scalar()
-    hot = key_counts.filter(F.col("n_rows") * hot_keys > total).select(key)
-    on_hot = rows.join(F.broadcast(hot.join(table, key, how)), key)
-    on_cold = rows.join(F.broadcast(hot), key, "left_anti").join(table, key, how)
+    hot = key_counts.filter(F.col("n_rows") * hot_keys > total).select(*keys)
+    on_hot = rows.join(F.broadcast(hot.join(table, keys, how)), keys)
+    on_cold = rows.join(F.broadcast(hot), keys, "left_anti").join(table, keys, how)
     return on_hot.unionByName(on_cold)

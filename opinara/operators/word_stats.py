@@ -58,11 +58,17 @@ def _with_tf(counts: DataFrame) -> DataFrame:
 
 
 def term_frequency(counts: DataFrame) -> DataFrame:
-    """`review_id, sentiment, word, n, review_len, tf` from word counts."""
-    lengths = counts.groupBy(*REVIEW).agg(F.sum("n").alias("review_len"))
-    return _with_tf(counts.join(lengths, REVIEW)).select(
-        *REVIEW, "word", "n", "review_len", "tf"
+    """`review_id, sentiment, word, n, review_len, tf` from word counts.
+
+    One id may hold much of the input here, so lengths are looked up like word totals.
+    """
+    per_review = counts.groupBy(*REVIEW).agg(
+        F.sum("n").alias("review_len"), F.count(F.lit(1)).alias("n_rows")
+    )
+    joined = keyed_lookup(
+        counts, per_review.drop("n_rows"), REVIEW, key_counts=per_review.drop("review_len")
     )
+    return _with_tf(joined).select(*REVIEW, "word", "n", "review_len", "tf")
 
 
 def bag_term_frequency(bags: DataFrame) -> DataFrame:

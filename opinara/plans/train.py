@@ -47,8 +47,8 @@ def word_frames(
         bags = materialize(word_stats.bag_of_words(labelled), "bags")
         tf, rows = word_stats.bag_term_frequency(bags), bags
     else:
-        tf = materialize(word_stats.term_frequency(word_stats.word_count(labelled)), "tf")
-        rows = reviews
+        counts = materialize(word_stats.word_count(labelled), "counts")
+        tf, rows = materialize(word_stats.term_frequency(counts), "tf"), reviews
     n_reviews = word_stats.review_total(rows if lines is None else lines).scalar()
     frequencies = materialize(word_stats.document_frequency(tf), "frequencies")
     scored = word_stats.tf_idf(tf, frequencies, n_reviews)
