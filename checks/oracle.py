@@ -295,7 +295,7 @@ def all_variants(final: str, extra) -> str:
     return "\nUNION ALL\n".join(parts)
 
 
-def marked(row: str = "") -> str:
+def marked() -> str:
     return "concat(review_id::VARCHAR, CASE WHEN sentiment = 'POSITIVE' THEN '+' ELSE '' END)"
 
 
