@@ -6,15 +6,19 @@ import pytest
 
 import __spark_entry__ as entry_module
 from checks.compare import check
+from checks.oracle import ORACLE
+from checks.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
-NAMES = list(entry_module.queries())
+NAMES = list(QUERIES)
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
 
 
 def test_every_query_has_sql():
-    assert set(entry_module.oracle_sql()) == set(NAMES)
+    assert set(ORACLE) == set(NAMES)
+    assert set(NAMES) <= set(entry_module.queries())
+    assert set(NAMES) <= set(entry_module.oracle_sql())
 
 
 def test_entry(spark):
