@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opinara.llm import bpe, exact_dedup
+from opinara.llm import bpe, exact_dedup, mixing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 WORD_BPE = "word_bpe_49k.json"
@@ -35,6 +35,20 @@ def op2_bpe_codec(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return mixing.mix(docs, F.array("source")).select(
+        "doc_id",
+        "size",
+        F.col("source_sizes")[0].alias("source_size"),
+        F.col("targets")[0].alias("target"),
+        "taken",
+        F.col("pattern")[0].alias("source"),
+        "passes",
+    )
+
+
 @query
 def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.decisions(table(spark, folder, "documents"))
