@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opinara.llm import bpe, exact_dedup, mixing
+from opinara.llm import bpe, exact_dedup, mixing, near_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 WORD_BPE = "word_bpe_49k.json"
@@ -52,3 +52,8 @@ def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.decisions(table(spark, folder, "documents"))
+
+
+@query
+def op10_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.classes(table(spark, folder, "documents"))
