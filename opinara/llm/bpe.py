@@ -15,18 +15,22 @@ else of the input, so extra columns never clash.
 from __future__ import annotations
 
 import heapq
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from opinara.llm.batches import map_blocks, ragged, texts
+from opinara.llm.batches import blocks, ragged, texts
 from opinara.llm.pieces import Splitter, byte_characters
 
 NEVER = np.iinfo(np.int64).max
 WORD_END = ""
-CACHED_WORDS = 400_000
+CACHED_WORDS = 200_000
+BLOCK_BYTES = 2 << 20
+DECODED_ROWS = 512
+Batches = Iterator[pa.RecordBatch]
 
 
 class Merges:
@@ -220,51 +224,64 @@ class Encoder:
         return ids, np.diff(bounds)
 
 
-def encode(docs: DataFrame, path: str, key: str = "doc_id", column: str = "text") -> DataFrame:
-    """Every row's key and `ids array<int>`, the encoding of its whole text."""
-    kind = docs.schema[key].dataType.simpleString()
+class Decoder:
+    """Token ids to text: token strings joined by a space, as files without a decoder do."""
+
+    def __init__(self, splitter: Splitter):
+        size = splitter.tokenizer.get_vocab_size(with_added_tokens=True)
+        self.names = np.empty(size, dtype=object)
+        for token, i in splitter.tokenizer.get_vocab(with_added_tokens=True).items():
+            self.names[i] = token
+
+    def decode(self, ids: pa.ListArray) -> pa.Array:
+        flat = self.names[ids.flatten().to_numpy(zero_copy_only=False)].tolist()
+        ends = np.cumsum(pc.fill_null(pc.list_value_length(ids), 0).to_numpy()).tolist()
+        return pa.array(
+            [" ".join(flat[a:b]) for a, b in zip([0, *ends[:-1]], ends)], pa.string()
+        )
+
+
+def encoded_batches(path: str, key: str, column: str, batches: Batches) -> Batches:
+    encoder = Encoder(path)
+    for block in blocks(batches, column, BLOCK_BYTES):
+        ids, lengths = encoder.encode(texts(block, column))
+        yield pa.RecordBatch.from_arrays(
+            [block.column(key), ragged(ids, lengths, pa.int32())], [key, "ids"]
+        )
 
-    def build():
-        encoder = Encoder(path)
 
-        def apply(block):
-            ids, lengths = encoder.encode(texts(block, column))
-            return pa.RecordBatch.from_arrays(
-                [block.column(key), ragged(ids, lengths, pa.int32())], [key, "ids"]
+def decoded_batches(path: str, key: str, batches: Batches) -> Batches:
+    decoder = Decoder(Splitter(path))
+    for batch in batches:
+        for start in range(0, batch.num_rows, DECODED_ROWS):
+            part = batch.slice(start, DECODED_ROWS)
+            ids = part.column("ids")
+            yield pa.RecordBatch.from_arrays(
+                [part.column(key), ids, decoder.decode(ids)], [key, "ids", "decoded"]
             )
 
-        return apply
 
-    return map_blocks(docs.select(key, column), column, build, f"`{key}` {kind}, ids array<int>")
+def encode(docs: DataFrame, path: str, key: str = "doc_id", column: str = "text") -> DataFrame:
+    """Every row's key and `ids array<int>`, the encoding of its whole text."""
+    kind = docs.schema[key].dataType.simpleString()
+    return docs.select(key, column).mapInArrow(
+        lambda batches: encoded_batches(path, key, column, batches), f"`{key}` {kind}, ids array<int>"
+    )
 
 
 def decode(encoded: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
-    """Every row's key, its `ids` and their `decoded` text, token strings joined by a space.
-
-    Null ids decode to the empty text.
-    """
+    """Every row's key, its `ids` and their `decoded` text; null ids decode to the empty text."""
     kind = encoded.schema[key].dataType.simpleString()
+    return encoded.select(key, "ids").mapInArrow(
+        lambda batches: decoded_batches(path, key, batches),
+        f"`{key}` {kind}, ids array<int>, decoded string",
+    )
 
-    def run(batches):
-        splitter = Splitter(path)
-        names = np.empty(splitter.tokenizer.get_vocab_size(with_added_tokens=True), dtype=object)
-        for token, i in splitter.tokenizer.get_vocab(with_added_tokens=True).items():
-            names[i] = token
-        for batch in batches:
-            ids = batch.column("ids")
-            decoded = []
-            for start in range(0, batch.num_rows, 256):
-                part = ids.slice(start, 256)
-                flat = names[part.flatten().to_numpy(zero_copy_only=False)].tolist()
-                lengths = pa.compute.fill_null(pa.compute.list_value_length(part), 0).to_pylist()
-                at = 0
-                for n in lengths:
-                    decoded.append(" ".join(flat[at : at + n]))
-                    at += n
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(key), ids, pa.array(decoded, pa.string())], [key, "ids", "decoded"]
-            )
 
-    return encoded.select(key, "ids").mapInArrow(
-        run, f"`{key}` {kind}, ids array<int>, decoded string"
+def round_trip(docs: DataFrame, path: str, key: str = "doc_id", column: str = "text") -> DataFrame:
+    """`decode` of `encode` in one pass of the same tasks."""
+    kind = docs.schema[key].dataType.simpleString()
+    return docs.select(key, column).mapInArrow(
+        lambda batches: decoded_batches(path, key, encoded_batches(path, key, column, batches)),
+        f"`{key}` {kind}, ids array<int>, decoded string",
     )

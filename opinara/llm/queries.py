@@ -26,7 +26,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 @query
 def op2_bpe_codec(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path(WORD_BPE)
-    coded = bpe.decode(bpe.encode(table(spark, folder, "documents"), path), path)
+    coded = bpe.round_trip(table(spark, folder, "documents"), path)
     return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
