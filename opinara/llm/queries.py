@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opinara.llm import bpe, exact_dedup, mixing, near_dedup
+from opinara.llm import bpe, exact_dedup, imatch, language_id, mixing, near_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 WORD_BPE = "word_bpe_49k.json"
@@ -23,6 +23,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query
+def op1_imatch(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return imatch.edited_fingerprints(docs, imatch.lexicon(docs))
+
+
 @query
 def op2_bpe_codec(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path(WORD_BPE)
@@ -35,6 +41,13 @@ def op2_bpe_codec(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    found = language_id.identify(docs, language_id.fit(docs))
+    return found.withColumn("held_out", language_id.held_out())
+
+
 @query
 def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
