@@ -8,10 +8,26 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opinara.llm import bpe, exact_dedup, imatch, language_id, mixing, near_dedup
+from opinara.llm import (
+    bpe,
+    exact_dedup,
+    imatch,
+    language_id,
+    mixing,
+    near_dedup,
+    url_filter,
+    warc,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 WORD_BPE = "word_bpe_49k.json"
+URL_RULES = (
+    ("allow", "org/"),
+    ("block", "example.org/es/"),
+    ("block", "example.org/en/1"),
+    ("allow", "com/fr/"),
+    ("block", "com/de/"),
+)
 
 
 def query(build: Callable[[SparkSession, str], DataFrame]):
@@ -48,6 +64,19 @@ def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("held_out", language_id.held_out())
 
 
+@query
+def op4_warc(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages")
+    collection = warc.write(pages)
+    keys = pages.select("page_id", "url").mapInArrow(warc.page_keys, "key string")
+    return warc.read(collection, warc.lookup(collection, keys)).drop("html")
+
+
+@query
+def op5_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return url_filter.judge(table(spark, folder, "pages"), URL_RULES)
+
+
 @query
 def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")

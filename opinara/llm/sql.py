@@ -8,3 +8,62 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
        doc_id = max(doc_id) OVER same AS kept, sha256(text) AS text_sha256
 FROM t WINDOW same AS (PARTITION BY text)
 """
+
+# Base 32 of a SHA-1: each five of its forty hex digits are four characters.
+ORACLE["op4_warc"] = """
+WITH p AS (SELECT page_id, url, coalesce(html, '') AS html FROM pages),
+d AS (SELECT *, sha1(html) AS h, max(page_id) OVER (PARTITION BY html) AS keeper FROM p),
+b AS (SELECT *, list_transform(range(8), lambda i: ('0x' || h[5 * i + 1 : 5 * i + 5])::BIGINT) AS q
+      FROM d)
+SELECT page_id, strlen(html) AS payload_bytes,
+       list_aggregate(flatten(list_transform(q, lambda x: list_transform(range(4), lambda k:
+           substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((x >> (15 - 5 * k)) & 31)::INT + 1, 1)
+       ))), 'string_agg', '') AS payload_digest,
+       CASE WHEN page_id = keeper THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id < keeper THEN keeper END AS refers_to,
+       coalesce(url, 'urn:x-page:' || page_id) AS url
+FROM b
+"""
+
+ORACLE["op5_url_filter"] = r"""
+WITH RECURSIVE
+rules AS (SELECT *, split_part(rule, '/', 1) AS rule_host,
+                 substr(rule, strpos(rule, '/')) AS rule_path FROM (VALUES
+    ('allow', 'org/'), ('block', 'example.org/es/'), ('block', 'example.org/en/1'),
+    ('allow', 'com/fr/'), ('block', 'com/de/')) AS v(verdict, rule)),
+tags AS (SELECT url, unnest(regexp_extract_all(html, '(?is)<(?:link|meta)\b[^>]*>')) AS tag
+         FROM pages),
+targets AS (SELECT url, CASE
+    WHEN regexp_matches(tag, '(?is)\brel\s*=\s*["'']?canonical\b')
+    THEN regexp_extract(tag, '(?is)\bhref\s*=\s*["'']?([^"''\s>]+)', 1)
+    WHEN regexp_matches(tag, '(?is)\bhttp-equiv\s*=\s*["'']?refresh\b')
+    THEN regexp_extract(tag, '(?is)\burl\s*=\s*["'']?([^"''\s>]+)', 1) END AS t FROM tags),
+links AS (SELECT url AS source, CASE
+    WHEN regexp_matches(t, '(?i)^[a-z][a-z0-9+.-]*://') THEN t
+    WHEN starts_with(t, '//') THEN 'http:' || t
+    WHEN starts_with(t, '/') THEN regexp_extract(url, '(?s)^.*?://[^/?#]*') || t
+    ELSE regexp_extract(url, '(?s)^.*?://[^/?#]*') || coalesce(nullif(regexp_replace(
+        regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '[^/]*$', ''), ''), '/') || t
+    END AS target FROM targets WHERE t <> ''),
+urls AS (SELECT url FROM pages UNION SELECT source FROM links UNION SELECT target FROM links),
+parts AS (SELECT url, lower(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1)) AS host,
+    regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path,
+    regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*[^?#]*(\?[^#]*)?', 1) AS query FROM urls),
+nodes AS (SELECT *, nullif(host, '') || path || query AS node FROM parts),
+fits AS (SELECT url, arg_max(rule, length(rule)) AS rule,
+                arg_max(verdict, length(rule)) AS verdict
+         FROM nodes, rules
+         WHERE (host = rule_host OR ends_with(host, '.' || rule_host))
+           AND starts_with(path, rule_path) GROUP BY url),
+edges AS (SELECT a.node AS u, b.node AS v FROM links
+          JOIN nodes a ON a.url = source JOIN nodes b ON b.url = target WHERE a.node <> b.node),
+both_ways AS (SELECT u, v FROM edges UNION SELECT v, u FROM edges),
+reach AS (SELECT u, v FROM both_ways
+          UNION SELECT r.u, b.v FROM reach r JOIN both_ways b ON r.v = b.u),
+classes AS (SELECT r.u AS node, min(f.verdict) AS verdict
+            FROM reach r JOIN nodes n ON n.node = r.v JOIN fits f ON f.url = n.url GROUP BY r.u)
+SELECT p.page_id, n.host, n.path, f.rule,
+       coalesce(f.verdict, c.verdict, 'allow') AS verdict
+FROM pages p JOIN nodes n ON n.url IS NOT DISTINCT FROM p.url
+LEFT JOIN fits f ON f.url = p.url LEFT JOIN classes c ON c.node = n.node
+"""
