@@ -15,6 +15,8 @@ from opinara.llm import (
     language_id,
     mixing,
     near_dedup,
+    token_counter,
+    token_files,
     url_filter,
     warc,
 )
@@ -91,6 +93,22 @@ def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path(WORD_BPE)
+    shards = token_files.placed(token_files.write(table(spark, folder, "documents"), path))
+    return token_files.checksums(token_files.read(shards))
+
+
+@query
+def op8_token_counter(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").withColumn(
+        "n_bytes", F.octet_length(F.coalesce("text", F.lit(""))).cast("long")
+    )
+    counted = token_counter.count_tokens(docs, public_tokenizers.path(WORD_BPE), ("doc_id", "n_bytes"))
+    return counted.withColumn("over_limit", F.col("n_tokens") > 2048)
+
+
 @query
 def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.decisions(table(spark, folder, "documents"))
