@@ -7,7 +7,6 @@ class totals count scored words, ranks are plain windows.
 from __future__ import annotations
 
 from opinara.functions import stemming as st
-from opinara.functions import text as fn
 from opinara.functions.wordlists import IRREGULAR_LEMMAS, STOP_WORDS
 
 
@@ -109,13 +108,61 @@ def porter_steps(source: str) -> dict[str, str]:
     return ctes | {"stems": f"SELECT word, replace(w, 'Y', 'y') AS stem FROM {last}"}
 
 
-def _rules(rules) -> str:
-    cases = " ".join(
-        f"WHEN regexp_matches(word, '{pattern}') THEN regexp_replace(word, '{part}', '{new}')"
-        for pattern, part, new in rules
-    )
-    return f"CASE {cases} ELSE word END"
-
+# Inflections by the stem `b` that is left without -ed or -ing, restated for SQL.
+LEMMA_OF_PAST = r"""CASE
+    WHEN regexp_matches(word, '^(agr|decr|disagr|fr|guarant|refer)eed$') THEN left(word, -1)
+    WHEN word LIKE '%eed' THEN word
+    WHEN regexp_matches(word, '^([dltv]|bel|unt)ied$') THEN left(word, -1)
+    WHEN regexp_matches(word, '[a-z]ied$') THEN left(word, -3) || 'y'
+    WHEN regexp_matches(word, '^([dltv]|bel|underl|unt)ying$') THEN left(word, -4) || 'ie'
+    WHEN word IN ('canoeing', 'dyeing', 'eyeing', 'shoeing', 'singeing', 'tingeing')
+        THEN left(word, -3)
+    WHEN b IN ('frolick', 'mimick', 'panick', 'picnick', 'traffick', 'quizz') THEN left(b, -1)
+    WHEN b IN ('add', 'butt', 'ebb', 'egg', 'err', 'putt', 'purr') THEN b
+    WHEN regexp_matches(b, '[aeiouy].*(bb|dd|gg|mm|nn|pp|rr|tt)$') THEN left(b, -1)
+    WHEN b IN ('appall', 'befall', 'enroll', 'foretell', 'fulfill', 'install', 'misspell',
+               'recall', 'refill', 'unroll') THEN b
+    WHEN regexp_matches(b, '[aeiouy][^aeiouy]+[aeiouy]+ll$') THEN left(b, -1)
+    WHEN b IN ('arrang', 'aveng', 'bing', 'challeng', 'chang', 'cring', 'exchang', 'fring', 'hing',
+               'infring', 'loung', 'lung', 'plung', 'rang', 'rearrang', 'reveng', 'spong', 'ach', 'bath',
+               'breath', 'cloth', 'hast', 'past', 'sooth', 'tast', 'wast', 'compet', 'complet',
+               'creat', 'delet', 'denot', 'devot', 'promot', 'quot', 'recreat', 'excit', 'ignit',
+               'incit', 'invit', 'recit', 'unit', 'condon', 'conven', 'interven', 'postpon', 'ador',
+               'deplor', 'explor', 'ignor', 'implor', 'restor', 'underscor', 'adher', 'interfer',
+               'persever', 'becom', 'consol', 'escap', 'exhal', 'inhal', 'overcom', 'renam',
+               'reshap', 'welcom') THEN b || 'e'
+    WHEN b IN ('bias', 'canvas', 'collar', 'debut', 'devil', 'focus', 'margin', 'murmur', 'pencil',
+               'ruin', 'sugar') THEN b
+    WHEN regexp_matches(b, '[^aeo](at|[aiou]d|ed|[iu]r|ar|u[nmt]|ib|ul)$')
+      OR regexp_matches(b, '[^aeou]i[nl]$')
+      OR regexp_matches(b, '([bcdfgkpstz]l|yz|[aeiouy]z|[cuv]|[dlraeiou]g)$')
+      OR regexp_matches(b, '[aeiouy][a-z]*[^s]s$') OR regexp_matches(b, '^[a-z]?[aeiou]s$')
+      OR regexp_matches(b, '[^aeiouy][aiou]k$')
+      OR regexp_matches(b, '^[^aeiouy]*[aeiouy][^aeiouywx]$') THEN b || 'e'
+    ELSE b END"""
+LEMMA_OF_PLURAL = r"""CASE
+    WHEN regexp_matches(word, '(ss|us|is|ics)$') THEN word
+    WHEN regexp_matches(word, '^[a-z]ies$') OR word IN (
+        'aunties', 'besties', 'birdies', 'brownies', 'calories', 'collies', 'cookies', 'cuties',
+        'foodies', 'freebies', 'genies', 'goalies', 'groupies', 'hippies', 'hoodies', 'junkies',
+        'movies', 'newbies', 'pixies', 'prairies', 'rookies', 'selfies', 'smoothies', 'sorties',
+        'sweeties', 'talkies', 'techies', 'townies', 'veggies', 'walkies', 'zombies')
+        THEN left(word, -1)
+    WHEN word LIKE '%ies' THEN left(word, -3) || 'y'
+    WHEN regexp_matches(word, '^(buffal|carg|domin|ech|embarg|her|mang|mosquit|potat|tomat|tornad'
+                              || '|torped|vet|volcan|zer)oes$') THEN left(word, -2)
+    WHEN left(word, -2) IN (
+        'alias', 'atlas', 'bias', 'bonus', 'bus', 'campus', 'canvas', 'census', 'chorus', 'circus',
+        'focus', 'gas', 'genius', 'iris', 'lens', 'minus', 'plus', 'sinus', 'status', 'surplus',
+        'virus') AND word LIKE '%es' THEN left(word, -2)
+    WHEN word = 'quizzes' THEN 'quiz'
+    WHEN word IN ('aches', 'backaches', 'earaches', 'headaches', 'heartaches', 'stomachaches',
+                  'toothaches', 'avalanches', 'caches', 'mustaches', 'niches', 'quiches')
+        THEN left(word, -1)
+    WHEN regexp_matches(word, '(ch|sh|ss|x|zz)es$') THEN left(word, -2)
+    WHEN regexp_matches(word, '[a-z]{3,}men$') THEN left(word, -2) || 'an'
+    WHEN regexp_matches(word, '[a-z]{2,}s$') THEN left(word, -1)
+    ELSE word END"""
 
 STEMMED = WORDS | {
     "positions": """SELECT review_id, unnest(words) AS word, generate_subscripts(words, 1) AS pos
@@ -130,16 +177,20 @@ STEMMED = WORDS | {
 LEMMATIZED = REVIEWS | {
     "pieces": f"""
         SELECT review_id, unnest(p) AS word, generate_subscripts(p, 1) AS pos FROM (
-            SELECT review_id, regexp_extract_all(
-                regexp_replace({LOWER}, {quoted(fn.NEGATION)}, ' n''t', 'g'),
-                {quoted(fn.LEMMA_TOKEN)}, 1) AS p FROM reviews)""",
+            SELECT review_id, regexp_extract_all(regexp_replace(regexp_replace(regexp_replace(
+                regexp_replace(replace({LOWER}, '’', ''''), '\\bcan''t\\b', 'can n''t', 'g'),
+                '\\bwon''t\\b', 'will n''t', 'g'), '\\bshan''t\\b', 'shall n''t', 'g'),
+                'n''t\\b', ' n''t', 'g'),
+                '(n''t|''(?:s|m|re|ve|ll|d)\\b|\\p{{L}}+|\\p{{N}}+|[^\\s\\p{{L}}\\p{{N}}])', 1
+            ) AS p FROM reviews)""",
     "lemmas": f"""
         SELECT word, CASE
             {" ".join(f"WHEN word = {quoted(f)} THEN {quoted(l)}" for f, l in IRREGULAR_LEMMAS.items())}
-            WHEN word LIKE '%s' THEN {_rules(fn.LEMMA_RULES_S)}
-            WHEN word LIKE '%ed' OR word LIKE '%ing' THEN {_rules(fn.LEMMA_RULES_ED_ING)}
+            WHEN word LIKE '%s' OR word LIKE '%men' THEN {LEMMA_OF_PLURAL}
+            WHEN regexp_matches(word, '[aeiouy].*(ed|ing)$') THEN {LEMMA_OF_PAST}
             ELSE word END AS lemma
-        FROM (SELECT DISTINCT word FROM pieces)""",
+        FROM (SELECT word, regexp_replace(word, '(ed|ing)$', '') AS b
+              FROM (SELECT DISTINCT word FROM pieces))""",
     "lemmatized": """
         SELECT r.review_id, r.overall, coalesce(s.text, '') AS text
         FROM reviews r LEFT JOIN (

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opinara.functions import text as fn
+from opinara.functions.lemmas import lemmatize
 from opinara.functions.stemming import stem_words
 from opinara.operators import naive_bayes as nb
 from opinara.operators import reports, reviews, sampling, selection, word_stats
@@ -262,7 +263,7 @@ def stem_words_(t: Tables) -> DataFrame:
 @query
 def lemmatize_words(t: Tables) -> DataFrame:
     return t.reviews.select(
-        "review_id", fn.join_tokens(fn.lemmatize(F.col("reviewText"))).alias("text")
+        "review_id", fn.join_tokens(lemmatize(F.col("reviewText"))).alias("text")
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from opinara.functions.wordlists import IRREGULAR_LEMMAS, STOP_WORDS
+from opinara.functions.wordlists import STOP_WORDS
 
 # What the cleaning step treats as neither letter nor white space, in lower-cased
 # text. (Naming A-Z too would change nothing and make Java's matcher several times slower.)
@@ -87,58 +87,3 @@ def word_bag(words: Column) -> Column:
         )[0]
 
     return F.transform(F.array(F.sort_array(F.array_remove(words, ""))), runs)[0]
-
-
-# Word, clitic, number and punctuation pieces of lower-cased English text.
-LEMMA_TOKEN = r"(n't|'(?:s|m|re|ve|ll|d)\b|\p{L}+|\p{N}+|[^\s\p{L}\p{N}])"
-NEGATION = r"n't\b"
-
-
-def lemma_tokens(text: Column) -> Column:
-    """Tokens of the raw lower-cased text, punctuation included; clitics stand alone."""
-    apart = F.regexp_replace(lowercase_text(text), NEGATION, " n't")
-    return F.regexp_extract_all(apart, F.lit(LEMMA_TOKEN), F.lit(1))
-
-
-# Suffix rules for regular inflections, first match wins. Each line is
-# "pattern of the word | part to replace | replacement", tried within its ending group.
-LEMMA_RULES_S = (
-    (r"(ss|us|is)$", r"$", ""),
-    (r"[a-z]{2,}ies$", r"ies$", "y"),
-    (r"(ch|sh|ss|x|zz)es$", r"es$", ""),
-    (r"[a-z]{2,}s$", r"s$", ""),
-)
-LEMMA_RULES_ED_ING = (
-    (r"[a-z]{2,}ied$", r"ied$", "y"),
-    (r"eed$", r"$", ""),
-    (r"[aeiouy].*(bb|dd|gg|mm|nn|pp|rr|tt)(ed|ing)$", r".(ed|ing)$", ""),
-    (r"[aeiouy].*(at|bl|iz|v|u|c|rg|dg)(ed|ing)$", r"(ed|ing)$", "e"),
-    (r"^[^aeiouy]*[aeiouy][^aeiouywx](ed|ing)$", r"(ed|ing)$", "e"),
-    (r"[aeiouy].*(ed|ing)$", r"(ed|ing)$", ""),
-)
-
-
-def _first_rule(word: Column, rules: tuple[tuple[str, str, str], ...]) -> Column:
-    chain = F
-    for pattern, part, replacement in rules:
-        chain = chain.when(word.rlike(pattern), F.regexp_replace(word, part, replacement))
-    return chain.otherwise(word)
-
-
-def lemma(word: Column) -> Column:
-    """Lemma of one lower-case token: irregular forms first, then a suffix rule, else itself.
-
-    The hashed `isin` keeps the map lookup, and the plain endings keep the patterns, away
-    from the many words that need neither.
-    """
-    irregular = F.create_map(*[F.lit(x) for pair in IRREGULAR_LEMMAS.items() for x in pair])
-    return (
-        F.when(word.isin(*IRREGULAR_LEMMAS), F.element_at(irregular, word))
-        .when(word.endswith("s"), _first_rule(word, LEMMA_RULES_S))
-        .when(word.endswith("ed") | word.endswith("ing"), _first_rule(word, LEMMA_RULES_ED_ING))
-        .otherwise(word)
-    )
-
-
-def lemmatize(text: Column) -> Column:
-    return F.transform(lemma_tokens(text), lemma)

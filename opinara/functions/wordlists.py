@@ -68,6 +68,41 @@ sell: sold
 sleep: slept
 steal: stole stolen
 forget: forgot forgotten
+understand: understood
+hide: hid hidden
+ride: rode ridden
+rise: rose risen
+grow: grew grown
+fly: flew flown
+draw: drew drawn
+eat: ate eaten
+drink: drank drunk
+sing: sang sung
+swim: swam swum
+ring: rang rung
+win: won
+fight: fought
+seek: sought
+shoot: shot
+stick: stuck
+hang: hung
+swear: swore sworn
+tear: tore torn
+bite: bit bitten
+wake: woke woken
+freeze: froze frozen
+shake: shook shaken
+blow: blew blown
+lead: led
+feed: fed
+lend: lent
+bend: bent
+deal: dealt
+dig: dug
+shine: shone
+slide: slid
+strike: struck
+sink: sank sunk
 child: children
 man: men
 woman: women
@@ -79,12 +114,24 @@ knife: knives
 wife: wives
 shelf: shelves
 half: halves
+leaf: leaves
+wolf: wolves
+thief: thieves
+loaf: loaves
+self: selves
+scarf: scarves
+person: people
+analysis: analyses
+crisis: crises
+thesis: theses
+basis: bases
 """.strip()
 
 # Forms that end like an inflection but are not one.
 _UNCHANGED = """
-nothing something anything everything during evening morning ceiling building always perhaps
-this his its us thus yes plus less news series species gas bus lens hundred
+nothing something anything everything during evening morning ceiling building wedding always
+perhaps this his its us thus yes plus less news series species gas bus lens hundred naked wicked
+sacred indeed afterwards towards sometimes nowadays besides specimen regimen abdomen acumen
 """.split()
 
 IRREGULAR_LEMMAS: dict[str, str] = {

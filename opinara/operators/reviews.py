@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opinara.functions import text as fn
+from opinara.functions.lemmas import lemmatize
 from opinara.functions.stemming import stem_words
 
 # Output columns of the three cleaning variants, and the rating classes.
@@ -38,7 +39,7 @@ def clean_text(
     build = {
         "plain": lambda: F.col("filtered_words"),
         "stemmed": lambda: stem_words(F.col("filtered_words")),
-        "lemmatized": lambda: fn.lemmatize(F.col(text)),
+        "lemmatized": lambda: lemmatize(F.col(text)),
     }
     names = [VARIANTS[v] for v in variants]
     cleaned = filtered.select(
