@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator, Sequence
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,8 +27,10 @@ from opinara.llm.batches import blocks, ragged, texts
 from opinara.llm.pieces import Splitter, byte_characters
 
 NEVER = np.iinfo(np.int64).max
-WORD_END = ""
-CACHED_WORDS = 200_000
+WORD_END = "\ue000"
+HEAD = 3
+SHORT_WORD = 48
+CACHED_WORDS = 400_000
 BLOCK_BYTES = 2 << 20
 DECODED_ROWS = 512
 Batches = Iterator[pa.RecordBatch]
@@ -70,8 +73,13 @@ class Merges:
         whole = self.compatible(self.left[made], self.right[made], self.rank[made])
         unreached = {int(i) for i in made[~whole]}
         self.greedy = {t: i for t, i in self.tokens.items() if i not in unreached}
-        self.longest = max(map(len, self.greedy))
+        # How long tokens with the same beginning are at most.
+        self.reach: dict[str, int] = {}
+        for token in self.greedy:
+            head = token[:HEAD]
+            self.reach[head] = max(self.reach.get(head, 0), len(token))
         self.table = byte_characters()
+        self._rules, self.by_rank = None, []
 
     def merge_rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """When a pair merges; `NEVER` for pairs without a rule."""
@@ -108,10 +116,11 @@ class Merges:
     def propose(self, word: str) -> list[int]:
         """Greedy longest match; the word end belongs to the last character."""
         spelled, found, at = self.spelled(word), [], 0
-        get, size = self.greedy.get, len(spelled)
+        get, reach, size = self.greedy.get, self.reach.get, len(spelled)
         open_end = size - 1 if self.suffix else -1  # would leave the word end alone
         while at < size:
-            for end in range(min(size, at + self.longest), at, -1):
+            most = reach(spelled[at : at + HEAD], HEAD - 1)
+            for end in range(min(size, at + most), at, -1):
                 token = get(spelled[at:end])
                 if token is not None and end != open_end:
                     break
@@ -128,44 +137,61 @@ class Merges:
         if self.suffix:
             parts[-1] += WORD_END
         ids = [self.tokens[p] for p in parts]
+        return self._merge_short(ids) if len(ids) <= SHORT_WORD else self._merge_long(ids)
+
+    def _merge_short(self, ids: list[int]) -> list[int]:
+        get, size = self.rules().get, self.size
+        never = len(self.by_rank)
+        ranks = [get(a * size + b, never) for a, b in zip(ids, ids[1:])]
+        while ranks:
+            rank = min(ranks)
+            if rank == never:
+                break
+            i = ranks.index(rank)
+            ids[i : i + 2] = [self.by_rank[rank]]
+            del ranks[i]
+            if i:
+                ranks[i - 1] = get(ids[i - 1] * size + ids[i], never)
+            if i < len(ranks):
+                ranks[i] = get(ids[i] * size + ids[i + 1], never)
+        return ids
+
+    def _merge_long(self, ids: list[int]) -> list[int]:
         after = [*range(1, len(ids)), -1]
         before = list(range(-1, len(ids) - 1))
-        rules = self.rules()
+        rules, size = self.rules(), self.size
         heap = [
-            (rule[0], i) for i, pair in enumerate(zip(ids, ids[1:])) if (rule := rules.get(pair))
+            (rank, i)
+            for i, (a, b) in enumerate(zip(ids, ids[1:]))
+            if (rank := rules.get(a * size + b)) is not None
         ]
         heapq.heapify(heap)
         while heap:
-            order, i = heapq.heappop(heap)
+            rank, i = heapq.heappop(heap)
             j = after[i] if ids[i] >= 0 else -1
-            rule = rules.get((ids[i], ids[j])) if j >= 0 else None
-            if rule is None or rule[0] != order:
+            if j < 0 or rules.get(ids[i] * size + ids[j]) != rank:
                 continue
-            ids[i], ids[j], after[i] = rule[1], -1, after[j]
+            ids[i], ids[j], after[i] = self.by_rank[rank], -1, after[j]
             if after[j] >= 0:
                 before[after[j]] = i
             for x in (before[i], i):
                 y = after[x] if x >= 0 else -1
-                if y >= 0 and (rule := rules.get((ids[x], ids[y]))):
-                    heapq.heappush(heap, (rule[0], x))
+                if y >= 0 and (rank := rules.get(ids[x] * size + ids[y])) is not None:
+                    heapq.heappush(heap, (rank, x))
         return [i for i in ids if i >= 0]
 
-    def rules(self) -> dict[tuple[int, int], tuple[int, int]]:
-        if not hasattr(self, "_rules"):
-            left, right = np.divmod(self.keys, self.size)
-            self._rules = dict(
-                zip(
-                    zip(left.tolist(), right.tolist()),
-                    zip(self.order.tolist(), self.made.tolist()),
-                )
-            )
+    def rules(self) -> dict[int, int]:
+        """Ranks of the pairs that merge; made for the first failing word."""
+        if self._rules is None:
+            self._rules = dict(zip(self.keys.tolist(), self.order.tolist()))
+            self.by_rank = self.made[np.argsort(self.order)].tolist()
         return self._rules
 
     def encode_words(self, words: Sequence[str]) -> list[list[int]]:
         """Encodings of distinct words: proposals, of which the failing ones are merged."""
         proposals = [self.propose(w) for w in words]
         lengths = np.fromiter(map(len, proposals), dtype=np.int64, count=len(proposals))
-        flat = np.fromiter((t for p in proposals for t in p), dtype=np.int64, count=lengths.sum())
+        flat = np.fromiter(chain.from_iterable(proposals), dtype=np.int64, count=lengths.sum())
         word = np.repeat(np.arange(len(words)), lengths)
         inner = np.flatnonzero(word[1:] == word[:-1])
         pairs, back = np.unique(flat[inner] * self.size + flat[inner + 1], return_inverse=True)
@@ -180,13 +206,18 @@ class Encoder:
 
     def __init__(self, path: str):
         self.splitter = Splitter(path)
-        self.merges = Merges(self.splitter.settings["model"])
+        self.merges: Merges | None = None
         self.forget()
 
     def forget(self) -> None:
         self.index: dict[str, int] = {}
         self.flat, self.starts = np.empty(0, dtype=np.int32), np.zeros(1, dtype=np.int64)
 
+    def encode_words(self, words: Sequence[str]) -> list[list[int]]:
+        if self.merges is None:
+            self.merges = Merges(self.splitter.settings["model"])
+        return self.merges.encode_words(words)
+
     def learn(self, words: set[str]) -> None:
         if len(self.index) > CACHED_WORDS:
             self.forget()
@@ -195,11 +226,11 @@ class Encoder:
             return
         specials = self.splitter.specials
         plain = [w for w in new if w not in specials]
-        encoded = self.merges.encode_words(plain) + [[specials[w]] for w in new if w in specials]
+        encoded = self.encode_words(plain) + [[specials[w]] for w in new if w in specials]
         ordered = plain + [w for w in new if w in specials]
         self.index.update(zip(ordered, range(len(self.index), len(self.index) + len(new))))
         lengths = np.fromiter(map(len, encoded), dtype=np.int64, count=len(encoded))
-        added = np.fromiter((t for e in encoded for t in e), dtype=np.int32, count=lengths.sum())
+        added = np.fromiter(chain.from_iterable(encoded), dtype=np.int32, count=lengths.sum())
         self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(lengths)])
         self.flat = np.concatenate([self.flat, added])
 
@@ -212,7 +243,7 @@ class Encoder:
         self.learn(words)
         per_text = np.fromiter(map(len, split), dtype=np.int64, count=len(split))
         at = np.fromiter(
-            (i for s in split for i in map(self.index.__getitem__, s)),
+            map(self.index.__getitem__, chain.from_iterable(split)),
             dtype=np.int64,
             count=per_text.sum(),
         )
