@@ -176,7 +176,7 @@ def in_order(docs: DataFrame, key: str = "doc_id", column: str = "text") -> Data
         .select("id", "text", F.explode("to").alias("to"))
         .select(F.col("to.run").alias("run"), F.col("to.last").alias("last"), "id", "text")
     )
-    return copies.repartition(tasks, "run").sortWithinPartitions("run", "last", "id", "text")
+    return copies.repartitionById(tasks, "run").sortWithinPartitions("run", "last", "id", "text")
 
 
 def edited_fingerprints(
