@@ -220,7 +220,7 @@ def statistics(source: str) -> dict[str, str]:
         "tf": """SELECT review_id, sentiment, word, n, review_len, n / review_len AS tf
                  FROM counts JOIN lengths USING (review_id, sentiment)""",
         "frequencies": """
-            SELECT word, count(*) AS df,
+            SELECT word, sum(n)::BIGINT AS frequency, count(*) AS df,
                    count(*) FILTER (sentiment = 'POSITIVE') AS pos_df,
                    count(*) FILTER (sentiment = 'NEGATIVE') AS neg_df
             FROM counts GROUP BY word""",
@@ -230,7 +230,7 @@ def statistics(source: str) -> dict[str, str]:
         "ranked": """
             SELECT review_id, sentiment, word, tfidf,
                    row_number() OVER (PARTITION BY review_id, sentiment
-                                      ORDER BY round(tfidf, 10) DESC, word) AS rank,
+                                      ORDER BY round(ln(nullif(tfidf, 0)), 11) DESC NULLS LAST, word) AS rank,
                    count(*) OVER (PARTITION BY review_id, sentiment) AS n_words
             FROM scored""",
         "features": """SELECT review_id, sentiment, word, tfidf, rank
@@ -249,7 +249,7 @@ def statistics(source: str) -> dict[str, str]:
         "top_words": """
             SELECT * FROM (
                 SELECT word, sentiment, avg_tfidf, row_number() OVER (
-                    PARTITION BY sentiment ORDER BY round(avg_tfidf, 10) DESC, word) AS rank
+                    PARTITION BY sentiment ORDER BY round(ln(nullif(avg_tfidf, 0)), 11) DESC NULLS LAST, word) AS rank
                 FROM averages) WHERE rank <= 10""",
         "model": """
             SELECT word, count(*) FILTER (sentiment = 'POSITIVE') AS pos_count,
@@ -351,11 +351,17 @@ def marked() -> str:
 
 
 def _line_fields() -> str:
-    line = """concat_ws(',', review_id::VARCHAR, coalesce(overall::VARCHAR, '0'),
-        CASE WHEN overall IS NOT NULL THEN regexp_replace("reviewText", '[\\r\\n]+', ' ', 'g')
-             ELSE ',,' END)"""
+    line = """concat_ws(',', review_id::VARCHAR, coalesce(overall::VARCHAR, '0.0'),
+        regexp_replace("reviewText", '[\\r\\n]+', ' ', 'g'))"""
     return f"""SELECT f[1] AS review_id, f[2]::DOUBLE AS overall, f[3] AS text FROM (
-        SELECT string_split(rtrim({line}, ','), ',') AS f FROM reviews) WHERE len(f) >= 3"""
+        SELECT string_split(rtrim({line}, ','), ',') AS f FROM reviews) WHERE len(f) >= 3
+        UNION ALL
+        SELECT {line}, NULL, 'fields' FROM reviews
+        WHERE len(string_split(rtrim({line}, ','), ',')) < 3
+        UNION ALL
+        SELECT review_id || ',5.0,,', NULL, 'fields' FROM reviews WHERE review_id % 200 = 0
+        UNION ALL
+        SELECT review_id || ',five,text', NULL, 'rating' FROM reviews WHERE review_id % 200 = 100"""
 
 
 REPORTS = """
@@ -374,7 +380,11 @@ LONG_METRICS = "\nUNION ALL\n".join(
 DATASETS = "\nUNION ALL\n".join(
     f"""SELECT '{name}_{{variant}}' AS dataset,
                count(*) FILTER (overall < 5.0) AS n_negative,
-               count(*) FILTER (overall = 5.0) AS n_positive FROM {source}"""
+               count(*) FILTER (overall = 5.0) AS n_positive,
+               sum(length(text))::BIGINT AS n_characters,
+               sum(('0x' || left(md5(concat_ws(':', overall::INT, text)), 8))::BIGINT)::BIGINT
+                   AS checksum
+        FROM {source}"""
     for name, source in (("train", "train_set"), ("test", "test_set"), ("final", "balanced"))
 )
 
@@ -395,7 +405,7 @@ ORACLE: dict[str, str] = {
     "csv_reviews": with_ctes(PLAIN, 'SELECT review_id AS "index", overall, text FROM texts'),
     "lenient_lines": with_ctes(REVIEWS, _line_fields()),
     "tsv_stage_scan": with_ctes(ALL_STATS, f"SELECT word, {marked()} AS review, n AS count FROM counts"),
-    "csv_export": with_ctes(SPLIT, "SELECT overall, text FROM classes"),
+    "csv_export": with_ctes(PLAIN, "SELECT overall, text FROM texts"),
     "tsv_export": with_ctes(
         ALL_STATS,
         f"SELECT concat(word, '@', {marked()}) AS word_review, concat(n, '/', review_len) AS tf FROM tf",
@@ -489,14 +499,19 @@ ORACLE: dict[str, str] = {
         """SELECT * FROM reviews WHERE overall IN (1.0, 2.0)
            UNION ALL SELECT * FROM reviews WHERE overall = 5.0""",
     ),
-    "shuffled_rows": with_ctes(SPLIT, "SELECT * FROM classes"),
+    "shuffled_rows": with_ctes(PLAIN, "SELECT * FROM texts"),
     "train_test_split": with_ctes(
         SPLIT,
         """SELECT review_id, overall, 'train' AS part FROM train_set
            UNION ALL SELECT review_id, overall, 'test' FROM test_set""",
     ),
     "index_rows": with_ctes(
-        SPLIT, "SELECT count(*) AS n_rows, count(*) AS n_indexes, TRUE AS from_one FROM classes"
+        PLAIN, "SELECT count(*) AS n_rows, count(*) AS n_indexes, TRUE AS from_one FROM texts"
+    ),
+    "index_rows_contiguous": with_ctes(
+        PLAIN,
+        """SELECT row_number() OVER (ORDER BY md5(concat(review_id, ':123:order')), review_id)
+                      AS index, overall, text FROM texts""",
     ),
     # word statistics
     "word_count": with_ctes(ALL_STATS, "SELECT * FROM counts"),

@@ -36,9 +36,7 @@ class Tables:
 
     @property
     def reviews(self) -> DataFrame:
-        return readers.reviews_from_documents(
-            readers.spread(self.table("documents")), self.table("labels")
-        )
+        return readers.reviews_from_documents(self.table("documents"), self.table("labels"))
 
     @property
     def words(self) -> DataFrame:
@@ -85,8 +83,8 @@ class Tables:
         train_set, test_set = self.split()
         return test_set, *train.train_model(train.word_frames(train_set))
 
-    def predictions(self) -> DataFrame:
-        return train.evaluate(*self.model())
+    def predictions(self, mode: str = "reference") -> DataFrame:
+        return train.evaluate(*self.model(), mode)
 
 
 def query(build: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
@@ -118,13 +116,25 @@ def csv_reviews(t: Tables) -> DataFrame:
 
 @query
 def lenient_lines(t: Tables) -> DataFrame:
-    """Raw one-line texts behind id and rating; unrated reviews make lines of two fields."""
+    """One-line texts behind id and rating, 0 if unrated, and a bad line for each hundredth id:
+    one of two fields or one whose rating is no number. Reviews and rejects in one frame."""
     one_line = F.regexp_replace("reviewText", r"[\r\n]+", " ")
-    tail = F.when(F.col("overall").isNotNull(), one_line).otherwise(",,")
-    line = F.concat_ws(",", "review_id", F.coalesce(F.col("overall").cast("string"), F.lit("0")), tail)
+    rating = F.coalesce(F.col("overall").cast("string"), F.lit("0.0"))
+    line = F.concat_ws(",", "review_id", rating, one_line)
+    id_ = F.col("review_id")
+    bad = F.when(id_ % 200 == 0, F.concat(id_, F.lit(",5.0,,"))).when(
+        id_ % 200 == 100, F.concat(id_, F.lit(",five,text"))
+    )
     path = scratch_path(t.spark, "lines")
-    t.reviews.select(line.alias("value")).write.text(path)
-    return readers.lenient_lines(readers.read_lines(t.spark, path))
+    lines = t.reviews.select(F.explode(F.array_compact(F.array(line, bad))).alias("value"))
+    lines.write.text(path)
+    lines = readers.read_lines(t.spark, path)
+    good = readers.lenient_lines(lines, drop_bad_ratings=True)
+    rejected = readers.rejected_lines(lines).select(
+        F.col("value").alias("review_id"), F.lit(None).cast("double").alias("overall"),
+        F.col("reason").alias("text"),
+    )
+    return good.unionByName(rejected)
 
 
 @query
@@ -132,13 +142,13 @@ def tsv_stage_scan(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "wordcount")
     writers.write_tsv(writers.stage_wordcount(t.counts), path)
     stage = readers.read_stage(t.spark, path, "wordcount")
-    return writers.split_key(stage, "word_review", ("word", "review"))
+    return writers.split_key(stage, "word_review", ("word", "review"), last=True)
 
 
 @query
 def csv_export(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "csv")
-    writers.write_csv(t.classes.select("overall", "text"), path)
+    writers.write_csv(t.texts.select("overall", "text"), path)
     return readers.read_csv_reviews(t.spark, path, readers.BALANCED_SCHEMA)
 
 
@@ -291,7 +301,10 @@ def clean_text(t: Tables) -> DataFrame:
 def composite_key(t: Tables) -> DataFrame:
     keyed = writers.stage_wordcount(t.counts)
     return writers.split_key(
-        keyed.withColumn("whole_key", F.col("word_review")), "word_review", ("word", "review")
+        keyed.withColumn("whole_key", F.col("word_review")),
+        "word_review",
+        ("word", "review"),
+        last=True,
     )
 
 
@@ -323,7 +336,7 @@ def union_classes(t: Tables) -> DataFrame:
 
 @query
 def shuffled_rows(t: Tables) -> DataFrame:
-    return sampling.shuffled_rows(t.classes.select("review_id", "overall", "text"))
+    return sampling.shuffled_rows(t.texts)
 
 
 @query
@@ -338,7 +351,7 @@ def train_test_split(t: Tables) -> DataFrame:
 @query
 def index_rows(t: Tables) -> DataFrame:
     """Index values depend on the partitioning; what must hold is checked instead."""
-    indexed = sampling.index_rows(t.classes, "text")
+    indexed = sampling.index_rows(t.texts, "text")
     return indexed.agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count_distinct("index").alias("n_indexes"),
@@ -346,6 +359,12 @@ def index_rows(t: Tables) -> DataFrame:
     )
 
 
+@query
+def index_rows_contiguous(t: Tables) -> DataFrame:
+    """Consecutive numbers in the pseudo-random order."""
+    return sampling.index_rows(sampling.shuffled_rows(t.texts), "text", contiguous=True)
+
+
 # Word statistics
 
 
@@ -402,7 +421,7 @@ def avg_tfidf_by_sentiment(t: Tables) -> DataFrame:
 
 @query
 def feature_word_frequency(t: Tables) -> DataFrame:
-    return reports.feature_word_frequency(selection.feature_text(t.frames.features))
+    return reports.feature_word_frequency(t.frames.features)
 
 
 # Naive Bayes
@@ -434,21 +453,18 @@ def word_probabilities(t: Tables) -> DataFrame:
 
 @query
 def score_reviews(t: Tables) -> DataFrame:
-    test, counts, statistics = t.model()
-    scored = nb.score_reviews(test, nb.review_bags(test), counts, statistics)
-    return rounded(scored.select("review_id", "pos_ll", "neg_ll"), "pos_ll", "neg_ll")
+    return rounded(t.predictions().select("review_id", "pos_ll", "neg_ll"), "pos_ll", "neg_ll")
 
 
 @query
 def score_reviews_standard(t: Tables) -> DataFrame:
-    test, counts, statistics = t.model()
-    scored = nb.score_reviews(test, nb.review_bags(test), counts, statistics, mode="standard")
+    scored = t.predictions("standard")
     return rounded(scored.select("review_id", "pos_ll", "neg_ll"), "pos_ll", "neg_ll")
 
 
 @query
 def predict_sentiment(t: Tables) -> DataFrame:
-    return t.predictions().select("review_id", "text", "predicted").orderBy("review_id")
+    return t.predictions().select("review_id", "text", "predicted")
 
 
 @query
@@ -465,7 +481,7 @@ def classification_metrics(t: Tables) -> DataFrame:
 @query
 def model_lookup_join(t: Tables) -> DataFrame:
     test, counts, statistics = t.model()
-    words = word_stats.unpack_bags(nb.review_bags(test))
+    words = word_stats.unpack_bags(materialize(nb.review_bags(test), "test-bags"))
     joined = nb.model_lookup_join(words, counts, statistics)
     return joined.withColumns({c: F.round(c, 9) for c in ("pos_prob", "neg_prob")})
 
@@ -485,7 +501,9 @@ def scalar_stats_join(t: Tables) -> DataFrame:
 def top_fraction_per_group(t: Tables) -> DataFrame:
     lines = t.table("lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
     order = [F.col("l_extendedprice").desc(), F.col("l_linenumber").asc()]
-    return selection.top_fraction_per_group(lines, ["l_orderkey"], order, selection.KEPT_SHARE)
+    return selection.top_fraction_per_group(
+        lines, ["l_orderkey"], order, selection.KEPT_SHARE, bounded_groups=True
+    )
 
 
 @query
@@ -514,12 +532,22 @@ def head_preview(t: Tables) -> DataFrame:
 
 @query
 def prepare_datasets(t: Tables) -> DataFrame:
-    """Writes the nine datasets and counts what arrived in each."""
+    """Writes the nine datasets and sums up what arrived in each: class sizes, the lengths of
+    the texts, and a checksum of ratings and texts that no order changes."""
     summaries = []
     for name, path in prepare.prepare_datasets(t.reviews, scratch_path(t.spark, "datasets")).items():
         schema = readers.BALANCED_SCHEMA if name.startswith("final") else readers.CSV_REVIEW_SCHEMA
-        counts = sampling.class_counts(readers.read_csv_reviews(t.spark, path, schema))
-        summaries.append(counts.select(F.lit(name).alias("dataset"), "*"))
+        rows = readers.read_csv_reviews(t.spark, path, schema)
+        mark = F.conv(F.substring(F.md5(F.concat_ws(":", F.col("overall").cast("int"), "text")), 1, 8), 16, 10)
+        summaries.append(
+            rows.agg(
+                F.lit(name).alias("dataset"),
+                F.count_if(reviews.is_negative()).alias("n_negative"),
+                F.count_if(reviews.is_positive()).alias("n_positive"),
+                F.sum(F.length("text")).alias("n_characters"),
+                F.sum(mark.cast("long")).alias("checksum"),
+            )
+        )
     return reduce(DataFrame.unionByName, summaries)
 
 

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from opinara.operators.reviews import explode_words, nonempty_tokens
-from opinara.operators.selection import SCORE_DIGITS
+from opinara.operators.selection import by_score
 
 # The word the frequency report leaves out, and the length of the top lists.
 EXCLUDED_WORDS = ["phone"]
@@ -26,16 +25,15 @@ def top_words_by_sentiment(averages: DataFrame, k: int = TOP_WORDS) -> DataFrame
 
     Spark cuts each task's rows to k per sentiment before the shuffle (window group limit).
     """
-    order = [F.round("avg_tfidf", SCORE_DIGITS).desc(), F.col("word").asc()]
+    order = [by_score("avg_tfidf"), F.col("word").asc()]
     ranks = F.row_number().over(Window.partitionBy("sentiment").orderBy(*order))
     top = averages.withColumn("rank", ranks).filter(F.col("rank") <= k)
     return top.withColumn("rank", F.col("rank").cast("long"))
 
 
-def feature_word_frequency(feature_texts: DataFrame) -> DataFrame:
-    """Word frequencies over all selected feature texts."""
-    words = nonempty_tokens(explode_words(feature_texts.select("text")))
-    return words.groupBy("word").agg(F.count(F.lit(1)).alias("frequency"))
+def feature_word_frequency(features: DataFrame) -> DataFrame:
+    """How many reviews selected each word."""
+    return features.groupBy("word").agg(F.count(F.lit(1)).alias("frequency"))
 
 
 def head_preview(df: DataFrame, order: list, n: int = 10) -> DataFrame:

@@ -68,8 +68,12 @@ def sentiment_label(reviews: DataFrame) -> DataFrame:
     )
 
 
+def multiword(text: Column) -> Column:
+    return fn.token_count(text) > 1
+
+
 def multiword_filter(reviews: DataFrame, text: str) -> DataFrame:
-    return reviews.filter(fn.token_count(F.col(text)) > 1)
+    return reviews.filter(multiword(F.col(text)))
 
 
 def explode_words(reviews: DataFrame, text: str = "text") -> DataFrame:

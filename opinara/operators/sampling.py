@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from opinara.functions.sampling import SEED, hash_fraction, hash_key
 from opinara.operators.reviews import is_negative, is_positive
+from opinara.session import PARTITION_SHIFT, materialize
 
 
 def class_counts(reviews: DataFrame) -> DataFrame:
@@ -21,12 +22,20 @@ def class_counts(reviews: DataFrame) -> DataFrame:
     )
 
 
-def balanced_sample(reviews: DataFrame, key: str = "review_id", seed: int = SEED) -> DataFrame:
-    """All negatives and a Bernoulli sample of positives of about the same size."""
-    fraction = class_counts(reviews).select(
-        F.least(F.lit(1.0), F.try_divide("n_negative", "n_positive"))
-    )
-    sampled = hash_fraction(F.col(key), f"{seed}:balance") < fraction.scalar()
+def balanced_sample(
+    reviews: DataFrame, key: str = "review_id", seed: int = SEED, fraction: float | None = None
+) -> DataFrame:
+    """All negatives and a Bernoulli sample of positives of about the same size.
+
+    `fraction`, the share of positives to keep, is counted if it is not given.
+    """
+    if fraction is None:
+        counts = class_counts(reviews)
+        share = F.least(F.lit(1.0), F.try_divide("n_negative", "n_positive"))
+        kept = counts.select(share).scalar()
+    else:
+        kept = F.lit(fraction)
+    sampled = hash_fraction(F.col(key), f"{seed}:balance") < kept
     return reviews.filter(is_negative() | (is_positive() & sampled))
 
 
@@ -47,8 +56,27 @@ def shuffled_rows(reviews: DataFrame, key: str = "review_id", seed: int = SEED)
     return reviews.orderBy(hash_key(F.col(key), f"{seed}:order"), key)
 
 
-def index_rows(reviews: DataFrame, text: str) -> DataFrame:
-    """Unique increasing index from 1, with gaps between partitions, as first column."""
-    return reviews.select(
-        (F.monotonically_increasing_id() + 1).alias("index"), "overall", F.col(text)
+def index_rows(reviews: DataFrame, text: str, contiguous: bool = False) -> DataFrame:
+    """Unique increasing index from 1 as first column.
+
+    It has gaps between partitions unless `contiguous`. Then the rows are written once, because
+    their places must not change between counting and numbering, and each partition's rows
+    start after the number of rows before it: no task sees more than its partition.
+    """
+    place = F.monotonically_increasing_id()
+    if not contiguous:
+        return reviews.select((place + 1).alias("index"), "overall", F.col(text))
+    placed = materialize(reviews.select(place.alias("_pos"), "overall", F.col(text)), "placed")
+    part = F.shiftright("_pos", PARTITION_SHIFT)
+    counts = placed.groupBy(part.alias("_part")).count().orderBy("_part").collect()
+    starts, before = [], 0
+    for row in counts:  # one row for each partition
+        starts.append((row["_part"], before))
+        before += row["count"]
+    table = reviews.sparkSession.createDataFrame(starts, "_part long, _before long")
+    within = F.col("_pos") - F.shiftleft(part, PARTITION_SHIFT)
+    return (
+        placed.withColumn("_part", part)
+        .join(F.broadcast(table), "_part")
+        .select((F.col("_before") + within + 1).alias("index"), "overall", text)
     )

@@ -6,14 +6,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from opinara.operators.word_stats import REVIEW
-from opinara.session import materialize
+from opinara.session import PARTITION_SHIFT, materialize
 
-# Share of each review's words that selection keeps, and the digits to which
-# scores count as equal.
+# Fixed value: share of each review's words that selection keeps.
 KEPT_SHARE = 0.75
-SCORE_DIGITS = 10
-# Partition number of monotonically_increasing_id: its bits from this one up (Spark API).
-PARTITION_SHIFT = 33
+# Digits of the logarithm of a score to which scores count as equal, whatever their size.
+SCORE_DIGITS = 11
+
+
+def by_score(score: str) -> Column:
+    """Best score first; scores that differ only by rounding errors count as equal."""
+    return F.round(F.ln(score), SCORE_DIGITS).desc_nulls_last()
 
 
 def rank_in_groups(
@@ -70,14 +73,18 @@ def feature_selection(
 
     When every review was one input row, its words fit one task.
     """
-    order = [F.round("tfidf", SCORE_DIGITS).desc(), F.col("word").asc()]
+    order = [by_score("tfidf"), F.col("word").asc()]
     return top_fraction_per_group(
         scored.select(*REVIEW, "word", "tfidf"), REVIEW, order, fraction, one_row_per_review
     )
 
 
 def feature_text(features: DataFrame) -> DataFrame:
-    """Each review's kept words as one text, best word first."""
+    """Each review's kept words as one text, best word first.
+
+    For reviews that fit a row. Where ids are shared, one id may hold much of the input; use the
+    rows of `features`, which hold the same ranks and words, instead.
+    """
     ranked = F.sort_array(F.collect_list(F.struct("rank", "word")))
     return (
         features.groupBy(*REVIEW)

@@ -20,10 +20,11 @@ def bag_of_words(reviews: DataFrame) -> DataFrame:
 
     Only for frames with one row per review.
     """
+    words = fn.split_words(F.coalesce("text", F.lit("")))
     return reviews.select(
         *REVIEW,
-        F.size(F.array_remove(fn.split_words(F.col("text")), "")).cast("long").alias("review_len"),
-        fn.word_bag(fn.split_words(F.col("text"))).alias("bag"),
+        F.size(F.array_remove(words, "")).cast("long").alias("review_len"),
+        fn.word_bag(words).alias("bag"),
     )
 
 
@@ -77,9 +78,11 @@ def bag_term_frequency(bags: DataFrame) -> DataFrame:
 
 
 def document_frequency(counts: DataFrame) -> DataFrame:
-    """Reviews holding each word, in all and by class: `word, df, pos_df, neg_df`."""
+    """Reviews holding each word, in all and by class, and its occurrences:
+    `word, df, pos_df, neg_df, frequency`."""
     positive = F.col("sentiment") == POSITIVE
     return counts.groupBy("word").agg(
+        F.sum("n").alias("frequency"),
         F.count(F.lit(1)).alias("df"),
         F.count_if(positive).alias("pos_df"),
         F.count_if(~positive).alias("neg_df"),

@@ -9,7 +9,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opinara.operators import sampling
-from opinara.operators.reviews import VARIANTS, class_filter, clean_text, multiword_filter
+from opinara.operators.reviews import (
+    VARIANTS,
+    class_filter,
+    clean_text,
+    is_negative,
+    is_positive,
+    multiword,
+    multiword_filter,
+)
 from opinara.session import materialize
 from opinara.sources.writers import write_csv
 
@@ -26,12 +34,14 @@ def cleaned_classes(reviews: DataFrame, variants: tuple[str, ...] = ALL_VARIANTS
     return materialize(clean_text(class_filter(reviews), variants=variants), "cleaned")
 
 
-def balanced_variant(cleaned: DataFrame, variant: str) -> DataFrame:
+def balanced_variant(
+    cleaned: DataFrame, variant: str, fraction: float | None = None
+) -> DataFrame:
     """`review_id, overall, text` of one variant: more than one word, classes balanced. A
-    filter over the cleaned texts."""
+    filter over the cleaned texts, which are counted first if `fraction` is not given."""
     text = VARIANTS[variant]
     kept = multiword_filter(cleaned.select("review_id", "overall", text), text)
-    return sampling.balanced_sample(kept).withColumnRenamed(text, "text")
+    return sampling.balanced_sample(kept, fraction=fraction).withColumnRenamed(text, "text")
 
 
 def prepare_datasets(
@@ -39,9 +49,10 @@ def prepare_datasets(
 ) -> dict[str, str]:
     """Write train, test and final CSV datasets of each variant and return their paths."""
     cleaned = cleaned_classes(reviews, variants)
+    fractions = _balancing(cleaned, variants)
     paths = {}
     for variant in variants:
-        balanced = balanced_variant(cleaned, variant)
+        balanced = balanced_variant(cleaned, variant, fractions[variant])
         train, test = sampling.train_test_split(balanced)
         final = sampling.shuffled_rows(balanced).select("overall", "text")
         for part, frame in (
@@ -51,11 +62,24 @@ def prepare_datasets(
         ):
             name = f"{part}_{variant}"
             paths[name] = f"{folder.rstrip('/')}/{name}"
-            # evening out the files would undo the order of the final set
-            write_csv(frame, paths[name], mode, compact=part != "final")
+            write_csv(frame, paths[name], mode)
     return paths
 
 
+def _balancing(cleaned: DataFrame, variants: tuple[str, ...]) -> dict[str, float]:
+    """The share of positives that each variant's balanced sample keeps, from one pass."""
+    counts = cleaned.agg(
+        *(
+            F.count_if(multiword(F.col(VARIANTS[v])) & kind).alias(f"{v}_{name}")
+            for v in variants
+            for name, kind in (("negative", is_negative()), ("positive", is_positive()))
+        )
+    ).first()
+    return {
+        v: min(1.0, counts[f"{v}_negative"] / max(1, counts[f"{v}_positive"])) for v in variants
+    }
+
+
 def with_row_id(reviews: DataFrame) -> DataFrame:
     """Number reviews that come without an id, so that each row is sampled on its own, copies
     of a review included. `prepare_datasets` writes the ids before anything depends on them;

@@ -7,6 +7,7 @@ sentiment form one review, and test rows are scored one by one whatever their id
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
@@ -39,8 +40,8 @@ def word_frames(
     """`lines` is the raw input when it has more rows than could be parsed: all of them count
     as reviews in the document frequency ratio.
 
-    Two things are written: the counted words, which document frequencies and both sides of
-    the score join pass over, and the frequencies, which the join and the class totals share.
+    Written are the counted words, which document frequencies and the score join pass over, the
+    frequencies, which the join and the class totals share, and the selected features.
     """
     labelled = sentiment_label(reviews)
     if one_row_per_review:
@@ -56,7 +57,9 @@ def word_frames(
         statistics = word_stats.class_statistics_of_bags(bags, frequencies, n_reviews)
     else:
         statistics = word_stats.class_statistics(scored)
-    features = selection.feature_selection(scored, one_row_per_review=one_row_per_review)
+    features = materialize(
+        selection.feature_selection(scored, one_row_per_review=one_row_per_review), "features"
+    )
     return WordFrames(tf, n_reviews, frequencies, scored, features, statistics)
 
 
@@ -74,8 +77,10 @@ def evaluate(
     mode: str = "reference",
     one_row_per_review: bool = True,
 ) -> DataFrame:
-    """Predictions of labelled test reviews. The test bags are written, as the bags above."""
+    """Predictions of labelled test reviews, missing texts as empty ones. The test bags are
+    written, as the bags above."""
     key = "review_id"
+    test = test.withColumn("text", F.coalesce("text", F.lit("")))
     if not one_row_per_review:
         key = "row_id"
         test = materialize(test.withColumn(key, F.monotonically_increasing_id()), "test")
@@ -92,12 +97,21 @@ def train_and_evaluate(train: DataFrame, test: DataFrame, mode: str = "reference
 
 
 def variant_comparison(reviews: DataFrame, mode: str = "reference") -> DataFrame:
-    """Metrics of all text variants of raw reviews, one row each. Cleaning runs once."""
+    """Metrics of all text variants of raw reviews, one row each.
+
+    Cleaning runs once. The variants share nothing else, so their jobs are submitted side by side
+    and fill each other's gaps.
+    """
     cleaned = cleaned_classes(reviews)
-    rows = [
-        train_and_evaluate(*train_test_split(balanced_variant(cleaned, variant)), mode).select(
-            F.lit(variant).alias("variant"), "*"
-        )
-        for variant in VARIANTS
-    ]
-    return reduce(DataFrame.unionByName, rows)
+
+    def metrics(variant: str) -> DataFrame:
+        parts = train_test_split(balanced_variant(cleaned, variant))
+        return train_and_evaluate(*parts, mode).select(F.lit(variant).alias("variant"), "*")
+
+    with ThreadPoolExecutor(len(VARIANTS)) as pool:
+        return reduce(DataFrame.unionByName, pool.map(metrics, VARIANTS))
+
+
+def repeated_ids(reviews: DataFrame) -> DataFrame:
+    """Review ids that several rows share."""
+    return reviews.groupBy("review_id").count().filter("count > 1").select("review_id")

@@ -2,16 +2,31 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+# Partition number of monotonically_increasing_id: its bits from this one up (Spark API).
+PARTITION_SHIFT = 33
+#: Folders made inside `scratch_scope`, to be deleted at its end.
+_scopes: list[list[str]] = []
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: str) -> SparkSession:
-    """Session for tests and benchmarks; on a cluster use the session spark-submit provides."""
+    """Session for tests and benchmarks; on a cluster use the session spark-submit provides.
+
+    Unless `conf` names one, it gets a scratch folder that is deleted when Python ends.
+    """
+    if CHECKPOINT_CONF not in conf:
+        conf[CHECKPOINT_CONF] = tempfile.mkdtemp(prefix="opinara-")
+        atexit.register(shutil.rmtree, conf[CHECKPOINT_CONF], ignore_errors=True)
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("opinara")
@@ -34,11 +49,28 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """
     root = spark.conf.get(CHECKPOINT_CONF, None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError(f"set {CHECKPOINT_CONF} to a folder all executors can reach")
         root = tempfile.mkdtemp(prefix="opinara-")
         spark.conf.set(CHECKPOINT_CONF, root)
-    return f"{root.rstrip('/')}/opinara/{name}-{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/opinara/{name}-{uuid.uuid4().hex}"
+    for scope in _scopes:
+        scope.append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete the intermediates written inside when the result has been written."""
+    paths: list[str] = []
+    _scopes.append(paths)
+    try:
+        yield
+    finally:
+        _scopes.remove(paths)
+        for path in paths:
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

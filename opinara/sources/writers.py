@@ -7,25 +7,33 @@ for a small result and as many files of the advisory size as a large one needs,
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opinara.operators.reviews import POSITIVE
-from opinara.sources.readers import CSV_OPTIONS, TSV_OPTIONS
+from opinara.sources.readers import CSV_OPTIONS, ESCAPES
 
 
 def _sized(df: DataFrame, compact: bool) -> DataFrame:
     return df.hint("rebalance") if compact else df
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "error", compact: bool = True) -> None:
+def write_csv(df: DataFrame, path: str, mode: str = "error", compact: bool = False) -> None:
     """Headerless CSV; an existing path is an error unless `mode` says otherwise."""
     _sized(df, compact).write.mode(mode).options(**CSV_OPTIONS).csv(path)
 
 
 def write_tsv(df: DataFrame, path: str, mode: str = "error", compact: bool = False) -> None:
-    """Tab-separated stage files. Words and scores hold neither tabs nor quotes."""
-    _sized(df, compact).write.mode(mode).options(**TSV_OPTIONS).csv(path)
+    """Tab-separated stage files; tabs and line ends in texts are escaped, null is empty."""
+    line = F.concat_ws("\t", *(_escaped(F.col(c).cast("string")) for c in df.columns))
+    _sized(df.select(line.alias("value")), compact).write.mode(mode).text(path)
+
+
+def _escaped(field: Column) -> Column:
+    field = F.coalesce(field, F.lit(""))
+    for plain, escaped in ESCAPES:
+        field = F.replace(field, F.lit(plain), F.lit(escaped))
+    return field
 
 
 def merged_export(spark: SparkSession, source: str, target: str, mode: str = "error") -> None:
@@ -58,20 +66,35 @@ def stage_features(feature_texts: DataFrame) -> DataFrame:
     return feature_texts.select(_marked_review().alias("review_id"), "text")
 
 
+def stage_feature_rows(features: DataFrame) -> DataFrame:
+    """The same a word a line, for reviews of any length: the words in any order."""
+    return features.select(_marked_review().alias("review_id"), F.col("word").alias("text"))
+
+
 def stage_training(word_counts: DataFrame) -> DataFrame:
     return word_counts.select("word", F.concat_ws("@", "pos_count", "neg_count").alias("counts"))
 
 
-def stage_output(predictions: DataFrame) -> DataFrame:
-    """Predictions in key order: a global sort, as the file format asks for."""
-    return predictions.select(
-        F.concat_ws("@", "review_id", "text").alias("review_text"), "predicted"
-    ).orderBy("review_text")
+def stage_output(predictions: DataFrame, ordered: bool = False) -> DataFrame:
+    """Predictions, in the order of their ids if a global sort is wanted."""
+    rows = predictions.orderBy("review_id") if ordered else predictions
+    return rows.select(F.concat_ws("@", "review_id", "text").alias("review_text"), "predicted")
+
 
+def split_key(
+    df: DataFrame, key: str, names: tuple[str, str], last: bool = False
+) -> DataFrame:
+    """Undo a composite key at its first `@`, or its `last`.
 
-def split_key(df: DataFrame, key: str, names: tuple[str, str]) -> DataFrame:
-    """Undo a composite key at its first `@`."""
-    parts = F.split(F.col(key), "@", 2)
+    Words may hold an `@`, review ids do not: `word@review` is split at the last one,
+    `review@word` at the first.
+    """
+    whole = F.col(key)
+    at = F.instr(whole, "@")
+    if last:
+        at = F.length(whole) + 1 - F.instr(F.reverse(whole), "@")
     return df.select(
-        parts[0].alias(names[0]), parts[1].alias(names[1]), *[c for c in df.columns if c != key]
+        F.substring(whole, F.lit(1), at - 1).alias(names[0]),
+        F.substring(whole, at + 1, F.length(whole)).alias(names[1]),
+        *[c for c in df.columns if c != key],
     )

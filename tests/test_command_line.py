@@ -1,3 +1,5 @@
+import pytest
+
 from opinara.__main__ import main
 from opinara.sources import readers
 
@@ -21,3 +23,24 @@ def test_prepare_train_and_report(spark, tmp_path, capsys):
     top = spark.read.parquet(str(tmp_path / "reports/top_words_by_sentiment"))
     # digits are stripped, so the texts hold six positive and five negative words
     assert top.count() == 11
+    main(["train", train, test, str(tmp_path / "out")])
+    main(["stage-report", str(tmp_path / "out"), str(tmp_path / "stage-reports")])
+    for name in ("word_frequency", "top_words_by_sentiment", "feature_word_frequency"):
+        tables = [spark.read.parquet(f"{tmp_path}/{folder}/{name}") for folder in ("reports", "stage-reports")]
+        rows = [
+            sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in row) for row in t.select(sorted(t.columns)).collect())
+            for t in tables
+        ]
+        assert rows[0] == rows[1]
+    main(["compare", source, str(tmp_path / "compared")])
+    assert spark.read.parquet(f"{tmp_path}/compared/variants").count() == 3
+
+
+def test_shared_ids_must_be_asked_for(spark, tmp_path):
+    path = str(tmp_path / "train")
+    rows = [(1, 5.0, "good one"), (1, 5.0, "good two"), (2, 1.0, "bad one")]
+    spark.createDataFrame(rows, readers.CSV_REVIEW_SCHEMA).write.csv(path)
+    with pytest.raises(ValueError, match="shared-ids"):
+        main(["train", path, path, str(tmp_path / "out")])
+    main(["train", path, path, str(tmp_path / "out"), "--shared-ids"])
+    assert spark.read.text(f"{tmp_path}/out/features").count() > 2

@@ -204,15 +204,15 @@ def test_tf_sums_to_one(frames):
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
-@pytest.mark.parametrize("hot_keys", [1, 4, 1000])
-def test_keyed_lookup_equals_a_join(spark, how, hot_keys):
+@pytest.mark.parametrize("rows_per_task", [1, 4, 1000])
+def test_keyed_lookup_equals_a_join(spark, how, rows_per_task):
     """A third of the rows share one key; one hot and some rare keys are not in the table."""
     rows_ = [("hot", i) for i in range(60)] + [("gone", i) for i in range(60)] + [
         (f"k{i}", i) for i in range(60)
     ]
     facts = spark.createDataFrame(rows_, "k string, v int")
     table = spark.createDataFrame([("hot", 1)] + [(f"k{i}", i) for i in range(0, 60, 2)], "k string, t int")
-    got = keyed_lookup(facts, table, "k", how, hot_keys=hot_keys)
+    got = keyed_lookup(facts, table, "k", how, rows_per_task=rows_per_task)
     want = facts.join(table, "k", how)
     assert got.columns == want.columns
     assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
@@ -250,3 +250,53 @@ def test_results_do_not_depend_on_partitioning(golden, golden_test, model):
     lines, reviews = golden
     counts, _ = train.train_model(train.word_frames(reviews.repartition(7), lines))
     assert counts.exceptAll(model[0]).isEmpty() and model[0].exceptAll(counts).isEmpty()
+
+
+def test_rows_of_a_moderately_hot_key_are_split(spark):
+    """A key of 0.009 % of the rows, on tables that are not broadcast."""
+    rows = spark.range(200_000).select(
+        F.when(F.col("id") < 18, -1).otherwise(F.col("id")).alias("k"), F.col("id").alias("i")
+    )
+    table = rows.select("k").distinct().withColumn("v", F.col("k") * 2)
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        joined = keyed_lookup(rows, table, "k", rows_per_task=4)
+        tasks = joined.filter("k = -1").select(F.spark_partition_id().alias("p"), "v").collect()
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+    assert len(tasks) == 18 and {r["v"] for r in tasks} == {-2}
+    assert len({r["p"] for r in tasks}) > 1
+
+
+def test_lookup_reads_its_rows_once(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    spark.range(10).select(F.col("id").alias("k")).write.parquet(path)
+    rows = spark.read.parquet(path)
+    table = spark.range(10).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    counts = spark.range(10).select(F.col("id").alias("k"), F.lit(1).alias("n_rows"))
+    plan = keyed_lookup(rows, table, "k", key_counts=counts)._jdf.queryExecution().toString()
+    assert plan.split("== Physical Plan ==")[1].count("FileScan parquet") == 1
+
+
+def test_missing_test_texts_are_empty_texts(spark, golden):
+    frames = train.word_frames(golden[1], golden[0])
+    model = train.train_model(frames)
+    rows = [(1, 5.0, None), (2, 5.0, "")]
+    tests = spark.createDataFrame(rows, "review_id long, overall double, text string")
+    scores = train.evaluate(tests, *model).orderBy("review_id").collect()
+    assert scores[0]["pos_ll"] == scores[1]["pos_ll"] is not None
+
+
+def test_close_scores_of_long_reviews_keep_their_order(spark):
+    """Scores that differ by a ten-millionth of themselves, all below 10**-9."""
+    rows = [("r", "POSITIVE", "a", 5e-10), ("r", "POSITIVE", "b", 5.0000005e-10)]
+    scored = spark.createDataFrame(rows, "review_id string, sentiment string, word string, tfidf double")
+    kept = feature_selection(scored, 0.5, one_row_per_review=True)
+    assert [r["word"] for r in kept.collect()] == ["b"]

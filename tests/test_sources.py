@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -68,7 +70,7 @@ def test_stage_files_round_trip(spark, golden, path):
         assert sorted(map(tuple, back.collect())) == sorted(map(tuple, stage.collect()))
     tf = readers.read_stage(spark, f"{path}/tf", "tf")
     assert tf.filter("word_review = 'great@1+'").first()["tf"] == "2/5"
-    parts = writers.split_key(tf, "word_review", ("word", "review"))
+    parts = writers.split_key(tf, "word_review", ("word", "review"), last=True)
     assert parts.filter("word = 'refund'").first()["review"] == "4"
 
 
@@ -82,7 +84,7 @@ def test_merged_export_is_one_file_when_small(spark, path):
 
 def test_predictions_are_sorted_by_key(spark):
     frame = spark.createDataFrame([("2", "b", "P"), ("1", "a", "N")], "review_id string, text string, predicted string")
-    assert [r[0] for r in writers.stage_output(frame).collect()] == ["1@a", "2@b"]
+    assert [r[0] for r in writers.stage_output(frame, ordered=True).collect()] == ["1@a", "2@b"]
 
 
 def test_prepare_datasets(spark, path):
@@ -119,7 +121,43 @@ def test_scratch_folder_is_the_one_the_session_names(spark):
     assert session.scratch_path(spark, "x").startswith(root)
 
 
-def test_spread_only_deals_out_small_scans(spark):
-    assert readers.spread(spark.range(10).coalesce(1)).rdd.getNumPartitions() == 4
-    many = spark.range(0, 10, 1, 8)
-    assert readers.spread(many) is many
+def test_scratch_scope_deletes_what_was_written_inside(spark):
+    with session.scratch_scope(spark):
+        table = session.materialize(spark.range(3), "inside")
+        folder = Path(table.inputFiles()[0].removeprefix("file:")).parent
+        assert folder.exists()
+    assert not folder.exists()
+
+
+BAD_JSON = ['{"overall": 5.0, "reviewText": "a"}', '{"overall": "4.0", "reviewText": "b"}',
+            '{"overall": 1.0, "revi', '{"overall": "five", "reviewText": "c"}', '{"reviewText": "d"}']
+
+
+def test_json_fails_at_cut_lines_and_reads_quoted_ratings(spark, path):
+    spark.createDataFrame([(line,) for line in BAD_JSON], "value string").write.text(path)
+    with pytest.raises(Exception):
+        readers.read_json_reviews(spark, path).collect()
+    good, rejected = readers.read_json_reviews_with_rejects(spark, path)
+    assert {tuple(r) for r in good.collect()} == {(5.0, "a"), (4.0, "b"), (None, "d")}
+    assert {r[0] for r in rejected.collect()} == {BAD_JSON[2], BAD_JSON[3]}
+
+
+def test_lenient_rejects(spark):
+    lines = ["1,5.0,good", "2,1.0,", "3,five,text", ""]
+    frame = spark.createDataFrame([(line,) for line in lines], "value string")
+    assert readers.lenient_lines(frame, drop_bad_ratings=True).count() == 1
+    rejected = {tuple(r) for r in readers.rejected_lines(frame).collect()}
+    assert rejected == {("2,1.0,", "fields"), ("3,five,text", "rating"), ("", "fields")}
+
+
+@pytest.mark.parametrize("word", ["@", "a@b", "tab\there", 'quo"te', "back\\slash", "\\t", "line\nend", ""])
+def test_stage_words_come_back(spark, path, word):
+    counts = spark.createDataFrame([("7", "POSITIVE", word, 2)], "review_id string, sentiment string, word string, n long")
+    writers.write_tsv(writers.stage_wordcount(counts), path)
+    assert "\0" not in "".join(r[0] for r in spark.read.text(path).collect())
+    stage = readers.read_stage(spark, path, "wordcount")
+    parts = writers.split_key(stage, "word_review", ("word", "review"), last=True)
+    assert tuple(parts.first()) == (word, "7+", 2)
+    scored = counts.withColumn("tfidf", F.lit(0.5))
+    first = writers.split_key(writers.stage_tfidf(scored), "review_word", ("review", "word"))
+    assert tuple(first.first()) == ("7+", word, 0.5)
