@@ -66,7 +66,7 @@ class Merges:
         if not unique or (parts >= np.arange(len(pairs))).any():
             raise ValueError("a token of this vocabulary can be built in several ways")
         self.tokens = {
-            t.removesuffix(self.suffix) + WORD_END * (bool(self.suffix) and t.endswith(self.suffix)): i
+            (t[: -len(self.suffix)] + WORD_END if self.suffix and t.endswith(self.suffix) else t): i
             for t, i in vocabulary.items()
         }
         made = np.flatnonzero(self.rank >= 0)
@@ -296,7 +296,8 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", column: str = "text"
     """Every row's key and `ids array<int>`, the encoding of its whole text."""
     kind = docs.schema[key].dataType.simpleString()
     return docs.select(key, column).mapInArrow(
-        lambda batches: encoded_batches(path, key, column, batches), f"`{key}` {kind}, ids array<int>"
+        lambda batches: encoded_batches(path, key, column, batches),
+        f"`{key}` {kind}, ids array<int>",
     )
 
 

@@ -8,8 +8,8 @@ descent in numpy on the driver, on a sample of at most about `PER_LANGUAGE` rows
 training never saw stay zero, so unknown scripts pull the scores towards even ones.
 
 A fifth of the sample is kept from training. It sets the temperature of the softmax and the
-rejection threshold: the score that all but `ALPHA` of its texts reach, and one half at most, so
-a text that is likelier one language than all others together is never rejected. Texts without a
+rejection threshold: the score that all but `ALPHA` of its texts reach, and `MOST` at most, so a
+text in two languages by halves is kept, and one that fits no language is not. Texts without a
 letter, and null texts, are `und` with score 0 and are rejected. Rows without id or language are
 predicted but not learned from. Repeated rows are learned from and predicted row by row; an empty
 table gives an empty result, and without labelled rows every text is `und`. Only the text is an
@@ -35,7 +35,7 @@ BUCKETS = 1 << 13
 WIDTH = 16
 PER_LANGUAGE = 1000
 MAX_LANGUAGES = 1000
-ALPHA = 0.002
+ALPHA, MOST = 0.002, 0.4
 EPOCHS, BATCH, RATE = 30, 32, 0.5
 SEED = 5
 BLOCK_BYTES = 1 << 20
@@ -175,7 +175,7 @@ def calibrate(model: Model, logits: np.ndarray, wanted: np.ndarray) -> None:
 
     model.temperature = float(min(np.geomspace(0.2, 5, 41), key=loss))
     scores = np.sort(softmax(logits / model.temperature).max(axis=1))
-    model.threshold = float(min(0.5, scores[int(ALPHA * len(scores))]))
+    model.threshold = float(min(MOST, scores[int(ALPHA * len(scores))]))
 
 
 def held_out(key: str = "doc_id") -> Column:

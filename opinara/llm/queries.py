@@ -97,7 +97,7 @@ def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
 def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path(WORD_BPE)
     shards = token_files.placed(token_files.write(table(spark, folder, "documents"), path))
-    return token_files.checksums(token_files.read(shards))
+    return token_files.checksums(shards)
 
 
 @query
@@ -105,7 +105,8 @@ def op8_token_counter(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").withColumn(
         "n_bytes", F.octet_length(F.coalesce("text", F.lit(""))).cast("long")
     )
-    counted = token_counter.count_tokens(docs, public_tokenizers.path(WORD_BPE), ("doc_id", "n_bytes"))
+    path = public_tokenizers.path(WORD_BPE)
+    counted = token_counter.count_tokens(docs, path, ("doc_id", "n_bytes"))
     return counted.withColumn("over_limit", F.col("n_tokens") > 2048)
 
 

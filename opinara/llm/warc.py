@@ -103,7 +103,8 @@ def record(page: int | None, url: str, payload: bytes, original: int | None) ->
     ]
     if original is not None:
         lines += [f"WARC-Refers-To: <urn:x-page:{original}>", f"WARC-Profile: {PROFILE}"]
-    return gzip.compress("\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n", 6, mtime=0)
+    whole = b"\r\n\r\n".join(["\r\n".join(lines).encode(), block, b""])
+    return gzip.compress(whole, 6, mtime=0)
 
 
 def parse(member: bytes) -> tuple[dict[str, str], dict[str, str], bytes]:
@@ -144,7 +145,10 @@ def write(pages: DataFrame, key: str = "page_id", least: int = LEAST_PAYLOAD) ->
     """Write the pages `url, html` and their index to the shared folder. Runs jobs."""
     marked = pages.select(F.col(key).cast("long").alias("id"), "url", "html", *_payload_marks())
     rows = salted_join(marked, _originals(pages, key, least), ["sha", "bytes"], "id").select(
-        "id", "url", "html", F.when(F.col("id") < F.col("original"), F.col("original")).alias("original")
+        "id",
+        "url",
+        "html",
+        F.when(F.col("id") < F.col("original"), F.col("original")).alias("original"),
     )
     archives = materialize(rows.mapInArrow(_packed, ARCHIVES), "archives")
     lines = archives.select("archive", F.explode("captures").alias("c")).select(
@@ -196,8 +200,9 @@ def _index_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     def block(lines: list[tuple]) -> pa.RecordBatch:
         packed = zlib.compress("\n".join(map("\t".join, lines)).encode("utf-8", "surrogatepass"))
         values = [part, number, lines[0][0], lines[-1][0], packed]
+        kinds = (pa.int32(), pa.int32(), pa.string(), pa.string(), pa.binary())
         return pa.RecordBatch.from_arrays(
-            [pa.array([v], t) for v, t in zip(values, (pa.int32(), pa.int32(), pa.string(), pa.string(), pa.binary()))],
+            [pa.array([v], kind) for v, kind in zip(values, kinds)],
             ["part", "block", "first", "last", "lines"],
         )
 
