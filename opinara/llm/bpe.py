@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator, Sequence
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -218,17 +218,13 @@ class Encoder:
             self.merges = Merges(self.splitter.settings["model"])
         return self.merges.encode_words(words)
 
-    def learn(self, words: set[str]) -> None:
-        if len(self.index) > CACHED_WORDS:
-            self.forget()
-        new = list(words.difference(self.index))
-        if not new:
-            return
+    def learn(self, words: Sequence[str]) -> None:
+        """Add the encodings of new, distinct words."""
         specials = self.splitter.specials
-        plain = [w for w in new if w not in specials]
-        encoded = self.encode_words(plain) + [[specials[w]] for w in new if w in specials]
-        ordered = plain + [w for w in new if w in specials]
-        self.index.update(zip(ordered, range(len(self.index), len(self.index) + len(new))))
+        plain = [w for w in words if w not in specials]
+        known = [w for w in words if w in specials]
+        encoded = [*self.encode_words(plain), *([specials[w]] for w in known)]
+        self.index.update(zip([*plain, *known], range(len(self.index), len(self.index) + len(words))))
         lengths = np.fromiter(map(len, encoded), dtype=np.int64, count=len(encoded))
         added = np.fromiter(chain.from_iterable(encoded), dtype=np.int32, count=lengths.sum())
         self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(lengths)])
@@ -236,17 +232,18 @@ class Encoder:
 
     def encode(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another, and the number of each text."""
-        split = [self.splitter.pieces(t) for t in texts]
-        words: set[str] = set().union(*split) if split else set()
-        if len(words) + len(self.index) > CACHED_WORDS:
+        if len(self.index) > CACHED_WORDS:
             self.forget()
-        self.learn(words)
+        split = [self.splitter.pieces(t) for t in texts]
         per_text = np.fromiter(map(len, split), dtype=np.int64, count=len(split))
-        at = np.fromiter(
-            map(self.index.__getitem__, chain.from_iterable(split)),
-            dtype=np.int64,
-            count=per_text.sum(),
-        )
+        words = list(chain.from_iterable(split))
+        known = map(self.index.get, words, repeat(-1))
+        at = np.fromiter(known, dtype=np.int64, count=len(words))
+        missing = np.flatnonzero(at < 0)
+        if len(missing):
+            unknown = [words[i] for i in missing.tolist()]
+            self.learn(list(dict.fromkeys(unknown)))
+            at[missing] = list(map(self.index.__getitem__, unknown))
         begin, lengths = self.starts[at], self.starts[at + 1] - self.starts[at]
         ends = np.cumsum(lengths)
         total = int(ends[-1]) if len(ends) else 0
