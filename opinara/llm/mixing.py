@@ -19,7 +19,6 @@ results. Extra columns are ignored by `mix` and passed on by `mixed_documents`.
 
 from __future__ import annotations
 
-import heapq
 from collections import deque
 from collections.abc import Sequence
 
