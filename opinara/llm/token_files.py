@@ -20,11 +20,11 @@ empty result. A text of any length stays in one shard.
 from __future__ import annotations
 
 import json
-import os
 import struct
 import zlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +32,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opinara.llm.batches import blocks, texts
+from opinara.llm.batches import blocks, ragged, texts
 from opinara.llm.bpe import Encoder
+from opinara.llm.pieces import byte_characters
 from opinara.session import materialize
 
 END_ID = 1
@@ -42,18 +43,36 @@ ROUNDS = 4
 RULES_PER_ROUND = 2048
 LEAST_COUNT = 16
 MAX_PARTS = 100_000
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
+READ_DOCUMENTS = 256
 MAGIC = b"RPGR"
 SECTIONS = ("left", "right", "expansion", "symbols", "ids", "known", "ends", "sizes")
 
 
 class LibraryEncoder(Encoder):
-    """Texts to ids, words encoded by the `tokenizers` library."""
+    """Texts to ids, words encoded by the model of the `tokenizers` library."""
+
+    def __init__(self, path: str):
+        super().__init__(path)
+        self.model = self.splitter.tokenizer.model
+        self.stand_in = byte_characters()
+        self.splitter.settings = {}
 
     def encode_words(self, words: Sequence[str]) -> list[list[int]]:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        tokenizer = self.splitter.tokenizer
-        return [e.ids for e in tokenizer.encode_batch_fast(list(words), add_special_tokens=False)]
+        tokenize, table = self.model.tokenize, self.stand_in
+        spelled = (
+            w
+            if w.isascii() and w.isprintable()
+            else w.encode().decode("latin-1").translate(table)
+            for w in words
+        )
+        return [[token.id for token in tokenize(w)] for w in spelled]
+
+
+@lru_cache(maxsize=1)
+def encoder_of(path: str) -> LibraryEncoder:
+    """One encoder for all tasks of a Python worker, so that common words stay known."""
+    return LibraryEncoder(path)
 
 
 @dataclass
@@ -80,32 +99,45 @@ class Shard:
         return b"".join([MAGIC, struct.pack("<I", len(text)), text, *(a.tobytes() for a in arrays)])
 
     @classmethod
-    def from_bytes(cls, data: bytes) -> Shard:
-        if data[:4] != MAGIC:
+    def from_bytes(cls, data: bytes | pa.Buffer) -> Shard:
+        data = memoryview(data)
+        if bytes(data[:4]) != MAGIC:
             raise ValueError("not a shard")
         (size,) = struct.unpack_from("<I", data, 4)
-        head = json.loads(data[8 : 8 + size])
+        head = json.loads(bytes(data[8 : 8 + size]))
         at, arrays = 8 + size, {}
         for name, kind, count in head["sections"]:
             arrays[name] = np.frombuffer(data, dtype=kind, count=count, offset=at)
             at += arrays[name].nbytes
         return cls(head["first_rule"], **arrays)
 
-    def expand(self, symbols: np.ndarray) -> np.ndarray:
-        """The ids of symbols; each turn replaces every rule by its two sides."""
-        symbols = symbols.astype(np.int64)
-        while True:
-            rule = symbols >= self.first_rule
-            if not rule.any():
-                return symbols.astype(np.uint32)
+    @cached_property
+    def dictionary(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The expansions of all symbols one after another, where each begins, and its length.
+
+        Each turn replaces every rule among the expansions by its two sides.
+        """
+        ids = self.first_rule + np.arange(len(self.left))
+        while (rule := ids >= self.first_rule).any():
             width = 1 + rule
             at = np.cumsum(width) - width
             wider = np.empty(int(width.sum()), dtype=np.int64)
-            number = symbols[rule] - self.first_rule
-            wider[at[~rule]] = symbols[~rule]
+            number = ids[rule] - self.first_rule
+            wider[at[~rule]] = ids[~rule]
             wider[at[rule]] = self.left[number]
             wider[at[rule] + 1] = self.right[number]
-            symbols = wider
+            ids = wider
+        lengths = np.concatenate([np.ones(self.first_rule, dtype=np.int64), self.expansion])
+        flat = np.concatenate([np.arange(self.first_rule), ids]).astype(np.uint32)
+        return flat, np.cumsum(lengths) - lengths, lengths
+
+    def expand(self, symbols: np.ndarray) -> np.ndarray:
+        """The ids of symbols."""
+        flat, begins, lengths = self.dictionary
+        width = lengths[symbols]
+        ends = np.cumsum(width)
+        total = int(ends[-1]) if len(ends) else 0
+        return flat[np.arange(total) + np.repeat(begins[symbols] - (ends - width), width)]
 
     def document(self, place: int, start: int = 0, stop: int | None = None) -> np.ndarray:
         """The ids `start` to `stop` of the document at a place, from the symbols they lie in."""
@@ -146,12 +178,17 @@ def compress(ids: np.ndarray, sizes: np.ndarray, vocabulary: int) -> tuple[np.nd
         often = often[np.argsort(-counts[often], kind="stable")[:RULES_PER_ROUND]]
         chosen = np.sort(ordered[first[often]])
         low = kind((1 << bits) - 1)
+        first_side, second_side = (x.astype(np.int64) for x in (chosen >> kind(bits), chosen & low))
         starts, follows = np.zeros(made, dtype=bool), np.zeros(made, dtype=bool)
-        starts[(chosen >> kind(bits)).astype(np.int64)] = True
-        follows[(chosen & low).astype(np.int64)] = True
+        starts[first_side] = True
+        follows[second_side] = True
+        # A rule's number by its two sides; both are among the few that any rule has.
+        row, column = np.cumsum(starts) - 1, np.cumsum(follows) - 1
+        number = np.full((int(starts.sum()), int(follows.sum())), -1, dtype=np.int32)
+        number[row[first_side], column[second_side]] = np.arange(len(chosen))
         at = np.flatnonzero(inner & starts[symbols[:-1]] & follows[symbols[1:]])
-        rule = np.minimum(np.searchsorted(chosen, pair[at]), len(chosen) - 1)
-        hit = chosen[rule] == pair[at]
+        rule = number[row[symbols[at]], column[symbols[at + 1]]]
+        hit = rule >= 0
         at, rule = at[hit], rule[hit]
         # Of neighbouring occurrences every other one is replaced, from the left.
         run = np.concatenate([[True], at[1:] != at[:-1] + 1])
@@ -183,14 +220,17 @@ def compress(ids: np.ndarray, sizes: np.ndarray, vocabulary: int) -> tuple[np.nd
 
 
 def write(docs: DataFrame, path: str, key: str = "doc_id", column: str = "text") -> DataFrame:
-    """Shards of the documents in the shared folder: `part, shard, before, tokens, content`. Runs jobs."""
+    """Write the documents to shards in the shared folder. Runs jobs.
+
+    Rows are `part, shard, before, tokens, content`.
+    """
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(key).cast("long").alias("id"), F.col(column).alias("text"))
     order = [F.col("id"), F.xxhash64("text")]
     ordered = rows.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
 
     def shards(batches):
-        encoder, part, number = LibraryEncoder(path), TaskContext.get().partitionId(), 0
+        encoder, part, number = encoder_of(path), TaskContext.get().partitionId(), 0
         size = encoder.splitter.tokenizer.get_vocab_size(with_added_tokens=True)
         held: list[tuple[pa.Array, np.ndarray, np.ndarray]] = []
         tokens = before = 0
@@ -257,51 +297,47 @@ def placed(shards: DataFrame) -> DataFrame:
     )
 
 
+def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """`id, start, n_tokens, ids` of the documents of shards, some at a time."""
+    for batch in batches:
+        for content, start in zip(batch.column("content"), batch.column("start").to_pylist()):
+            shard = Shard.from_bytes(content.as_buffer())
+            sizes = shard.sizes.astype(np.int64)
+            starts = start + np.cumsum(sizes) - sizes
+            for a in range(0, len(sizes), READ_DOCUMENTS):
+                b = min(a + READ_DOCUMENTS, len(sizes))
+                ids = shard.expand(shard.symbols[shard.ends[a - 1] if a else 0 : shard.ends[b - 1]])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(shard.ids[a:b], mask=~shard.known[a:b]),
+                        pa.array(starts[a:b]),
+                        pa.array(sizes[a:b]),
+                        ragged(ids.view(np.int32), sizes[a:b], pa.int32()),
+                    ],
+                    ["id", "start", "n_tokens", "ids"],
+                )
+
+
 def read(shards: DataFrame, key: str = "doc_id") -> DataFrame:
     """Per document of the files `start, n_tokens, ids`; shards as `placed` gives them."""
-
-    def run(batches):
-        for batch in batches:
-            for content, start in zip(batch.column("content"), batch.column("start").to_pylist()):
-                shard = Shard.from_bytes(content.as_py())
-                sizes = shard.sizes.astype(np.int64)
-                starts = start + np.cumsum(sizes) - sizes
-                for a in range(0, len(sizes), 256):
-                    b = min(a + 256, len(sizes))
-                    ids = shard.expand(
-                        shard.symbols[shard.ends[a - 1] if a else 0 : shard.ends[b - 1]]
-                    )
-                    offsets = np.concatenate([[0], np.cumsum(sizes[a:b])]).astype(np.int32)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(shard.ids[a:b], mask=~shard.known[a:b]),
-                            pa.array(starts[a:b]),
-                            pa.array(sizes[a:b]),
-                            pa.ListArray.from_arrays(
-                                pa.array(offsets), pa.array(ids.view(np.int32))
-                            ),
-                        ],
-                        ["id", "start", "n_tokens", "ids"],
-                    )
-
-    found = shards.select("content", "start").mapInArrow(
-        run, "id long, start long, n_tokens long, ids array<int>"
-    )
+    schema = "id long, start long, n_tokens long, ids array<int>"
+    found = shards.select("content", "start").mapInArrow(_documents, schema)
     return found.withColumnRenamed("id", key)
 
 
-def checksums(read: DataFrame, key: str = "doc_id") -> DataFrame:
-    """`start, n_tokens` and `ids_crc32`, the CRC of the ids as little-endian 32-bit numbers."""
+def checksums(shards: DataFrame, key: str = "doc_id") -> DataFrame:
+    """The same with `ids_crc32`, the CRC of the ids as little-endian 32-bit numbers, for ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column("ids")
-            flat = ids.flatten().to_numpy(zero_copy_only=False).astype("<u4")
+        for batch in _documents(batches):
+            flat = batch.column("ids").flatten().to_numpy(zero_copy_only=False).astype("<u4")
             ends = np.cumsum(batch.column("n_tokens").to_numpy())
             sums = [zlib.crc32(flat[a:b]) for a, b in zip([0, *ends[:-1]], ends)]
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in (key, "start", "n_tokens")), pa.array(sums, pa.int64())],
-                [key, "start", "n_tokens", "ids_crc32"],
+                [*batch.columns[:3], pa.array(sums, pa.int64())],
+                ["id", "start", "n_tokens", "ids_crc32"],
             )
 
-    return read.mapInArrow(run, f"`{key}` long, start long, n_tokens long, ids_crc32 long")
+    schema = "id long, start long, n_tokens long, ids_crc32 long"
+    found = shards.select("content", "start").mapInArrow(run, schema)
+    return found.withColumnRenamed("id", key)
