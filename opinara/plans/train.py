@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,8 +30,16 @@ class WordFrames:
     n_reviews: Column
     frequencies: DataFrame
     scored: DataFrame
-    features: DataFrame
     statistics: DataFrame
+    one_row_per_review: bool
+
+    @cached_property
+    def features(self) -> DataFrame:
+        """The selected words, written when first asked for."""
+        chosen = selection.feature_selection(
+            self.scored, one_row_per_review=self.one_row_per_review
+        )
+        return materialize(chosen, "features")
 
 
 def word_frames(
@@ -41,7 +49,7 @@ def word_frames(
     as reviews in the document frequency ratio.
 
     Written are the counted words, which document frequencies and the score join pass over, the
-    frequencies, which the join and the class totals share, and the selected features.
+    frequencies, which the join and the class totals share, and, on demand, the selected features.
     """
     labelled = sentiment_label(reviews)
     if one_row_per_review:
@@ -57,10 +65,7 @@ def word_frames(
         statistics = word_stats.class_statistics_of_bags(bags, frequencies, n_reviews)
     else:
         statistics = word_stats.class_statistics(scored)
-    features = materialize(
-        selection.feature_selection(scored, one_row_per_review=one_row_per_review), "features"
-    )
-    return WordFrames(tf, n_reviews, frequencies, scored, features, statistics)
+    return WordFrames(tf, n_reviews, frequencies, scored, statistics, one_row_per_review)
 
 
 def train_model(frames: WordFrames) -> tuple[DataFrame, DataFrame]:
