@@ -5,11 +5,18 @@ into a fixed number of buckets. A text is the average of its buckets' embeddings
 layer scores the languages. Embeddings and layer are trained together by stochastic gradient
 descent in numpy on the driver, on a sample of at most about `PER_LANGUAGE` rows of each language
 (the documented bound; each row enters as bucket counts, however long its text). Buckets that
-training never saw stay zero, so unknown scripts pull the scores towards even ones.
-
-A fifth of the sample is kept from training. It sets the temperature of the softmax and the
-rejection threshold: the score that all but `ALPHA` of its texts reach, and `MOST` at most, so a
-text in two languages by halves is kept, and one that fits no language is not. Texts without a
+training never saw stay zero.
+
+A fifth of the sample is kept from training. It sets the temperature of the softmax and two
+rejection thresholds. The first is the score that all but `ALPHA` of its texts reach, and `MOST` at
+most, so a text in two languages by halves is kept; softmax scores of texts in no learned language
+are often high, so it alone rejects little. The second is for the novelty of a text, the share of
+its letter triples that training saw in no language, found by a second, finer hash: halfway between
+what all but `ALPHA` of the kept texts stay below and the median of the same texts with their
+letters shuffled. It has no ceiling, and never lies below the first of the two, so where triples
+hardly repeat (as in ideographic scripts) learned texts stay. Triples of all languages count as
+seen, so texts in two languages are no more novel than others. A close relative of a learned
+language may share enough triples to pass. Without kept texts nothing is too novel. Texts without a
 letter, and null texts, are `und` with score 0 and are rejected. Rows without id or language are
 predicted but not learned from. Repeated rows are learned from and predicted row by row; an empty
 table gives an empty result, and without labelled rows every text is `und`. Only the text is an
@@ -19,6 +26,7 @@ input of a prediction, extra columns are ignored.
 from __future__ import annotations
 
 import unicodedata
+import zlib
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import cache
@@ -36,10 +44,17 @@ WIDTH = 16
 PER_LANGUAGE = 1000
 MAX_LANGUAGES = 1000
 ALPHA, MOST = 0.002, 0.4
+GRAM_BITS = 24
+#: Added to a text's number of triples, so that one unknown triple is too little to reject a text;
+#: texts of up to three triples may pass therefore.
+GRAM_ROOM = 4
 EPOCHS, BATCH, RATE = 30, 32, 0.5
+GRAM_COLUMNS = ("triples", "triple_counts", "shuffled", "shuffled_counts")
 SEED = 5
 BLOCK_BYTES = 1 << 20
 UNKNOWN = "und"
+#: The distinct triples of each text and how often each occurs.
+Grams = Sequence[tuple[np.ndarray, np.ndarray]]
 
 
 @cache
@@ -48,17 +63,59 @@ def letter_table() -> np.ndarray:
     return np.array([unicodedata.category(chr(c))[0] == "L" for c in range(0x110000)])
 
 
-def bucket_counts(texts: Sequence[str]) -> np.ndarray:
-    """A row of subword counts for each text; all zero for texts without a letter."""
+def _spelled(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Lower-case code points, blank where no letter, which are letters, and each one's text."""
     lowered = [t.lower() for t in texts]
     lengths = np.fromiter(map(len, lowered), dtype=np.int64, count=len(lowered)) + 1
     points = np.frombuffer(
         "".join(t + "\n" for t in lowered).encode("utf-32-le", "surrogatepass"), dtype=np.uint32
     )
     letters = letter_table()[points]
-    code = np.where(letters, points, np.uint32(32))
-    owner = np.repeat(np.arange(len(texts), dtype=np.int64) * BUCKETS, lengths)
-    total = np.zeros(len(texts) * BUCKETS, dtype=np.int64)
+    owner = np.repeat(np.arange(len(texts), dtype=np.int64), lengths)
+    return np.where(letters, points, np.uint32(32)), letters, owner
+
+
+def grams(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of GRAM_BITS bits of all triples around a letter, and the number of each one's text."""
+    return _grams(*_spelled(texts))
+
+
+def _grams(code: np.ndarray, letters: np.ndarray, owner: np.ndarray):
+    around = np.flatnonzero(letters[1:-1] & (owner[:-2] == owner[2:]))
+    gram = np.zeros(len(around), dtype=np.uint64)
+    for i in range(3):
+        gram = (gram << np.uint64(21)) | code[around + i]
+    gram *= np.uint64(0x9E3779B97F4A7C15)
+    gram ^= gram >> np.uint64(29)
+    gram *= np.uint64(0xBF58476D1CE4E5B9)
+    return (gram >> np.uint64(64 - GRAM_BITS)).astype(np.int32), owner[around]
+
+
+def gram_counts(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct triples of each text, how often each occurs, and how many each text has."""
+    gram, owner = grams(texts)
+    found, counts = np.unique((owner << GRAM_BITS) | gram, return_counts=True)
+    numbers = np.bincount(found >> GRAM_BITS, minlength=len(texts))
+    return (found & ((1 << GRAM_BITS) - 1)).astype(np.int32), counts.astype(np.int32), numbers
+
+
+def shuffled(text: str) -> str:
+    """The text with its letters in another order, the same for equal texts."""
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).copy()
+    at = np.flatnonzero(letter_table()[points])
+    seed = zlib.crc32(text.encode("utf-8", "surrogatepass"))
+    points[at] = points[np.random.default_rng(seed).permutation(at)]
+    return points.tobytes().decode("utf-32-le", "surrogatepass")
+
+
+def bucket_counts(texts: Sequence[str]) -> np.ndarray:
+    """A row of subword counts for each text; all zero for texts without a letter."""
+    return _bucket_counts(*_spelled(texts), len(texts))
+
+
+def _bucket_counts(code: np.ndarray, letters: np.ndarray, owner: np.ndarray, texts: int):
+    owner = owner * BUCKETS
+    total = np.zeros(texts * BUCKETS, dtype=np.int64)
     # Pairs with one letter at least, and triples around a letter; texts end in a non-letter.
     first, second = code[:-1], code[1:]
     pair = first * np.uint32(0x9E3779B1) + second * np.uint32(0x85EBCA77)
@@ -68,7 +125,7 @@ def bucket_counts(texts: Sequence[str]) -> np.ndarray:
     triple = pair[:-1] + code[2:] * np.uint32(0xC2B2AE3D)
     around = letters[1:-1] & (owner[:-2] == owner[2:])
     total += _counted(triple, owner[:-2], around, len(total))
-    return total.reshape(len(texts), BUCKETS)
+    return total.reshape(texts, BUCKETS)
 
 
 def _counted(gram: np.ndarray, owner: np.ndarray, chosen: np.ndarray, size: int) -> np.ndarray:
@@ -88,6 +145,9 @@ class Model:
     bias: np.ndarray
     temperature: float = 1.0
     threshold: float = 0.0
+    #: A bit for each hash of a triple that training saw, and the novelty up to which texts stay.
+    seen: np.ndarray | None = None
+    most_novel: float = 1.0
 
     def logits(self, counts: np.ndarray) -> np.ndarray:
         share = counts / np.maximum(counts.sum(axis=1, keepdims=True), 1)
@@ -96,10 +156,30 @@ class Model:
     def probabilities(self, counts: np.ndarray) -> np.ndarray:
         return softmax(self.logits(counts) / self.temperature)
 
+    def novelty(
+        self, gram: np.ndarray, owner: np.ndarray, texts: int, counts: np.ndarray | None = None
+    ) -> np.ndarray:
+        """The share of each text's triples that training never saw."""
+        if self.seen is None:
+            return np.zeros(texts)
+        new = (self.seen[gram >> 3] >> (gram & 7).astype(np.uint8)) & 1 == 0
+        total = np.bincount(owner, weights=counts, minlength=texts)
+        new = new if counts is None else new * counts
+        return np.bincount(owner, weights=new, minlength=texts) / (total + GRAM_ROOM)
+
+    def judge(self, texts: Sequence[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Languages and scores, and which texts are rejected."""
+        spelled = _spelled(texts)
+        names, scores = self._named(_bucket_counts(*spelled, len(texts)))
+        novel = self.novelty(*_grams(*spelled), len(texts)) > self.most_novel
+        return names, scores, (np.array(names) == UNKNOWN) | (scores < self.threshold) | novel
+
     def predict(self, texts: Sequence[str]) -> tuple[list[str], np.ndarray]:
-        counts = bucket_counts(texts)
+        return self._named(bucket_counts(texts))
+
+    def _named(self, counts: np.ndarray) -> tuple[list[str], np.ndarray]:
         if not self.languages:
-            return [UNKNOWN] * len(texts), np.zeros(len(texts))
+            return [UNKNOWN] * len(counts), np.zeros(len(counts))
         scores = self.probabilities(counts)
         best = scores.argmax(axis=1)
         known = counts.any(axis=1)
@@ -114,9 +194,15 @@ def softmax(logits: np.ndarray) -> np.ndarray:
 
 
 def train(
-    languages: Sequence[str], rows: Sequence[tuple[np.ndarray, np.ndarray]], seed: int = SEED
+    languages: Sequence[str],
+    rows: Sequence[tuple[np.ndarray, np.ndarray]],
+    seed: int = SEED,
+    triples: tuple[Grams, Grams] | None = None,
 ) -> Model:
-    """Fit a model to bucket numbers and counts of texts and their languages."""
+    """Fit a model to bucket numbers and counts of texts and their languages.
+
+    `triples` has the triples of each text and their counts, and those of its shuffled text.
+    """
     names = sorted(set(languages))
     draw = np.random.default_rng(seed)
     model = Model(
@@ -163,6 +249,8 @@ def train(
     if len(held):
         parts = [dense(held[i : i + 256]) for i in range(0, len(held), 256)]
         calibrate(model, np.concatenate([model.logits(p) for p in parts]), wanted[held])
+        if triples is not None:
+            limit_novelty(model, *triples, learned, held)
     return model
 
 
@@ -178,6 +266,29 @@ def calibrate(model: Model, logits: np.ndarray, wanted: np.ndarray) -> None:
     model.threshold = float(min(MOST, scores[int(ALPHA * len(scores))]))
 
 
+def limit_novelty(
+    model: Model,
+    own: Grams,
+    mixed_up: Grams,
+    learned: np.ndarray,
+    held: np.ndarray,
+) -> None:
+    """Note the triples of the learned texts; set the limit from texts that training has not seen."""
+    seen = np.zeros(1 << GRAM_BITS, dtype=bool)
+    for i in learned:
+        seen[own[i][0]] = True
+    model.seen = np.packbits(seen, bitorder="little")
+
+    def of(found: Grams) -> np.ndarray:
+        gram, counts = (np.concatenate([found[i][part] for i in held]) for part in (0, 1))
+        owner = np.repeat(np.arange(len(held)), [len(found[i][0]) for i in held])
+        return np.sort(model.novelty(gram, owner, len(held), counts))
+
+    usual = of(own)
+    usual = usual[len(usual) - 1 - int(ALPHA * len(usual))]
+    model.most_novel = float(max(usual, (usual + np.median(of(mixed_up))) / 2))
+
+
 def held_out(key: str = "doc_id") -> Column:
     """Documents that nothing is learned from."""
     rest = F.crc32(F.col(key).cast("string").cast("binary")) % 4
@@ -208,7 +319,8 @@ def fit(docs: DataFrame, key: str = "doc_id", column: str = "text", label: str =
 
     def features(batches):
         for block in blocks(batches, "text", BLOCK_BYTES):
-            table = bucket_counts(texts(block, "text"))
+            found = texts(block, "text")
+            table = bucket_counts(found)
             row, bucket = np.nonzero(table)
             lengths = np.bincount(row, minlength=block.num_rows)
             yield pa.RecordBatch.from_arrays(
@@ -217,17 +329,25 @@ def fit(docs: DataFrame, key: str = "doc_id", column: str = "text", label: str =
                     block.column("lang"),
                     ragged(bucket.astype(np.int32), lengths, pa.int32()),
                     ragged(table[row, bucket], lengths, pa.int64()),
+                    *(
+                        ragged(values, numbers, pa.int32())
+                        for *both, numbers in map(gram_counts, (found, list(map(shuffled, found))))
+                        for values in both
+                    ),
                 ],
-                ["id", "lang", "buckets", "counts"],
+                ["id", "lang", "buckets", "counts", *GRAM_COLUMNS],
             )
 
-    schema = f"id {kind}, lang string, buckets array<int>, counts array<long>"
+    lists = ", ".join(f"{name} array<int>" for name in GRAM_COLUMNS)
+    schema = f"id {kind}, lang string, buckets array<int>, counts array<long>, {lists}"
     found = sample.mapInArrow(features, schema).toArrow()
     found = found.sort_by([("lang", "ascending"), ("id", "ascending")])
     rows_of = list(zip(_arrays(found["buckets"]), _arrays(found["counts"])))
     used = [i for i, (b, _) in enumerate(rows_of) if len(b)]
     names = found["lang"].to_pylist()
-    return train([names[i] for i in used], [rows_of[i] for i in used])
+    grams_of = [_arrays(found[name]) for name in GRAM_COLUMNS]
+    triples = tuple([(g[i], c[i]) for i in used] for g, c in (grams_of[:2], grams_of[2:]))
+    return train([names[i] for i in used], [rows_of[i] for i in used], triples=triples)
 
 
 def _arrays(column: pa.ChunkedArray) -> list[np.ndarray]:
@@ -245,8 +365,7 @@ def identify(docs: DataFrame, model: Model, key: str = "doc_id", column: str = "
     def run(batches):
         model = shared.value
         for block in blocks(batches, column, BLOCK_BYTES):
-            names, scores = model.predict(texts(block, column))
-            rejected = [n == UNKNOWN or s < model.threshold for n, s in zip(names, scores)]
+            names, scores, rejected = model.judge(texts(block, column))
             yield pa.RecordBatch.from_arrays(
                 [
                     block.column(key),
@@ -269,7 +388,6 @@ def keep_identified(docs: DataFrame, model: Model, column: str = "text") -> Data
     def run(batches):
         model = shared.value
         for block in blocks(batches, column, BLOCK_BYTES):
-            names, scores = model.predict(texts(block, column))
-            yield block.filter(pa.array((np.array(names) != UNKNOWN) & (scores >= model.threshold)))
+            yield block.filter(pa.array(~model.judge(texts(block, column))[2]))
 
     return docs.mapInArrow(run, docs.schema)

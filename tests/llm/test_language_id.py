@@ -49,6 +49,34 @@ def test_odd_rows(spark):
     assert {r["lang_pred"] for r in language_id.identify(docs, unlabelled).collect()} == {"und"}
 
 
+FOREIGN = [
+    "Мой дядя самых честных правил, когда не в шутку занемог, он уважать себя заставил",
+    "道可道，非常道。名可名，非常名。无名天地之始；有名万物之母。",
+    "Άνδρα μοι έννεπε, Μούσα, πολύτροπον, ος μάλα πολλά πλάγχθη",
+    "Korkma, sönmez bu şafaklarda yüzen al sancak; sönmeden yurdumun üstünde tüten en son ocak",
+    "Litwo, ojczyzno moja, ty jesteś jak zdrowie; ile cię trzeba cenić, ten tylko się dowie",
+    "xqzv wkjp zzxq vbgk qwpl mxnz kqjx hgfd zxcv pqwm jjkq vvxz",
+    "Привет, мир",
+]
+
+
+@pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
+@pytest.mark.parametrize("languages", [("de", "en", "es", "fr"), ("de", "en"), ("es", "fr")])
+def test_texts_in_no_learned_language_are_rejected(spark, languages):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").filter(F.col("lang").isin(*languages))
+    model = language_id.fit(docs)
+    found = language_id.identify(docs, model)
+    assert found.count() == docs.count() and found.filter("rejected").count() == 0
+    texts = [r["text"] for r in docs.filter("length(text) > 300").orderBy("doc_id").limit(200).collect()]
+    salad = [language_id.shuffled(t) for t in texts]
+    halves = [a[: len(a) // 2] + " " + b[len(b) // 2 :] for a, b in zip(texts, texts[1:])]
+    assert model.judge(FOREIGN + salad)[2].all()
+    assert not model.judge(halves)[2].any()
+    rows = [(i, t, None, None) for i, t in enumerate(FOREIGN + salad + halves)]
+    kept = language_id.keep_identified(spark.createDataFrame(rows, SCHEMA), model).collect()
+    assert sorted(r["doc_id"] for r in kept) == list(range(len(FOREIGN + salad), len(rows)))
+
+
 def test_threshold_has_a_ceiling():
     draw = np.random.default_rng(1)
     rows = [(np.unique(draw.integers(0, 400, 30)) + 400 * (i % 2),) for i in range(200)]
