@@ -4,7 +4,7 @@ Documents are encoded by the `tokenizers` library (each distinct word of a task
 an end id, and written in ascending order of their ids. A task packs its documents into shards of
 about SHARD_TOKENS ids. In a shard, frequent pairs of neighbouring symbols are replaced by new
 symbols, round by round: every round counts all pairs, gives the most frequent ones a rule each,
-and replaces their occurrences from the left. Pairs never reach over the end of a document, so a
+and replaces their occurrences from the left, until no pair occurs LEAST_COUNT times. Pairs never reach over the end of a document, so a
 document is a range of symbols. A shard stores its rules with the lengths of their expansions;
 any range of a document's ids is found by these lengths and expanded alone.
 
@@ -39,7 +39,6 @@ from opinara.session import materialize
 
 END_ID = 1
 SHARD_TOKENS = 1 << 20
-ROUNDS = 4
 RULES_PER_ROUND = 2048
 LEAST_COUNT = 16
 MAX_PARTS = 100_000
@@ -157,14 +156,17 @@ class Shard:
 
 def compress(ids: np.ndarray, sizes: np.ndarray, vocabulary: int) -> tuple[np.ndarray, ...]:
     """Rules (left, right, expansion length), symbols, and where each document's symbols end."""
-    narrow = vocabulary + ROUNDS * RULES_PER_ROUND <= 1 << 16
+    narrow = vocabulary + RULES_PER_ROUND <= 1 << 16
     bits, kind = (16, np.uint32) if narrow else (32, np.uint64)
     symbols = ids.astype(kind)
     closing = np.zeros(len(ids), dtype=bool)
     closing[np.cumsum(sizes[sizes > 0]) - 1] = True
-    rules: list[np.ndarray] = []
+    rules: list[tuple[np.ndarray, np.ndarray]] = []
     made = vocabulary
-    for _ in range(ROUNDS):
+    while True:
+        if narrow and made + RULES_PER_ROUND > 1 << 16:
+            narrow, bits, kind = False, 32, np.uint64
+            symbols = symbols.astype(kind)
         pair = (symbols[:-1] << kind(bits)) | symbols[1:]
         inner = ~closing[:-1]
         ordered = np.sort(pair[inner])
@@ -200,16 +202,16 @@ def compress(ids: np.ndarray, sizes: np.ndarray, vocabulary: int) -> tuple[np.nd
         keep = np.ones(len(symbols), dtype=bool)
         keep[at + 1] = False
         symbols, closing = symbols[keep], closing[keep]
-        rules.append(chosen)
+        rules.append((first_side, second_side))
         made += len(chosen)
-    pairs = np.concatenate(rules) if rules else np.empty(0, dtype=kind)
-    left, right = pairs >> kind(bits), pairs & kind((1 << bits) - 1)
+    none = np.empty(0, dtype=np.int64)
+    left, right = (np.concatenate([none, *(r[side] for r in rules)]) for side in (0, 1))
     length = np.ones(made, dtype=np.uint32)
     for i, (a, b) in enumerate(zip(left.tolist(), right.tolist())):
         length[vocabulary + i] = length[a] + length[b]
     ends = np.zeros(len(sizes), dtype=np.int64)
     ends[sizes > 0] = np.flatnonzero(closing) + 1
-    store = np.uint16 if narrow else np.uint32
+    store = np.uint16 if made <= 1 << 16 else np.uint32
     return (
         left.astype(store),
         right.astype(store),

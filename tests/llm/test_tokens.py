@@ -156,3 +156,23 @@ def test_runs_of_one_id(n):
         100, left, right, expansion, symbols, sizes, sizes > -1, ends.astype("u4"), sizes.astype("u4")
     )
     assert (shard.document(0) == ids).all()
+
+
+@pytest.mark.parametrize("vocabulary", [300, 49408, (1 << 16) - 10])
+def test_rules_are_made_until_no_pair_is_frequent(vocabulary):
+    draw = np.random.default_rng(3)
+    passage = draw.integers(0, 300, 500)
+    sizes = np.array([500] * 400 + [7] * 300)
+    ids = np.concatenate([np.tile(passage, 400), draw.integers(0, 300, 2100)]).astype(np.uint32)
+    left, right, expansion, symbols, ends = token_files.compress(ids, sizes, vocabulary)
+    own = np.diff(np.concatenate([[0], ends]))
+    assert own[:400].max() == 1 and expansion.max() == 500  # a repeated document is one symbol
+    inner = np.ones(len(symbols), dtype=bool)
+    inner[ends[own > 0] - 1] = False
+    pair = (symbols[:-1].astype(np.int64) << 32) | symbols[1:]
+    counts = np.unique(pair[inner[:-1]], return_counts=True)[1]
+    assert not len(counts) or counts.max() < token_files.LEAST_COUNT
+    none = np.empty(0)
+    shard = token_files.Shard(vocabulary, left, right, expansion, symbols, none, none, ends, sizes)
+    assert np.array_equal(shard.expand(symbols), ids)
+    assert np.array_equal(shard.document(3, 17, 400), passage[17:400])
