@@ -8,7 +8,8 @@ allowed, else one with an explicitly blocked url is blocked, else the default ho
 
 Edges come from the pages themselves (`<link rel=canonical>`, `<meta http-equiv=refresh>`) and
 from an optional table of redirects. Urls are one node if they agree without scheme and fragment,
-their host in lower case. Link targets take part whether or not they are pages themselves.
+their host in lower case. The basic entities in link targets (`&amp;`, `&lt;`, `&gt;`, `&quot;`,
+`&apos;` and their numbers) are read as the characters they stand for. Link targets take part whether or not they are pages themselves.
 
 Null urls, and urls without `://`, have an empty host and path, no rule, no class and the default
 verdict. Null pages hold no links. Repeated rows are judged row by row; extra columns are ignored;
@@ -34,6 +35,14 @@ CANONICAL = r"(?is)\brel\s*=\s*[\"']?canonical\b"
 HREF = r"(?is)\bhref\s*=\s*[\"']?([^\"'\s>]+)"
 REFRESH = r"(?is)\bhttp-equiv\s*=\s*[\"']?refresh\b"
 TARGET = r"(?is)\burl\s*=\s*[\"']?([^\"'\s>]+)"
+#: `&` is the last, as what it leaves is no entity any more.
+ENTITIES = (
+    (r"&(?:lt|LT|#0*60|#[xX]0*3[cC]);", "<"),
+    (r"&(?:gt|GT|#0*62|#[xX]0*3[eE]);", ">"),
+    (r"&(?:quot|QUOT|#0*34|#[xX]0*22);", '"'),
+    (r"&(?:apos|#0*39|#[xX]0*27);", "'"),
+    (r"&(?:amp|AMP|#0*38|#[xX]0*26);", "&"),
+)
 ABSOLUTE = r"(?i)^[a-z][a-z0-9+.-]*://"
 
 
@@ -97,6 +106,12 @@ def resolved(target: Column, url: Column) -> Column:
     )
 
 
+def unescaped(target: Column) -> Column:
+    for entity, character in ENTITIES:
+        target = F.regexp_replace(target, entity, character)
+    return target
+
+
 def link_edges(pages: DataFrame) -> DataFrame:
     """Urls `source, target` of canonical links and refresh redirects in `url, html`."""
     tags = F.regexp_extract_all(F.coalesce("html", F.lit("")), F.lit(TAGS), F.lit(0))
@@ -107,7 +122,8 @@ def link_edges(pages: DataFrame) -> DataFrame:
         ),
     )
     return pages.select("url", F.explode(targets).alias("target")).filter("target <> ''").select(
-        F.col("url").alias("source"), resolved(F.col("target"), F.col("url")).alias("target")
+        F.col("url").alias("source"),
+        resolved(unescaped(F.col("target")), F.col("url")).alias("target"),
     )
 
 

@@ -145,6 +145,20 @@ def test_decisions_reach_aliases(spark):
     assert {r["page_id"] for r in more.collect() if r["verdict"] == "block"} == blocked | {10, 11}
 
 
+def test_entities_in_link_targets(spark):
+    rows = [
+        (1, "http://a.net/1", canonical("http://x.com/de/?a=1&amp;b=2")),  # a blocked url
+        (2, "http://a.net/2?c=1&d=2", ""),
+        (3, "http://a.net/1", "<meta http-equiv=refresh content='0; url=/2?c=1&#38;d=2'>"),
+        (4, "http://b.net/?a=1&amp;b", canonical("http://x.com/de/?&quot;")),  # the page's own url stays
+        (5, "http://b.net/?a=1&b", ""),
+        (6, "http://c.net/?&lt;", canonical("http://x.com/de/?x")),
+        (7, "http://d.net/", canonical("http://c.net/?&amp;lt;")),  # unescaped once
+    ]
+    got = {r["page_id"]: r["verdict"] for r in url_filter.judge(pages(spark, rows), URL_RULES).collect()}
+    assert {i for i, v in got.items() if v == "block"} == {1, 2, 3, 4, 6, 7}
+
+
 def test_the_sql_knows_the_links_too(spark):
     import duckdb
 
