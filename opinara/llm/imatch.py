@@ -14,12 +14,13 @@ different terms instead of to zero at the first.
 
 Equal texts have equal fingerprints. Null texts are empty. Extra columns are ignored. An empty
 table has an empty result. Rows that repeat an id are fingerprinted row by row; in the order of
-documents they follow each other by their texts, and null ids come first.
+documents they follow each other by a hash of their texts, and null ids come first.
 """
 
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_right
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -27,13 +28,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opinara.llm.batches import map_blocks, texts
+from opinara.llm.batches import blocks, map_blocks, texts
 from opinara.llm.frequent import frequent
 from opinara.llm.words import ODD, WordHasher, mixed
 
 LEAST_SHARE, MOST_SHARE = 0.002, 0.2
 LEXICONS = 128
-CELLS_PER_TASK, MAX_CELLS = 8, 1 << 16
 DIGITS = 4
 BLOCK_BYTES = 1 << 20
 EDITED = (
@@ -118,65 +118,64 @@ def fingerprints(
 
 
 def in_order(docs: DataFrame, key: str = "doc_id", column: str = "text") -> DataFrame:
-    """Rows `run, last, id, text` so sorted that every document is followed by the next one.
+    """Rows `run, last, id, mark, text` so sorted that every document is followed by the next one.
 
-    The range of ids is cut into cells, and neighbouring cells are joined to runs of about equal
-    numbers of rows; a run ends with a copy (`last`) of the document that follows it, after the
-    last run the first document. Only cell counts and the first id of each run come to the
-    driver, MAX_CELLS at most. The texts are shuffled once.
+    Documents are ordered by id and `mark`, a hash of the text. A range partitioning of these keys
+    alone, which samples them, cuts the order into runs of about equal numbers of rows, one a task;
+    a run ends with a copy (`last`) of the document that follows it, after the last run the first
+    document. Only the first key of each run comes to the driver. The texts are shuffled once.
     """
     spark = docs.sparkSession
     rows = docs.select(
         F.col(key).cast("long").alias("id"), F.coalesce(column, F.lit("")).alias("text")
-    )
-    low, high = rows.agg(F.min("id"), F.max("id")).first()
-    low, high = (low or 0), (high or 0)
+    ).withColumn("mark", F.xxhash64("text"))
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cells = min(MAX_CELLS, max(1, tasks * CELLS_PER_TASK))
-    place = (F.coalesce("id", F.lit(low)).cast("double") - float(low)) / max(1.0, float(high) - low)
-    rows = rows.withColumn("cell", F.least(F.floor(place * cells), F.lit(cells - 1)).cast("int"))
-    counts = {
-        r["cell"]: r
-        for r in rows.groupBy("cell")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.min("id").alias("first"),
-            F.max(F.col("id").isNull()).alias("unknown"),
-        )
+    keys = rows.select(F.col("id").isNotNull().alias("known"), "id", "mark")
+    found = (
+        keys.repartitionByRange(tasks, "known", "id", "mark")
+        .withColumn("part", F.spark_partition_id())
+        .groupBy("part")
+        .agg(F.min(F.struct("known", "id", "mark")).alias("first"))
         .collect()
-    }
-    each = max(1, sum(r["n"] for r in counts.values()) // tasks)
-    runs, firsts, held = [], [], each
-    for cell in range(cells):
-        if cell in counts:
-            if held >= each:
-                held = 0
-                firsts.append(None if counts[cell]["unknown"] else counts[cell]["first"])
-            held += counts[cell]["n"]
-        runs.append(max(0, len(firsts) - 1))
-    run_of = F.element_at(F.lit(runs), F.col("cell") + 1)
-    heads = spark.createDataFrame(
-        [(i, first, (i - 1) % len(firsts)) for i, first in enumerate(firsts)],
-        "run int, first long, before int",
     )
-    # One row for each run.
-    copies = (
-        rows.withColumn("run", run_of)
-        .join(F.broadcast(heads), "run")
-        .withColumn(
-            "to",
-            F.when(
-                F.col("id").eqNullSafe(F.col("first")),
-                F.array(
-                    F.struct(F.col("run"), F.lit(False).alias("last")),
-                    F.struct(F.col("before").alias("run"), F.lit(True).alias("last")),
-                ),
-            ).otherwise(F.array(F.struct(F.col("run"), F.lit(False).alias("last")))),
-        )
-        .select("id", "text", F.explode("to").alias("to"))
-        .select(F.col("to.run").alias("run"), F.col("to.last").alias("last"), "id", "text")
+    heads = sorted((r["first"]["known"], r["first"]["id"] or 0, r["first"]["mark"]) for r in found)
+    shared = spark.sparkContext.broadcast(heads)
+
+    def dealt(batches):
+        heads = shared.value
+        unknown = sum(not known for known, _, _ in heads)
+        ids_of = np.array([i for _, i, _ in heads[unknown:]], dtype=np.int64)
+        for block in blocks(batches, "text", BLOCK_BYTES):
+            known = block.column("id").is_valid().to_numpy(zero_copy_only=False)
+            ids = block.column("id").fill_null(0).to_numpy(zero_copy_only=False)
+            marks = block.column("mark").to_numpy(zero_copy_only=False)
+            runs = unknown + np.searchsorted(ids_of, ids, "right") - 1
+            # Marks matter only where a run begins at the same id.
+            same = ~known | (np.searchsorted(ids_of, ids, "left") <= runs - unknown)
+            copied = []
+            for i in np.flatnonzero(same).tolist():
+                place = (bool(known[i]), int(ids[i]), int(marks[i]))
+                runs[i] = bisect_right(heads, place) - 1
+                if heads[runs[i]] == place:
+                    copied.append(i)
+            copied = np.array(copied, dtype=np.int64)
+            chosen = pa.array(np.concatenate([np.arange(len(ids)), copied]))
+            run = np.concatenate([runs, (runs[copied] - 1) % len(heads)])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(run.astype(np.int32)),
+                    pa.array(np.arange(len(run)) >= len(ids)),
+                    *(block.column(c).take(chosen) for c in ("id", "mark", "text")),
+                ],
+                ["run", "last", "id", "mark", "text"],
+            )
+
+    schema = "run int, last boolean, id long, mark long, text string"
+    return (
+        rows.mapInArrow(dealt, schema)
+        .repartitionById(tasks, "run")
+        .sortWithinPartitions("run", "last", "id", "mark", "text")
     )
-    return copies.repartitionById(tasks, "run").sortWithinPartitions("run", "last", "id", "text")
 
 
 def edited_fingerprints(

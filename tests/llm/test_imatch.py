@@ -47,6 +47,25 @@ def test_edited_texts_and_likeness(spark, rows):
     assert len(set(same)) == 1
 
 
+@pytest.mark.parametrize("outlier", [10**15, None])
+def test_runs_are_even_whatever_the_ids(spark, outlier):
+    ids = [*range(2000), *range(10**9, 10**9 + 2000), outlier] + [None] * 300 + [77] * 300
+    docs = spark.createDataFrame([(d, f"text {i}") for i, d in enumerate(ids)], "doc_id long, text string")
+    rows = imatch.in_order(docs.repartition(5)).collect()
+    runs = {}
+    for r in rows:
+        runs.setdefault(r["run"], []).append(r)
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    own = [sum(not r["last"] for r in run) for run in runs.values()]
+    assert sum(own) == len(ids) and max(own) < 3 * len(ids) / tasks + 1
+    key = lambda r: (r["id"] is not None, r["id"] or 0, r["mark"])
+    ordered = [key(r) for n in sorted(runs) for r in runs[n] if not r["last"]]
+    assert ordered == sorted(ordered)
+    for n, run in runs.items():  # each run ends with the first document of the next one
+        following = runs[(n + 1) % len(runs)][0]
+        assert run[-1]["last"] and key(run[-1]) == key(following) and not any(r["last"] for r in run[:-1])
+
+
 def test_lexicon_is_the_band(spark):
     texts = [("common rare" if i == 0 else f"common mid only{i}") if i < 3000 else "common" for i in range(4000)]
     texts = [t.replace("mid", "mid" if i % 10 == 0 else f"own{i}") for i, t in enumerate(texts)]
