@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 
 from opinara.llm import (
     bpe,
+    conversations,
     exact_dedup,
     imatch,
+    importance,
     language_id,
+    line_quality,
     mixing,
     near_dedup,
     token_counter,
@@ -118,3 +121,23 @@ def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.classes(table(spark, folder, "documents"))
+
+
+@query
+def op11_line_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    field = line_quality.fit(docs, table(spark, folder, "labels"))
+    return line_quality.score(docs, field).withColumn("held_out", line_quality.held_out())
+
+
+@query
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    rows = conversations.damaged(table(spark, folder, "conversations"))
+    return conversations.audits(rows)
+
+
+@query
+def op13_importance(spark: SparkSession, folder: str) -> DataFrame:
+    return importance.resample(
+        table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    )

@@ -15,6 +15,7 @@ from opinara.llm import language_id, mixing
 from opinara.llm.queries import QUERIES
 from opinara.llm.sql import ORACLE
 
+from . import test_conversations, test_importance
 from .test_near_dedup import brute_force
 
 FOLDER = "/root/testdata/sf0.001"
@@ -29,6 +30,9 @@ COLUMNS = {
     8: "doc_id n_bytes n_tokens over_limit",
     9: "doc_id keep_id group_size kept text_sha256",
     10: "doc_id class_id kept",
+    11: "doc_id held_out score predicted",
+    12: "conv_id gaps blank duplicate truncated illegal cost audit repaired_sha256",
+    13: "doc_id n_features weight score rank",
 }
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
@@ -41,7 +45,7 @@ def docs(spark):
 
 def test_one_query_for_each_operator():
     numbers = [int(name[2:].split("_")[0]) for name in QUERIES]
-    assert sorted(numbers) == list(range(1, 11))
+    assert sorted(numbers) == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(entry_module.queries())
     assert set(ORACLE) <= set(entry_module.oracle_sql())
 
@@ -51,9 +55,11 @@ def test_columns_and_rows(spark, name):
     frame = QUERIES[name](spark, FOLDER)
     number = int(name[2:].split("_")[0])
     assert set(COLUMNS[number].split()) <= set(frame.columns)
-    table = "pages" if "page_id" in frame.columns else "documents"
+    table = {"page_id": "pages", "conv_id": "conversations"}.get(frame.columns[0], "documents")
     rows = frame.collect()
-    assert len(rows) == spark.read.parquet(f"{FOLDER}/{table}.parquet").count()
+    given = spark.read.parquet(f"{FOLDER}/{table}.parquet")
+    given = given.select("conv_id").distinct() if table == "conversations" else given
+    assert len(rows) == given.count()
     if name in ORACLE:
         connection = duckdb.connect()
         connection.execute(f"CREATE VIEW {table} AS FROM read_parquet('{FOLDER}/{table}.parquet')")
@@ -83,6 +89,20 @@ def test_near_duplicate_query_equals_brute_force(spark, docs):
     assert got == brute_force([(r["doc_id"], r["text"]) for r in docs.collect()])
 
 
+def test_repair_query_equals_brute_force(spark):
+    rows = spark.read.parquet(f"{FOLDER}/conversations.parquet").collect()
+    rows = [(r["conv_id"], r["turn"], r["role"], r["text"]) for r in rows]
+    got = QUERIES["op12_conversation_repair"](spark, FOLDER).select(COLUMNS[12].split())
+    want = test_conversations.brute_force(test_conversations.after_damage(rows))
+    assert sorted(map(tuple, got.collect()), key=str) == want
+
+
+def test_importance_query_equals_brute_force(spark, docs):
+    items = [r["text"] for r in spark.read.parquet(f"{FOLDER}/benchmark.parquet").collect()]
+    want = test_importance.brute_force([(r["doc_id"], r["text"]) for r in docs.collect()], items)
+    assert test_importance.got(QUERIES["op13_importance"](spark, FOLDER)) == want
+
+
 def test_pipeline_equals_its_stages_done_plainly(spark, docs):
     model = language_id.fit(docs)
     rows = docs.collect()
