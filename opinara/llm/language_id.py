@@ -4,8 +4,9 @@ The subwords of a text are its letter pairs and triples within words, word ends
 into a fixed number of buckets. A text is the average of its buckets' embeddings; one linear
 layer scores the languages. Embeddings and layer are trained together by stochastic gradient
 descent in numpy on the driver, on a sample of at most about `PER_LANGUAGE` rows of each language
-(the documented bound; each row enters as bucket counts, however long its text). Buckets that
-training never saw stay zero.
+(the documented bound; each row enters as bucket counts, however long its text). Only these counts
+come to the driver. The triples that training saw are joined to a bitmap by the tasks, which also
+find how novel the kept texts are. Buckets that training never saw stay zero.
 
 A fifth of the sample is kept from training. It sets the temperature of the softmax and two
 rejection thresholds. The first is the score that all but `ALPHA` of its texts reach, and `MOST` at
@@ -38,6 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opinara.llm.batches import blocks, ragged, texts
+from opinara.session import materialize
 
 BUCKETS = 1 << 13
 WIDTH = 16
@@ -49,12 +51,13 @@ GRAM_BITS = 24
 #: texts of up to three triples may pass therefore.
 GRAM_ROOM = 4
 EPOCHS, BATCH, RATE = 30, 32, 0.5
-GRAM_COLUMNS = ("triples", "triple_counts", "shuffled", "shuffled_counts")
+#: Share of the sample that is kept from training.
+KEPT = 0.2
+#: Beyond this a count of one text is cut; shares do not change by it for texts below 2 GB.
+MOST_COUNTED = (1 << 31) - 1
 SEED = 5
 BLOCK_BYTES = 1 << 20
 UNKNOWN = "und"
-#: The distinct triples of each text and how often each occurs.
-Grams = Sequence[tuple[np.ndarray, np.ndarray]]
 
 
 @cache
@@ -91,14 +94,6 @@ def _grams(code: np.ndarray, letters: np.ndarray, owner: np.ndarray):
     return (gram >> np.uint64(64 - GRAM_BITS)).astype(np.int32), owner[around]
 
 
-def gram_counts(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The distinct triples of each text, how often each occurs, and how many each text has."""
-    gram, owner = grams(texts)
-    found, counts = np.unique((owner << GRAM_BITS) | gram, return_counts=True)
-    numbers = np.bincount(found >> GRAM_BITS, minlength=len(texts))
-    return (found & ((1 << GRAM_BITS) - 1)).astype(np.int32), counts.astype(np.int32), numbers
-
-
 def shuffled(text: str) -> str:
     """The text with its letters in another order, the same for equal texts."""
     points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).copy()
@@ -156,15 +151,12 @@ class Model:
     def probabilities(self, counts: np.ndarray) -> np.ndarray:
         return softmax(self.logits(counts) / self.temperature)
 
-    def novelty(
-        self, gram: np.ndarray, owner: np.ndarray, texts: int, counts: np.ndarray | None = None
-    ) -> np.ndarray:
+    def novelty(self, gram: np.ndarray, owner: np.ndarray, texts: int) -> np.ndarray:
         """The share of each text's triples that training never saw."""
         if self.seen is None:
             return np.zeros(texts)
         new = (self.seen[gram >> 3] >> (gram & 7).astype(np.uint8)) & 1 == 0
-        total = np.bincount(owner, weights=counts, minlength=texts)
-        new = new if counts is None else new * counts
+        total = np.bincount(owner, minlength=texts)
         return np.bincount(owner, weights=new, minlength=texts) / (total + GRAM_ROOM)
 
     def judge(self, texts: Sequence[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -196,13 +188,11 @@ def softmax(logits: np.ndarray) -> np.ndarray:
 def train(
     languages: Sequence[str],
     rows: Sequence[tuple[np.ndarray, np.ndarray]],
+    kept: np.ndarray,
     seed: int = SEED,
-    triples: tuple[Grams, Grams] | None = None,
 ) -> Model:
-    """Fit a model to bucket numbers and counts of texts and their languages.
-
-    `triples` has the triples of each text and their counts, and those of its shuffled text.
-    """
+    """Fit a model to bucket numbers and counts of texts and their languages; `kept` marks those
+    that only calibrate it."""
     names = sorted(set(languages))
     draw = np.random.default_rng(seed)
     model = Model(
@@ -221,9 +211,7 @@ def train(
             counts[i, rows[row][0]] = rows[row][1]
         return counts
 
-    order = draw.permutation(len(rows))
-    held = order[: len(rows) // 5]
-    learned = order[len(rows) // 5 :]
+    held, learned = np.flatnonzero(kept), np.flatnonzero(~kept)
     seen = np.unique(np.concatenate([rows[i][0] for i in learned]))
     scale = 1 / np.sqrt(WIDTH)
     model.embedding[seen] = draw.normal(0, scale, (len(seen), WIDTH)).astype(np.float32)
@@ -247,10 +235,8 @@ def train(
             model.embedding[used] -= rate * share[:, used].T @ back
             step += 1
     if len(held):
-        parts = [dense(held[i : i + 256]) for i in range(0, len(held), 256)]
-        calibrate(model, np.concatenate([model.logits(p) for p in parts]), wanted[held])
-        if triples is not None:
-            limit_novelty(model, *triples, learned, held)
+        parts = (held[i : i + BATCH] for i in range(0, len(held), BATCH))
+        calibrate(model, np.concatenate([model.logits(dense(p)) for p in parts]), wanted[held])
     return model
 
 
@@ -266,27 +252,11 @@ def calibrate(model: Model, logits: np.ndarray, wanted: np.ndarray) -> None:
     model.threshold = float(min(MOST, scores[int(ALPHA * len(scores))]))
 
 
-def limit_novelty(
-    model: Model,
-    own: Grams,
-    mixed_up: Grams,
-    learned: np.ndarray,
-    held: np.ndarray,
-) -> None:
-    """Note the triples of the learned texts; set the limit from texts that training has not seen."""
-    seen = np.zeros(1 << GRAM_BITS, dtype=bool)
-    for i in learned:
-        seen[own[i][0]] = True
-    model.seen = np.packbits(seen, bitorder="little")
-
-    def of(found: Grams) -> np.ndarray:
-        gram, counts = (np.concatenate([found[i][part] for i in held]) for part in (0, 1))
-        owner = np.repeat(np.arange(len(held)), [len(found[i][0]) for i in held])
-        return np.sort(model.novelty(gram, owner, len(held), counts))
-
-    usual = of(own)
-    usual = usual[len(usual) - 1 - int(ALPHA * len(usual))]
-    model.most_novel = float(max(usual, (usual + np.median(of(mixed_up))) / 2))
+def limit_novelty(model: Model, own: np.ndarray, mixed_up: np.ndarray) -> None:
+    """Set the limit from how novel texts are that training has not seen, as they are and with
+    their letters shuffled."""
+    usual = np.sort(own)[len(own) - 1 - int(ALPHA * len(own))]
+    model.most_novel = float(max(usual, (usual + np.median(mixed_up)) / 2))
 
 
 def held_out(key: str = "doc_id") -> Column:
@@ -296,7 +266,7 @@ def held_out(key: str = "doc_id") -> Column:
 
 
 def fit(docs: DataFrame, key: str = "doc_id", column: str = "text", label: str = "lang") -> Model:
-    """Train on a bounded sample of the labelled rows that are not held out. Runs two jobs."""
+    """Train on a bounded sample of the labelled rows that are not held out. Runs jobs."""
     rows = docs.select(
         F.col(key).alias("id"), F.col(label).alias("lang"), F.col(column).alias("text")
     ).filter(~held_out("id") & F.col("id").isNotNull() & F.col("lang").isNotNull())
@@ -304,50 +274,92 @@ def fit(docs: DataFrame, key: str = "doc_id", column: str = "text", label: str =
     if len(counts) > MAX_LANGUAGES:
         raise ValueError(f"over {MAX_LANGUAGES} languages")
     if not counts:
-        return train([], [])
+        return train([], [], np.zeros(0, dtype=bool))
     shares = docs.sparkSession.createDataFrame(
         [(r["lang"], min(1.0, PER_LANGUAGE / r["count"])) for r in counts],
         "lang string, share double",
     )
-    place = F.shiftrightunsigned(F.xxhash64(F.lit(SEED), "id"), 11) / 2.0**53
-    sample = (
+    draw = lambda seed: F.shiftrightunsigned(F.xxhash64(F.lit(seed), "id"), 11) / 2.0**53
+    sample = materialize(
         rows.join(F.broadcast(shares), "lang")
-        .filter(place < F.col("share"))
-        .select("id", "lang", "text")
+        .filter(draw(SEED) < F.col("share"))
+        .select("id", "lang", "text", (draw(SEED + 1) < KEPT).alias("kept")),
+        "language-sample",
     )
+    model, kept = _trained(sample)
+    if kept:
+        _note_triples(model, sample)
+    return model
+
+
+def _trained(sample: DataFrame) -> tuple[Model, int]:
+    """A model of the sample's texts, and how many of them were kept from training."""
     kind = sample.schema["id"].dataType.simpleString()
 
     def features(batches):
         for block in blocks(batches, "text", BLOCK_BYTES):
-            found = texts(block, "text")
-            table = bucket_counts(found)
+            table = bucket_counts(texts(block, "text"))
             row, bucket = np.nonzero(table)
             lengths = np.bincount(row, minlength=block.num_rows)
             yield pa.RecordBatch.from_arrays(
                 [
-                    block.column("id"),
-                    block.column("lang"),
-                    ragged(bucket.astype(np.int32), lengths, pa.int32()),
-                    ragged(table[row, bucket], lengths, pa.int64()),
-                    *(
-                        ragged(values, numbers, pa.int32())
-                        for *both, numbers in map(gram_counts, (found, list(map(shuffled, found))))
-                        for values in both
-                    ),
+                    *(block.column(c) for c in ("id", "lang", "kept")),
+                    ragged(bucket.astype(np.int16), lengths, pa.int16()),
+                    ragged(np.minimum(table[row, bucket], MOST_COUNTED), lengths, pa.int32()),
                 ],
-                ["id", "lang", "buckets", "counts", *GRAM_COLUMNS],
+                ["id", "lang", "kept", "buckets", "counts"],
             )
 
-    lists = ", ".join(f"{name} array<int>" for name in GRAM_COLUMNS)
-    schema = f"id {kind}, lang string, buckets array<int>, counts array<long>, {lists}"
+    schema = f"id {kind}, lang string, kept boolean, buckets array<short>, counts array<int>"
     found = sample.mapInArrow(features, schema).toArrow()
     found = found.sort_by([("lang", "ascending"), ("id", "ascending")])
     rows_of = list(zip(_arrays(found["buckets"]), _arrays(found["counts"])))
     used = [i for i, (b, _) in enumerate(rows_of) if len(b)]
-    names = found["lang"].to_pylist()
-    grams_of = [_arrays(found[name]) for name in GRAM_COLUMNS]
-    triples = tuple([(g[i], c[i]) for i in used] for g, c in (grams_of[:2], grams_of[2:]))
-    return train([names[i] for i in used], [rows_of[i] for i in used], triples=triples)
+    names, kept = found["lang"].to_pylist(), found["kept"].to_numpy()
+    if kept[used].all():
+        kept = np.zeros(len(kept), dtype=bool)
+    model = train([names[i] for i in used], [rows_of[i] for i in used], kept[used])
+    return model, int(kept[used].sum())
+
+
+def _note_triples(model: Model, sample: DataFrame) -> None:
+    """Note the triples of the learned texts, and calibrate the limit on the kept ones.
+
+    The triples come to the driver as at most 2**(GRAM_BITS - 6) numbers of 64 bits, and of each
+    kept text two numbers.
+    """
+
+    def seen_bits(batches):
+        seen = np.zeros(1 << GRAM_BITS, dtype=bool)
+        for block in blocks(batches, "text", BLOCK_BYTES):
+            seen[grams(texts(block, "text"))[0]] = True
+        numbers = np.packbits(seen, bitorder="little").view(np.int64)
+        place = np.flatnonzero(numbers)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(place.astype(np.int32)), pa.array(numbers[place])], ["place", "bits"]
+        )
+
+    parts = sample.filter("NOT kept").select("text").mapInArrow(seen_bits, "place int, bits long")
+    found = parts.groupBy("place").agg(F.bit_or("bits").alias("bits")).toArrow()
+    numbers = np.zeros(1 << (GRAM_BITS - 6), dtype=np.int64)
+    numbers[found["place"].to_numpy()] = found["bits"].to_numpy()
+    model.seen = numbers.view(np.uint8)
+    shared = sample.sparkSession.sparkContext.broadcast(model)
+
+    def novelties(batches):
+        for block in blocks(batches, "text", BLOCK_BYTES):
+            own = texts(block, "text")
+            both = [
+                pa.array(shared.value.novelty(*grams(some), len(some)))
+                for some in (own, list(map(shuffled, own)))
+            ]
+            lettered = bucket_counts(own).any(axis=1)
+            yield pa.RecordBatch.from_arrays(both, ["own", "mixed_up"]).filter(pa.array(lettered))
+
+    kept = sample.filter("kept").select("text")
+    found = kept.mapInArrow(novelties, "own double, mixed_up double").toArrow()
+    limit_novelty(model, found["own"].to_numpy(), found["mixed_up"].to_numpy())
+    shared.destroy()
 
 
 def _arrays(column: pa.ChunkedArray) -> list[np.ndarray]:

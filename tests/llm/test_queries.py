@@ -5,6 +5,7 @@ import os
 
 import corpus_pipeline
 import duckdb
+import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -103,11 +104,20 @@ def test_importance_query_equals_brute_force(spark, docs):
     assert test_importance.got(QUERIES["op13_importance"](spark, FOLDER)) == want
 
 
+def plain_triples(rows):
+    """Triples of the texts and the row of each, text by text."""
+    found = [language_id.grams([r["text"] or ""])[0] for r in rows]
+    return np.concatenate(found), np.repeat(np.arange(len(rows)), [len(f) for f in found])
+
+
 def test_pipeline_equals_its_stages_done_plainly(spark, docs):
     model = language_id.fit(docs)
     rows = docs.collect()
-    scored = zip(rows, zip(*model.predict([r["text"] or "" for r in rows])))
-    rows = [r for r, (name, score) in scored if name != "und" and score >= model.threshold]
+    names, scores, rejected = model.judge([r["text"] or "" for r in rows])
+    novel = model.novelty(*plain_triples(rows), len(rows)) > model.most_novel
+    plainly = (np.array(names) == "und") | (scores < model.threshold) | novel
+    assert plainly.tolist() == rejected.tolist()
+    rows = [r for r, out in zip(rows, plainly) if not out]
     last = {}
     for r in rows:
         last[r["text"]] = max(last.get(r["text"], r["doc_id"]), r["doc_id"])
