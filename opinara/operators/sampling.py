@@ -6,7 +6,7 @@ has its own seed: one hash for both balancing and splitting would tie the two to
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opinara.functions.sampling import SEED, hash_fraction, hash_key
@@ -47,8 +47,13 @@ def train_test_split(
     reviews: DataFrame, key: str = "review_id", train: float = 0.8, seed: int = SEED
 ) -> tuple[DataFrame, DataFrame]:
     """Disjoint split that covers every row, the same under any partitioning."""
-    in_train = hash_fraction(F.col(key), f"{seed}:split") < train
-    return reviews.filter(in_train), reviews.filter(~in_train)
+    chosen = in_train(key, train, seed)
+    return reviews.filter(chosen), reviews.filter(~chosen)
+
+
+def in_train(key: str = "review_id", train: float = 0.8, seed: int = SEED) -> Column:
+    """Whether `train_test_split` puts a row into the first part."""
+    return hash_fraction(F.col(key), f"{seed}:split") < train
 
 
 def shuffled_rows(reviews: DataFrame, key: str = "review_id", seed: int = SEED) -> DataFrame:

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from opinara.functions.sampling import hash_fraction, hash_key
 from opinara.operators import sampling
 from opinara.operators.reviews import (
     VARIANTS,
@@ -19,7 +20,7 @@ from opinara.operators.reviews import (
     multiword_filter,
 )
 from opinara.session import materialize
-from opinara.sources.writers import write_csv
+from opinara.sources.writers import csv_line, write_datasets
 
 ALL_VARIANTS = tuple(VARIANTS)
 
@@ -44,26 +45,67 @@ def balanced_variant(
     return sampling.balanced_sample(kept, fraction=fraction).withColumnRenamed(text, "text")
 
 
+def balanced_variants(
+    cleaned: DataFrame, variants: tuple[str, ...] = ALL_VARIANTS
+) -> DataFrame:
+    """`variant, review_id, overall, text`: the balanced samples of all variants from one pass over
+    the cleaned texts, after one that counts the classes.
+
+    All variants draw with the same hash of a row, so it is taken once.
+    """
+    fractions = _balancing(cleaned, variants)
+    drawn = hash_fraction(F.col("review_id"), f"{sampling.SEED}:balance").alias("drawn")
+    columns = [VARIANTS[v] for v in variants]
+    texts = F.array(
+        *(
+            F.struct(
+                F.lit(v).alias("variant"),
+                F.col(VARIANTS[v]).alias("text"),
+                F.lit(fractions[v]).alias("fraction"),
+            )
+            for v in variants
+        )
+    )
+    rows = cleaned.select("review_id", "overall", drawn, *columns).select(
+        "review_id", "overall", "drawn", F.inline_outer(texts)
+    )
+    kept = is_negative() | (is_positive() & (F.col("drawn") < F.col("fraction")))
+    return rows.filter(multiword(F.col("text")) & kept).select(
+        "variant", "review_id", "overall", "text"
+    )
+
+
 def prepare_datasets(
     reviews: DataFrame, folder: str, mode: str = "error", variants: tuple[str, ...] = ALL_VARIANTS
 ) -> dict[str, str]:
-    """Write train, test and final CSV datasets of each variant and return their paths."""
-    cleaned = cleaned_classes(reviews, variants)
-    fractions = _balancing(cleaned, variants)
-    paths = {}
-    for variant in variants:
-        balanced = balanced_variant(cleaned, variant, fractions[variant])
-        train, test = sampling.train_test_split(balanced)
-        final = sampling.shuffled_rows(balanced).select("overall", "text")
-        for part, frame in (
-            ("train", sampling.index_rows(train, "text")),
-            ("test", sampling.index_rows(test, "text")),
-            ("final", final),
-        ):
-            name = f"{part}_{variant}"
-            paths[name] = f"{folder.rstrip('/')}/{name}"
-            write_csv(frame, paths[name], mode)
-    return paths
+    """Write train, test and final CSV datasets of each variant and return their paths.
+
+    Every row is tagged with its datasets, and one job writes all of them: rows are sorted by
+    dataset and place, so each task writes few datasets and files are full. A train or test row's
+    place is that in the input, which also is its index, a final row's is pseudo-random. The nine
+    folders are published when all of it is written.
+    """
+    rows = balanced_variants(cleaned_classes(reviews, variants), variants)
+    index = F.monotonically_increasing_id() + 1
+    split = F.when(sampling.in_train(), "train").otherwise("test")
+    place = hash_key(F.col("review_id"), f"{sampling.SEED}:order")
+    rows = rows.select("variant", "overall", "text", index.alias("index"), split.alias("part"), place.alias("place"))
+
+    def tagged(part, line, order):
+        return F.struct(
+            F.concat_ws("_", part, "variant").alias("dataset"),
+            csv_line(line).alias("value"),
+            order.alias("place"),
+            F.col("index").alias("index"),
+        )
+
+    both = F.array(
+        tagged(F.col("part"), ["index", "overall", "text"], F.lit("")),
+        tagged(F.lit("final"), ["overall", "text"], F.col("place")),
+    )
+    lines = rows.select(F.inline_outer(both)).orderBy("dataset", "place", "index")
+    names = [f"{part}_{variant}" for variant in variants for part in ("train", "test", "final")]
+    return write_datasets(lines.select("dataset", "value"), folder, names, mode)
 
 
 def _balancing(cleaned: DataFrame, variants: tuple[str, ...]) -> dict[str, float]:

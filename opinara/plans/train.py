@@ -7,18 +7,17 @@ sentiment form one review, and test rows are scored one by one whatever their id
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from functools import cached_property, reduce
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from opinara.operators import keyed_models, selection, word_stats
 from opinara.operators import naive_bayes as nb
-from opinara.operators import selection, word_stats
 from opinara.operators.reviews import VARIANTS, sentiment_label
-from opinara.operators.sampling import train_test_split
-from opinara.plans.prepare import balanced_variant, cleaned_classes
+from opinara.operators.sampling import in_train
+from opinara.plans.prepare import balanced_variants, cleaned_classes
 from opinara.session import materialize
 
 
@@ -104,17 +103,17 @@ def train_and_evaluate(train: DataFrame, test: DataFrame, mode: str = "reference
 def variant_comparison(reviews: DataFrame, mode: str = "reference") -> DataFrame:
     """Metrics of all text variants of raw reviews, one row each.
 
-    Cleaning runs once. The variants share nothing else, so their jobs are submitted side by side
-    and fill each other's gaps.
+    Cleaning runs once, one pass over the cleaned texts counts the words of all variants' samples,
+    and the variant is a key of the models: one chain of jobs trains and scores them all.
     """
-    cleaned = cleaned_classes(reviews)
-
-    def metrics(variant: str) -> DataFrame:
-        parts = train_test_split(balanced_variant(cleaned, variant))
-        return train_and_evaluate(*parts, mode).select(F.lit(variant).alias("variant"), "*")
-
-    with ThreadPoolExecutor(len(VARIANTS)) as pool:
-        return reduce(DataFrame.unionByName, pool.map(metrics, VARIANTS))
+    rows = sentiment_label(balanced_variants(cleaned_classes(reviews)))
+    counted = keyed_models.bags(rows.withColumn("in_train", in_train()), "variant", "in_train")
+    counted = materialize(counted, "variant-bags")
+    models = keyed_models.train(counted.filter("in_train"), "variant")
+    metrics = keyed_models.evaluate(models, counted.filter("NOT in_train"), mode)
+    names = reviews.sparkSession.createDataFrame([(v,) for v in VARIANTS], "variant string")
+    # A variant whose sample is empty has no model and no test rows.
+    return names.join(metrics, "variant", "left").fillna(0, ["tp", "fp", "tn", "fn"])
 
 
 def repeated_ids(reviews: DataFrame) -> DataFrame:

@@ -7,10 +7,13 @@ for a small result and as many files of the advisory size as a large one needs,
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opinara.operators.reviews import POSITIVE
+from opinara.sources.files import Files
 from opinara.sources.readers import CSV_OPTIONS, ESCAPES
 
 
@@ -23,6 +26,40 @@ def write_csv(df: DataFrame, path: str, mode: str = "error", compact: bool = Fal
     _sized(df, compact).write.mode(mode).options(**CSV_OPTIONS).csv(path)
 
 
+def csv_line(columns: list[str]) -> Column:
+    """The line that `write_csv` writes for these columns."""
+    options = {**CSV_OPTIONS, "emptyValue": '""', "nullValue": ""}
+    return F.to_csv(F.struct(*columns), options)
+
+
+def write_datasets(
+    lines: DataFrame, folder: str, names: list[str], mode: str = "error"
+) -> dict[str, str]:
+    """Write rows `dataset, value` as one folder of text files for each name, by one job.
+
+    All of them are written beside the targets first and moved there when they are complete: a job
+    that fails leaves the folders as they were. A name without rows is an empty folder. `mode` is
+    "error" for existing targets, or "overwrite". Returns the paths by name.
+    """
+    if mode not in ("error", "overwrite"):
+        raise ValueError(f"unknown mode {mode!r}")
+    paths = {name: f"{folder.rstrip('/')}/{name}" for name in names}
+    files = Files(lines.sparkSession)
+    there = [path for path in paths.values() if files.exists(path)]
+    if there and mode == "error":
+        raise FileExistsError(f"already there: {', '.join(there)}")
+    staged = f"{folder.rstrip('/')}/_staged-{uuid.uuid4().hex}"
+    try:
+        lines.filter(F.col("dataset").isin(names)).write.partitionBy("dataset").text(staged)
+        for name, path in paths.items():
+            source = f"{staged}/dataset={name}"
+            files.ready(source)
+            files.replace(source, path)
+    finally:
+        files.delete(staged)
+    return paths
+
+
 def write_tsv(df: DataFrame, path: str, mode: str = "error", compact: bool = False) -> None:
     """Tab-separated stage files; tabs and line ends in texts are escaped, null is empty."""
     line = F.concat_ws("\t", *(_escaped(F.col(c).cast("string")) for c in df.columns))
