@@ -494,6 +494,22 @@ ORACLE: dict[str, str] = {
                   count(*) FILTER (overall = 5.0) AS n_positive FROM reviews""",
     ),
     "balanced_sample": with_ctes(SPLIT, "SELECT * FROM balanced"),
+    "balanced_sample_exact": with_ctes(
+        SPLIT,
+        """SELECT * FROM classes WHERE overall < 5.0
+           UNION ALL
+           (SELECT * FROM classes WHERE overall = 5.0
+            QUALIFY row_number() OVER (
+                ORDER BY md5(concat(review_id::VARCHAR, ':123:balance')), review_id, text
+            ) <= (SELECT count(*) FROM classes WHERE overall < 5.0))""",
+    ),
+    "smallest_per_group": """
+        SELECT l_returnflag, l_orderkey, l_linenumber FROM lineitem
+        QUALIFY row_number() OVER (
+            PARTITION BY l_returnflag
+            ORDER BY md5(concat(l_orderkey, '-', l_linenumber, ':123')), l_orderkey, l_linenumber
+        ) <= floor(count(*) OVER (PARTITION BY l_returnflag)
+                   / CASE WHEN l_returnflag = 'N' THEN 10 ELSE 3 END)""",
     "union_classes": with_ctes(
         REVIEWS,
         """SELECT * FROM reviews WHERE overall IN (1.0, 2.0)

@@ -13,9 +13,17 @@ from pyspark.sql import functions as F
 
 from opinara.functions import text as fn
 from opinara.functions.lemmas import lemmatize
+from opinara.functions.sampling import hash_key
 from opinara.functions.stemming import stem_words
 from opinara.operators import naive_bayes as nb
-from opinara.operators import reports, reviews, sampling, selection, word_stats
+from opinara.operators import (
+    order_statistics,
+    reports,
+    reviews,
+    sampling,
+    selection,
+    word_stats,
+)
 from opinara.operators.reviews import VARIANTS
 from opinara.plans import prepare, report, train
 from opinara.session import materialize, scratch_path
@@ -326,6 +334,24 @@ def balanced_sample(t: Tables) -> DataFrame:
     return t.balanced
 
 
+@query
+def balanced_sample_exact(t: Tables) -> DataFrame:
+    """Classes of equal size."""
+    return sampling.balanced_sample(t.classes, exact=True)
+
+
+@query
+def smallest_per_group(t: Tables) -> DataFrame:
+    """A tenth of the lines of one flag and a third of each other's, by a hash."""
+    lines = t.table("lineitem").select("l_returnflag", "l_orderkey", "l_linenumber")
+    share = F.when(F.col("l_returnflag") == "N", 10).otherwise(3)
+    wanted = lines.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"))
+    wanted = wanted.select("l_returnflag", F.floor(F.col("n") / share).alias("_wanted"))
+    key = hash_key(F.concat_ws("-", "l_orderkey", "l_linenumber"))
+    ties = [F.col("l_orderkey").asc(), F.col("l_linenumber").asc()]
+    return order_statistics.smallest_per_group(lines, "l_returnflag", key, wanted, ties, few=100)
+
+
 @query
 def union_classes(t: Tables) -> DataFrame:
     classes = t.reviews

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opinara.functions.sampling import SEED, hash_fraction, hash_key
+from opinara.operators.order_statistics import smallest_per_group
 from opinara.operators.reviews import is_negative, is_positive
 from opinara.session import PARTITION_SHIFT, materialize
 
@@ -23,12 +24,20 @@ def class_counts(reviews: DataFrame) -> DataFrame:
 
 
 def balanced_sample(
-    reviews: DataFrame, key: str = "review_id", seed: int = SEED, fraction: float | None = None
+    reviews: DataFrame,
+    key: str = "review_id",
+    seed: int = SEED,
+    fraction: float | None = None,
+    exact: bool = False,
 ) -> DataFrame:
     """All negatives and a Bernoulli sample of positives of about the same size.
 
-    `fraction`, the share of positives to keep, is counted if it is not given.
+    `fraction`, the share of positives to keep, is counted if it is not given. With `exact` there
+    are as many positives as negatives, or all if there are fewer: those with the smallest hashes,
+    rows that share a key in the order of all their columns. That runs jobs.
     """
+    if exact:
+        return _exactly_balanced(reviews, key, seed)
     if fraction is None:
         counts = class_counts(reviews)
         share = F.least(F.lit(1.0), F.try_divide("n_negative", "n_positive"))
@@ -39,6 +48,21 @@ def balanced_sample(
     return reviews.filter(is_negative() | (is_positive() & sampled))
 
 
+def _exactly_balanced(reviews: DataFrame, key: str, seed: int) -> DataFrame:
+    rows = reviews.withColumn("_class", F.when(is_negative(), "n").when(is_positive(), "p"))
+    counts = rows.groupBy("_class").agg(F.count(F.lit(1)).alias("_wanted"))
+    wanted = counts.agg(F.coalesce(F.sum(F.when(F.col("_class") == "n", F.col("_wanted"))), F.lit(0)).alias("_wanted"))
+    hashed = F.coalesce(hash_key(F.col(key), f"{seed}:balance"), F.lit(""))
+    positives = smallest_per_group(
+        rows.filter("_class = 'p'"),
+        "_class",
+        hashed,
+        wanted.select(F.lit("p").alias("_class"), "_wanted"),
+        [F.col(c).asc() for c in (key, *(c for c in reviews.columns if c != key))],
+    )
+    return rows.filter("_class = 'n'").unionByName(positives).drop("_class")
+
+
 def union_classes(negatives: DataFrame, positives: DataFrame) -> DataFrame:
     return negatives.unionByName(positives)
 
