@@ -437,6 +437,15 @@ ORACLE: dict[str, str] = {
         ALL_STATS,
         "SELECT word, sum(n)::BIGINT AS frequency FROM counts WHERE word NOT IN ('phone') GROUP BY word",
     ),
+    **{
+        name: with_ctes(
+            ALL_STATS,
+            f"""SELECT * FROM counts WHERE word {test} (
+                SELECT unnest(string_split_regex(regexp_replace(
+                    lower(coalesce(text, '')), '[^a-zA-Z\\s]', '', 'g'), '\\s+')) FROM benchmark)""",
+        )
+        for name, test in (("exclude_word_table", "NOT IN"), ("only_word_table", "IN"))
+    },
     "sentiment_slice": with_ctes(
         ALL_STATS,
         """SELECT word, sentiment, round(avg_tfidf, 6) AS avg_tfidf FROM averages

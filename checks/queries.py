@@ -234,6 +234,19 @@ def exclude_words(t: Tables) -> DataFrame:
     return reviews.exclude_words(reports.word_frequency(t.counts), reports.EXCLUDED_WORDS)
 
 
+@query
+def exclude_word_table(t: Tables) -> DataFrame:
+    """Occurrences by review of the words that no benchmark text has, all others anti-joined."""
+    items = t.table("benchmark").select(F.explode(fn.tokenize_strip(F.col("text"))).alias("word"))
+    return reviews.exclude_words(t.counts, items)
+
+
+@query
+def only_word_table(t: Tables) -> DataFrame:
+    items = t.table("benchmark").select(F.explode(fn.tokenize_strip(F.col("text"))).alias("word"))
+    return reviews.only_words(t.counts, items)
+
+
 @query
 def sentiment_slice(t: Tables) -> DataFrame:
     averages = reports.avg_tfidf_by_sentiment(t.frames.scored)

@@ -39,7 +39,8 @@ def run_prepare(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def run_train(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Write the six stage folders, replacing old ones, and print the metrics."""
+    """Write the six stage folders and print the metrics. Old folders are replaced when all six
+    are written; a run that fails leaves them as they were."""
     reviews, lines = _labelled(spark, args.train, args.lenient)
     test, _ = _labelled(spark, args.test, args.lenient)
     unique = _unique(reviews, args)
@@ -59,8 +60,10 @@ def run_train(spark: SparkSession, args: argparse.Namespace) -> None:
         "training": writers.stage_training(word_counts),
         "output": writers.stage_output(predictions),
     }
-    for name, frame in stages.items():
-        writers.write_tsv(frame, f"{args.output}/{name}", mode="overwrite")
+    targets = {name: f"{args.output}/{name}" for name in stages}
+    with writers.staged(spark, args.output, targets) as beside:
+        for name, frame in stages.items():
+            writers.write_tsv(frame, f"{beside}/{name}")
     metrics = nb.classification_metrics(nb.confusion_matrix(predictions))
     nb.metrics_report(metrics).show(truncate=False)
 

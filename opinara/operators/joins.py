@@ -19,15 +19,19 @@ def keyed_lookup(
 ) -> DataFrame:
     """`rows` joined to the one-row-per-key `table`, safe for keys of any frequency.
 
+    `how` is "inner", "left", "left_semi" or "left_anti"; the last two take the keys of `table` as
+    a list, in which a key may be repeated.
+
     A key is hot when it has more than `rows_per_task` rows, a number that a shuffle partition
     holds easily. The rows of a hot key are spread by a hash of the whole row over as many salts
     as keep each at that number, and its table row is repeated for each salt; all other keys have
     one salt. It is one equi join over one scan of `rows`, which Spark broadcasts where the table
     is small. The hot keys are broadcast: at most MAX_HOT_KEYS, because beyond 10**12 rows a
     millionth of all rows takes the place of `rows_per_task`. `key_counts(key, n_rows)` may be
-    passed when the caller has it anyway. Keys are not null.
+    passed when the caller has it anyway. Null keys match nothing: such rows stay in "left" and
+    "left_anti" joins, and a null in a list excludes nothing.
     """
-    if how not in ("inner", "left"):
+    if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how!r}")
     keys = [key] if isinstance(key, str) else key
     if key_counts is None:

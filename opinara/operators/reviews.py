@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from opinara.functions import text as fn
 from opinara.functions.lemmas import lemmatize
 from opinara.functions.stemming import stem_words
+from opinara.operators.joins import keyed_lookup
 
 # Output columns of the three cleaning variants, and the rating classes.
 VARIANTS = {
@@ -97,10 +98,19 @@ def nonempty_tokens(words: DataFrame) -> DataFrame:
     return words.filter(F.col("word") != "")
 
 
-def exclude_words(words: DataFrame, excluded: list[str]) -> DataFrame:
+def exclude_words(words: DataFrame, excluded: list[str] | DataFrame) -> DataFrame:
+    """Rows whose word is not excluded. Long lists come as a table with a column `word`, which is
+    joined, with the rows of frequent words spread; rows without a word stay then."""
+    if isinstance(excluded, DataFrame):
+        return keyed_lookup(words, excluded.select("word").distinct(), "word", "left_anti")
     return words.filter(~F.col("word").isin(*excluded))
 
 
+def only_words(words: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows whose word is in the table `wanted`, joined in the same way."""
+    return keyed_lookup(words, wanted.select("word").distinct(), "word", "left_semi")
+
+
 def sentiment_slice(words: DataFrame, sentiment: str) -> DataFrame:
     return words.filter(F.col("sentiment") == sentiment)
 

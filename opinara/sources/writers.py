@@ -8,6 +8,8 @@ for a small result and as many files of the advisory size as a large one needs,
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,16 +50,30 @@ def write_datasets(
     there = [path for path in paths.values() if files.exists(path)]
     if there and mode == "error":
         raise FileExistsError(f"already there: {', '.join(there)}")
-    staged = f"{folder.rstrip('/')}/_staged-{uuid.uuid4().hex}"
+    folders = {f"dataset={name}": path for name, path in paths.items()}
+    with staged(lines.sparkSession, folder, folders) as beside:
+        chosen = lines.filter(F.col("dataset").isin(names))
+        chosen.write.mode("append").partitionBy("dataset").text(beside)
+    return paths
+
+
+@contextmanager
+def staged(spark: SparkSession, folder: str, targets: dict[str, str]) -> Iterator[str]:
+    """A new folder inside `folder` to write into; at the end its parts, the keys of `targets`,
+    replace the folders that `targets` names.
+
+    Nothing is replaced if what is done inside fails, so an earlier run stays whole. A part that
+    was not written is an empty folder.
+    """
+    files = Files(spark)
+    beside = f"{folder.rstrip('/')}/_staged-{uuid.uuid4().hex}"
     try:
-        lines.filter(F.col("dataset").isin(names)).write.partitionBy("dataset").text(staged)
-        for name, path in paths.items():
-            source = f"{staged}/dataset={name}"
-            files.ready(source)
-            files.replace(source, path)
+        yield beside
+        for part, path in targets.items():
+            files.ready(f"{beside}/{part}")
+            files.replace(f"{beside}/{part}", path)
     finally:
-        files.delete(staged)
-    return paths
+        files.delete(beside)
 
 
 def write_tsv(df: DataFrame, path: str, mode: str = "error", compact: bool = False) -> None:

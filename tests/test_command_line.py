@@ -1,7 +1,7 @@
 import pytest
 
 from opinara.__main__ import main
-from opinara.sources import readers
+from opinara.sources import readers, writers
 
 
 def test_prepare_train_and_report(spark, tmp_path, capsys):
@@ -44,3 +44,24 @@ def test_shared_ids_must_be_asked_for(spark, tmp_path):
         main(["train", path, path, str(tmp_path / "out")])
     main(["train", path, path, str(tmp_path / "out"), "--shared-ids"])
     assert spark.read.text(f"{tmp_path}/out/features").count() > 2
+
+
+def test_a_failed_run_leaves_the_earlier_one(spark, tmp_path, monkeypatch):
+    path, out = str(tmp_path / "train"), tmp_path / "out"
+    rows = [(i, 5.0 if i % 2 else 1.0, f"word{i % 3} and word{i}") for i in range(12)]
+    spark.createDataFrame(rows, readers.CSV_REVIEW_SCHEMA).write.csv(path)
+    main(["train", path, path, str(out)])
+    before = {s: sorted(p.read_text() for p in (out / s).glob("part*")) for s in readers.STAGE_SCHEMAS}
+    write, done = writers.write_tsv, []
+
+    def failing(frame, target, *args, **kwargs):
+        if len(done) == 3:
+            raise RuntimeError("lost in stage 4")
+        done.append(target)
+        write(frame, target, *args, **kwargs)
+
+    monkeypatch.setattr(writers, "write_tsv", failing)
+    with pytest.raises(RuntimeError, match="stage 4"):
+        main(["train", path, path, str(out), "--mode", "standard"])
+    after = {s: sorted(p.read_text() for p in (out / s).glob("part*")) for s in readers.STAGE_SCHEMAS}
+    assert after == before and sorted(p.name for p in out.iterdir()) == sorted(readers.STAGE_SCHEMAS)
