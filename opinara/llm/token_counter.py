@@ -11,10 +11,13 @@ met and kept, up to a fixed number.
 
 A block of texts becomes one stream of bytes and word ends, cut into chunks that run side by
 side, a step for all chunks at a time. A chunk that starts inside a word does not know its state.
-Its map from states to states is constant from its first word end on, so the scan that composes
-the maps hands each chunk the state its predecessor ends with, and only the bytes up to the first
-word end are run again with it; chunks inside a longer word pass their state on one by one.
-Counts of texts are sums of the annotations.
+Its map from states to states is constant from its first word end on, so only the bytes up to
+there wait for the state of the chunk before. A chunk inside a longer word has a map with an entry
+for each state that it may start in: those reached by starting a longest token earlier, and those
+in which the map of the chunk before ends. The maps of all chunks are filled side by side and
+composed by a prefix scan that doubles its reach. States that start apart soon agree, so two or
+three rounds fill them, and a round adds at least one chunk where they never agree. Counts of
+texts are sums of the annotations.
 
 Null texts are empty and have 0 tokens. Special strings in a text are one token each, as is the
 library's default. A text of any length takes one row of a block. Repeated rows are counted row
@@ -38,6 +41,8 @@ END = 256
 START, UNKNOWN = 0, 1
 CHUNK = 512
 MAX_STATES = 250_000
+STRETCH = 1 << 20
+LANE = 1 << 32
 BLOCK_BYTES = 4 << 20
 SPACE, LETTER, NUMBER, SIGN = range(4)
 
@@ -88,6 +93,7 @@ class Transducer:
 
     def __init__(self, merges: Merges):
         self.merges, self.automaton = merges, Automaton(merges)
+        self.longest = max(self.automaton.depth)
         self.pairs: dict[int, bool] = {}
         self.forget()
 
@@ -211,8 +217,28 @@ class Transducer:
 
     def run(self, stream: np.ndarray) -> np.ndarray:
         """The change of the count at each symbol of a stream that ends with END."""
-        if len(self.states) > MAX_STATES:
-            self.forget()
+        changes = np.empty(len(stream), dtype=np.int8)
+        state, size = START, max(STRETCH // CHUNK, 1) * CHUNK
+        for at in range(0, len(stream), size):
+            if len(self.states) > MAX_STATES:
+                state = self._kept(state)
+            changes[at : at + size], state = self._stretch(stream[at : at + size], state)
+        return changes
+
+    def _kept(self, state: int) -> int:
+        """The number of a state after all others are forgotten."""
+        key = self.states[state]
+        self.forget()
+        if key not in self.number:
+            self.number[key] = len(self.states)
+            self.states.append(key)
+        return self.number[key]
+
+    def _stretch(self, stream: np.ndarray, first: int) -> tuple[np.ndarray, int]:
+        """The changes of a part of a stream that is entered in state `first`, and its last state.
+
+        Only the last part of a stream, which ends with END, may be no multiple of CHUNK.
+        """
         columns = self.columns(np.append(stream, END))
         lanes = -(-len(stream) // CHUNK)
         padded = np.full(lanes * CHUNK, columns[-1], dtype=np.int16)
@@ -220,26 +246,75 @@ class Transducer:
         rows = np.ascontiguousarray(padded.reshape(lanes, CHUNK).T)
         changes = np.empty((CHUNK, lanes), dtype=np.int8)
         states = np.full(lanes, UNKNOWN, dtype=np.int64)
-        states[0] = START
+        states[0] = first
         for i in range(CHUNK):
             states, changes[i] = self.step(states, rows[i])
         ends = rows == columns[-1]
         heads = np.where(ends.any(axis=0), ends.argmax(axis=0) + 1, CHUNK)
-        waiting = np.arange(1, lanes)
-        while waiting.size:
-            ready = waiting[states[waiting - 1] != UNKNOWN]
-            waiting = np.setdiff1d(waiting, ready, assume_unique=True)
-            inside = states[ready - 1]
-            order = np.argsort(-heads[ready], kind="stable")
-            ready, inside = ready[order], inside[order]
-            live = len(ready)
-            for i in range(int(heads[ready].max())):
-                live = int(np.searchsorted(-heads[ready], -i, "left"))
-                now = ready[:live]
-                inside[:live], changes[i, now] = self.step(inside[:live], rows[i, now])
-            whole = states[ready] == UNKNOWN
-            states[ready[whole]] = inside[whole]
-        return changes.T.ravel()[: len(stream)]
+        inside = np.flatnonzero(states == UNKNOWN)
+        if inside.size:
+            states[inside] = self._ends_inside(inside, states, padded, rows)
+        order = 1 + np.argsort(-heads[1:], kind="stable")
+        now = states[order - 1]
+        for i in range(int(heads[1:].max(initial=0))):
+            live = int(np.searchsorted(-heads[order], -i, "left"))
+            now[:live], changes[i, order[:live]] = self.step(now[:live], rows[i, order[:live]])
+        return changes.T.ravel()[: len(stream)], int(states[-1])
+
+    def _ends_inside(
+        self, inside: np.ndarray, states: np.ndarray, padded: np.ndarray, rows: np.ndarray
+    ) -> np.ndarray:
+        """The states after the chunks `inside` words, from those after all others.
+
+        A map's entries are keys, lane and state before the chunk, with the key they lead to.
+        """
+        known = states[inside - 1] != UNKNOWN
+        true = inside[known] * LANE + states[inside[known] - 1]
+        new = np.union1d(true, self._earlier(inside[~known], padded, [0]))
+        keys, after = np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
+        for turn in range(len(inside) + 2):
+            lane, now = np.divmod(new, LANE)
+            for i in range(CHUNK):
+                now, _ = self.step(now, rows[i, lane])
+            keys, after = np.append(keys, new), np.append(after, (lane + 1) * LANE + now)
+            order = np.argsort(keys)
+            keys, after = keys[order], after[order]
+            reached = self._scan(keys, after, true)
+            found = np.flatnonzero(reached)
+            if len(found) == len(inside):
+                return after[found] % LANE  # in the order of keys, so of lanes
+            open_ = np.setdiff1d(inside, keys[found] // LANE, assume_unique=True)
+            new = after
+            if turn == 1:
+                new = np.append(after, self._earlier(open_, padded, range(1, self.longest + 1)))
+            new = np.setdiff1d(new[np.isin(new // LANE, open_)], keys)
+        raise AssertionError("each turn reaches a chunk more")
+
+    def _earlier(self, lanes: np.ndarray, padded: np.ndarray, offsets: Sequence[int]) -> np.ndarray:
+        """Keys of states at the chunks' starts, entered a longest token and an offset before."""
+        if not len(lanes):
+            return np.empty(0, dtype=np.int64)
+        lane = np.repeat(lanes, len(offsets))
+        at = lane * CHUNK - self.longest - np.tile(np.array(offsets), len(lanes))
+        now = np.full(len(lane), START, dtype=np.int64)
+        for back in range(self.longest + max(offsets), 0, -1):
+            place = lane * CHUNK - back
+            live = np.flatnonzero((place >= at) & (place >= 0))
+            now[live], _ = self.step(now[live], padded[place[live]])
+        return np.unique(lane * LANE + now)
+
+    @staticmethod
+    def _scan(keys: np.ndarray, after: np.ndarray, true: np.ndarray) -> np.ndarray:
+        """Which entries are reached from the `true` ones, by maps composed with themselves."""
+        place = np.minimum(np.searchsorted(keys, after), len(keys) - 1)
+        stop = len(keys)
+        leads = np.append(np.where(keys[place] == after, place, stop), stop)
+        reached = np.zeros(stop + 1, dtype=bool)
+        reached[np.searchsorted(keys, true)] = True
+        while (leads < stop).any():
+            reached[leads[reached]] = True
+            leads = leads[leads]
+        return reached[:stop]
 
 
 CLASS = np.full(256, SIGN, dtype=np.int8)

@@ -97,6 +97,32 @@ def test_chunks_of_any_length(samples, wanted, monkeypatch, chunk):
     assert token_counter.Counter(PATH).counts(texts).tolist() == want
 
 
+@pytest.fixture(scope="module")
+def long_words():
+    draw = random.Random(11)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    return [
+        "".join(draw.choice(letters) for _ in range(40_000)),
+        "b" + "a" * 30_000,
+        "x" + "abc" * 9_000 + "q" + "the" * 9_000,
+        "lo " + "ha" * 12_001 + " lo",
+        "你好世界" * 4_000,
+        "é" * 20_000 + " " + "!?" * 9_000,
+    ]
+
+
+def test_words_of_many_chunks(library, long_words):
+    want = [len(library.encode(t, add_special_tokens=False).ids) for t in long_words]
+    assert token_counter.Counter(PATH).counts(long_words).tolist() == want
+
+
+def test_a_word_over_several_stretches(library, long_words, monkeypatch):
+    monkeypatch.setattr(token_counter, "STRETCH", 3000)
+    monkeypatch.setattr(token_counter, "MAX_STATES", 500)
+    want = [len(library.encode(t, add_special_tokens=False).ids) for t in long_words]
+    assert token_counter.Counter(PATH).counts(long_words).tolist() == want
+
+
 def test_counter_starts_again_when_full(samples, wanted, monkeypatch):
     monkeypatch.setattr(token_counter, "MAX_STATES", 100)
     counter = token_counter.Counter(PATH)
@@ -109,6 +135,7 @@ def test_count_query(spark, samples, wanted):
     docs = spark.createDataFrame(rows, "doc_id long, text string, n_tokens int")
     got = sorted(map(tuple, token_counter.count_tokens(docs, PATH).collect()))
     assert got == sorted([(i, len(w)) for i, w in enumerate(wanted[:50])] + [(99, 0), (99, 0)])
+    assert token_counter.count_tokens(docs.limit(0), PATH).count() == 0
 
 
 def test_token_files(spark, samples, wanted, monkeypatch):
