@@ -402,6 +402,38 @@ LINE_COLUMNS = "l_orderkey, l_linenumber, l_extendedprice"
 ORACLE: dict[str, str] = {
     # sources and sinks
     "json_reviews": with_ctes(REVIEWS, "SELECT * FROM reviews"),
+    "json_reviews_inferred": with_ctes(
+        REVIEWS,
+        """SELECT CASE WHEN review_id % 50 <> 0 THEN review_id ELSE 0 END AS review_id,
+                  CASE WHEN review_id % 50 <> 0 THEN overall::VARCHAR END AS overall,
+                  CASE WHEN review_id % 50 <> 0 THEN "reviewText" END AS "reviewText",
+                  CASE WHEN review_id % 50 <> 0 THEN '{"stars":' || review_id % 5 || '}' END AS extra,
+                  CASE WHEN review_id % 50 = 0 THEN '[1] ' || review_id END AS rejected
+           FROM reviews""",
+    ),
+    "json_field_types": with_ctes(
+        REVIEWS
+        | {
+            "kinds": """
+                SELECT unnest([
+                    {'field': 'review_id', 'kind': 'bigint', 'digits': 0, 'there': true},
+                    {'field': 'extra', 'kind': 'object', 'digits': 0, 'there': true},
+                    {'field': 'reviewText', 'kind': 'string', 'digits': 0,
+                     'there': "reviewText" IS NOT NULL},
+                    {'field': 'overall', 'kind': CASE WHEN review_id % 3 = 0 THEN 'string' ELSE 'decimal' END,
+                     'digits': CASE WHEN review_id % 3 <> 0 THEN 1 ELSE 0 END, 'there': overall IS NOT NULL}
+                ], recursive := true) FROM reviews WHERE review_id % 50 <> 0"""
+        },
+        """SELECT field, kind, max(digits)::INT AS digits, count(*) AS n_rows
+           FROM kinds WHERE there GROUP BY field, kind""",
+    ),
+    "csv_line_breaks": with_ctes(
+        REVIEWS,
+        """SELECT review_id AS "index", overall,
+                  replace(replace(replace(replace(replace(coalesce("reviewText", ''), 'a', chr(10)),
+                      'e', chr(13) || chr(10)), 'i', '"'), 'o', chr(92) || 'n'), 'u', chr(92)) AS text
+           FROM reviews""",
+    ),
     "csv_reviews": with_ctes(PLAIN, 'SELECT review_id AS "index", overall, text FROM texts'),
     "lenient_lines": with_ctes(REVIEWS, _line_fields()),
     "tsv_stage_scan": with_ctes(ALL_STATS, f"SELECT word, {marked()} AS review, n AS count FROM counts"),

@@ -27,7 +27,7 @@ from opinara.operators import (
 from opinara.operators.reviews import VARIANTS
 from opinara.plans import prepare, report, train
 from opinara.session import materialize, scratch_path
-from opinara.sources import readers, writers
+from opinara.sources import inferred, readers, writers
 
 DIGITS = 6
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -115,6 +115,40 @@ def json_reviews(t: Tables) -> DataFrame:
     return readers.read_json_reviews(t.spark, path, schema)
 
 
+def _mixed_json(t: Tables) -> str:
+    """Reviews as JSON lines with every third rating quoted, nested fields and a bad line in fifty."""
+    path = scratch_path(t.spark, "mixed")
+    id_, rating = F.col("review_id"), F.col("overall")
+    row = F.to_json(
+        F.struct(
+            "review_id",
+            F.when(id_ % 3 != 0, rating).alias("overall"),
+            F.when(id_ % 3 == 0, rating.cast("string")).alias("quoted"),
+            "reviewText",
+            F.struct((id_ % 5).alias("stars")).alias("extra"),
+        )
+    )
+    row = F.replace(row, F.lit('"quoted":'), F.lit('"overall":'))
+    line = F.when(id_ % 50 == 0, F.concat(F.lit("[1] "), id_.cast("string"))).otherwise(row)
+    t.reviews.select(line.alias("value")).write.text(path)
+    return path
+
+
+@query
+def json_reviews_inferred(t: Tables) -> DataFrame:
+    """Reviews and rejected lines, with 0 for their ids, in one frame."""
+    rows, _, rejects = inferred.read_json_inferred(t.spark, _mixed_json(t))
+    return rows.withColumn("rejected", F.lit(None).cast("string")).unionByName(
+        rejects.select(F.lit(0).cast("long").alias("review_id"), F.col("value").alias("rejected")),
+        allowMissingColumns=True,
+    )
+
+
+@query
+def json_field_types(t: Tables) -> DataFrame:
+    return inferred.json_field_types(t.spark.read.text(_mixed_json(t)))
+
+
 @query
 def csv_reviews(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "csv")
@@ -160,6 +194,18 @@ def csv_export(t: Tables) -> DataFrame:
     return readers.read_csv_reviews(t.spark, path, readers.BALANCED_SCHEMA)
 
 
+@query
+def csv_line_breaks(t: Tables) -> DataFrame:
+    """Whole texts with line breaks, quotes and backslashes put in for some letters."""
+    text = F.coalesce("reviewText", F.lit(""))
+    for letter, characters in (("a", "\n"), ("e", "\r\n"), ("i", '"'), ("o", "\\n"), ("u", "\\")):
+        text = F.replace(text, F.lit(letter), F.lit(characters))
+    path = scratch_path(t.spark, "breaks")
+    rows = t.reviews.select(F.col("review_id").alias("index"), "overall", text.alias("text"))
+    writers.write_csv(rows, path)
+    return readers.read_csv_reviews(t.spark, path)
+
+
 @query
 def tsv_export(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "tf")

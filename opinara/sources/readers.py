@@ -1,4 +1,4 @@
-"""Readers of review files and stage files. No reader infers a schema: that costs a pass."""
+"""Readers of review files and stage files of known layouts; `inferred` finds unknown ones."""
 
 from __future__ import annotations
 
@@ -18,9 +18,17 @@ STAGE_SCHEMAS = {
     "training": "word string, counts string",
     "output": "review_text string, predicted string",
 }
-CSV_OPTIONS = {"quote": '"', "escape": '"', "header": "false"}
+CSV_OPTIONS = {
+    "quote": '"',
+    "escape": '"',
+    "header": "false",
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
 # Characters that would break a line of a stage file, with what stands for them.
 ESCAPES = (("\\", "\\\\"), ("\t", "\\t"), ("\n", "\\n"), ("\r", "\\r"))
+# In CSV files, where a tab breaks nothing.
+CSV_ESCAPES = tuple(pair for pair in ESCAPES if pair[0] != "\t")
 
 
 def _as_text(schema: str) -> str:
@@ -58,13 +66,18 @@ def read_json_reviews_with_rejects(
     return good.select(*(columns[n] for n in ordered)), parsed.filter(bad).select("value")
 
 
-def read_csv_reviews(spark: SparkSession, path: str, schema: str = CSV_REVIEW_SCHEMA) -> DataFrame:
+def read_csv_reviews(
+    spark: SparkSession, path: str, schema: str = CSV_REVIEW_SCHEMA, escaped: bool = True
+) -> DataFrame:
     """Headerless CSV with quoting; a value that does not fit its type fails the job.
 
-    The format cannot tell an empty text from a missing one; both are read as empty.
+    Line ends and backslashes in texts are escaped, as `write_csv` does it, so that files can be
+    split; `escaped=False` reads files of others, whose backslashes stand for themselves. The
+    format cannot tell an empty text from a missing one; both are read as empty.
     """
     rows = spark.read.schema(schema).options(mode="FAILFAST", **CSV_OPTIONS).csv(path)
-    return rows.withColumn("text", F.coalesce("text", F.lit("")))
+    text = F.coalesce("text", F.lit(""))
+    return rows.withColumn("text", _unescaped(text, CSV_ESCAPES) if escaped else text)
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -115,11 +128,11 @@ def read_stage(spark: SparkSession, path: str, stage: str) -> DataFrame:
     return spark.read.text(path).select(*columns)
 
 
-def _unescaped(field: Column) -> Column:
-    """Undo the escapes of stage files; most fields hold none."""
+def _unescaped(field: Column, escapes: tuple[tuple[str, str], ...] = ESCAPES) -> Column:
+    """Undo the escapes of a file; most fields hold none."""
 
     def plain_part(part: Column) -> Column:
-        for plain, escaped in ESCAPES[1:]:
+        for plain, escaped in escapes[1:]:
             part = F.replace(part, F.lit(escaped), F.lit(plain))
         return part
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from opinara.operators.reviews import POSITIVE
 from opinara.sources.files import Files
-from opinara.sources.readers import CSV_OPTIONS, ESCAPES
+from opinara.sources.readers import CSV_ESCAPES, CSV_OPTIONS, ESCAPES
 
 
 def _sized(df: DataFrame, compact: bool) -> DataFrame:
@@ -24,14 +24,20 @@ def _sized(df: DataFrame, compact: bool) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "error", compact: bool = False) -> None:
-    """Headerless CSV; an existing path is an error unless `mode` says otherwise."""
+    """Headerless CSV; an existing path is an error unless `mode` says otherwise.
+
+    Line ends and backslashes in texts are escaped: a row is a line, so readers can split files.
+    """
+    texts = [name for name, kind in df.dtypes if kind == "string"]
+    df = df.withColumns({c: _escaped(F.col(c), CSV_ESCAPES) for c in texts})
     _sized(df, compact).write.mode(mode).options(**CSV_OPTIONS).csv(path)
 
 
-def csv_line(columns: list[str]) -> Column:
-    """The line that `write_csv` writes for these columns."""
+def csv_line(columns: list[str], texts: tuple[str, ...] = ("text",)) -> Column:
+    """The line that `write_csv` writes for these columns, of which `texts` are strings."""
     options = {**CSV_OPTIONS, "emptyValue": '""', "nullValue": ""}
-    return F.to_csv(F.struct(*columns), options)
+    fields = [_escaped(F.col(c), CSV_ESCAPES).alias(c) if c in texts else F.col(c) for c in columns]
+    return F.to_csv(F.struct(*fields), options)
 
 
 def write_datasets(
@@ -78,13 +84,13 @@ def staged(spark: SparkSession, folder: str, targets: dict[str, str]) -> Iterato
 
 def write_tsv(df: DataFrame, path: str, mode: str = "error", compact: bool = False) -> None:
     """Tab-separated stage files; tabs and line ends in texts are escaped, null is empty."""
-    line = F.concat_ws("\t", *(_escaped(F.col(c).cast("string")) for c in df.columns))
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns]
+    line = F.concat_ws("\t", *(_escaped(f, ESCAPES) for f in fields))
     _sized(df.select(line.alias("value")), compact).write.mode(mode).text(path)
 
 
-def _escaped(field: Column) -> Column:
-    field = F.coalesce(field, F.lit(""))
-    for plain, escaped in ESCAPES:
+def _escaped(field: Column, escapes: tuple[tuple[str, str], ...]) -> Column:
+    for plain, escaped in escapes:
         field = F.replace(field, F.lit(plain), F.lit(escaped))
     return field
 

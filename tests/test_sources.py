@@ -7,7 +7,7 @@ from opinara import session
 from opinara.operators import naive_bayes as nb
 from opinara.operators import selection, word_stats
 from opinara.plans import prepare, train
-from opinara.sources import readers, writers
+from opinara.sources import inferred, readers, writers
 
 
 @pytest.fixture
@@ -39,6 +39,68 @@ def test_csv_round_trip_keeps_quotes_and_commas(spark, path):
         writers.write_csv(frame, path)
 
 
+BROKEN = ["a\nb", "c\r\nd", "\n", '"\n"', "x\\", "\\n", "\\\\n\\", '\\"', "\t", " blanks ", "a,b\r", "", None]
+
+
+def test_csv_keeps_line_breaks(spark, path):
+    rows = [(i, 5.0, t) for i, t in enumerate(BROKEN)]
+    frame = spark.createDataFrame(rows, readers.CSV_REVIEW_SCHEMA)
+    writers.write_csv(frame, path)
+    assert spark.read.text(path).count() == len(rows)
+    back = readers.read_csv_reviews(spark, path).orderBy("index").collect()
+    assert [r["text"] for r in back] == [t or "" for t in BROKEN]
+    lines = frame.select(writers.csv_line(["index", "overall", "text"])).collect()
+    assert sorted(r[0] for r in lines) == sorted(r[0] for r in spark.read.text(path).collect())
+
+
+def test_csv_of_others_keeps_backslashes(spark, path):
+    spark.createDataFrame([("1,5.0,a\\nb",)], "value string").write.text(path)
+    assert readers.read_csv_reviews(spark, path, escaped=False).first()["text"] == "a\\nb"
+    assert readers.read_csv_reviews(spark, path).first()["text"] == "a\nb"
+
+
+def test_json_of_unknown_layout(spark, path):
+    lines = [
+        '{"n": 1, "mixed": 5.0, "big": 12345678901234567890, "none": null, "x.y": true}',
+        '{"n": 2.5, "mixed": "5", "deep": {"a": [1, 2]}, "big": 1, "x.y": false}',
+        '{"n": null, "deep": [3], "text": "t"}',
+        "{}",
+        "  ",
+        "[1]",
+        "7",
+        '{"cut": ',
+        '{"twice": 1, "twice": 2}',
+    ]
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(path)
+    rows, kinds, rejects = inferred.read_json_inferred(spark, path)
+    assert rows.dtypes == [
+        ("big", "string"), ("deep", "string"), ("mixed", "string"), ("n", "double"),
+        ("none", "string"), ("text", "string"), ("x.y", "boolean"),
+    ]
+    assert [tuple(r) for r in rows.collect()] == [
+        ("12345678901234567890", None, "5.0", 1.0, None, None, True),
+        ("1", '{"a":[1,2]}', "5", 2.5, None, None, False),
+        (None, "[3]", None, None, None, "t", None),
+        (None, None, None, None, None, None, None),
+    ]
+    assert [r["value"] for r in rejects.collect()] == lines[5:]
+    found = {(r["field"], r["kind"]): r["n_rows"] for r in kinds.collect()}
+    assert found[("mixed", "string")] == found[("mixed", "decimal")] == 1
+    assert found[("none", "void")] == 1 and ("twice", "bigint") not in found
+
+
+def test_json_fields_that_cannot_be_told_apart(spark, path):
+    spark.createDataFrame([('{"a": 1, "A": 2}',)], "value string").write.text(path)
+    with pytest.raises(ValueError, match="case only"):
+        inferred.read_json_inferred(spark, path)
+
+
+def test_json_without_rows(spark, path):
+    spark.createDataFrame([], "value string").write.text(path)
+    rows, kinds, rejects = inferred.read_json_inferred(spark, path)
+    assert rows.count() == kinds.count() == rejects.count() == 0
+
+
 def test_csv_with_a_bad_value_fails(spark, path):
     spark.createDataFrame([("x,5.0,t",)], "value string").write.text(path)
     with pytest.raises(Exception):
