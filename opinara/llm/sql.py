@@ -33,18 +33,37 @@ rules AS (SELECT *, split_part(rule, '/', 1) AS rule_host,
     ('allow', 'com/fr/'), ('block', 'com/de/')) AS v(verdict, rule)),
 tags AS (SELECT url, unnest(regexp_extract_all(html, '(?is)<(?:link|meta)\b[^>]*>')) AS tag
          FROM pages),
-targets AS (SELECT url, CASE
-    WHEN regexp_matches(tag, '(?is)\brel\s*=\s*["'']?canonical\b')
-    THEN regexp_extract(tag, '(?is)\bhref\s*=\s*["'']?([^"''\s>]+)', 1)
-    WHEN regexp_matches(tag, '(?is)\bhttp-equiv\s*=\s*["'']?refresh\b')
-    THEN regexp_extract(tag, '(?is)\burl\s*=\s*["'']?([^"''\s>]+)', 1) END AS t FROM tags),
-links AS (SELECT url AS source, CASE
+found AS (SELECT url, regexp_matches(tag, '(?is)[\s"''/]rel\s*=\s*["'']?\s*canonical\b') AS link,
+    regexp_matches(tag, '(?is)[\s"''/]http-equiv\s*=\s*["'']?\s*refresh\b') AS refresh,
+    regexp_extract(tag, '(?is)[\s"''/]href\s*=\s*("[^"]*"|''[^'']*''|[^"''\s>]+)', 1) AS href,
+    regexp_extract(tag, '(?is)[\s"''/]content\s*=\s*("[^"]*"|''[^'']*''|[^"''\s>]+)', 1) AS content
+    FROM tags),
+quoted AS (SELECT url, link, CASE WHEN link THEN href WHEN refresh THEN content END AS v FROM found),
+bare AS (SELECT url, link, CASE WHEN v[1] IN ('"', '''') THEN v[2:-2] ELSE v END AS v FROM quoted),
+plain AS (SELECT url, link, replace(replace(replace(replace(replace(replace(replace(v,
+    '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&apos;', ''''), '&#39;', ''''), '&#38;', '&'),
+    '&amp;', '&') AS v FROM bare),
+aimed AS (SELECT url, CASE WHEN link THEN v ELSE regexp_replace(regexp_extract(
+    v, '(?is)\burl\s*=\s*("[^"]*|''[^'']*|[^"''].*)', 1), '^["'']', '') END AS v FROM plain),
+targets AS (SELECT url, regexp_replace(v, '^[\x09-\x0D ]+|[\x09-\x0D ]+$|[\t\r\n]', '', 'g') AS t,
+    regexp_extract(url, '(?s)^.*?://[^/?#]*') AS site,
+    coalesce(nullif(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), ''), '/') AS own FROM aimed),
+joined AS (SELECT url AS source, CASE
+    WHEN t = '' OR t[1] = '#' THEN NULL
     WHEN regexp_matches(t, '(?i)^[a-z][a-z0-9+.-]*://') THEN t
-    WHEN starts_with(t, '//') THEN 'http:' || t
-    WHEN starts_with(t, '/') THEN regexp_extract(url, '(?s)^.*?://[^/?#]*') || t
-    ELSE regexp_extract(url, '(?s)^.*?://[^/?#]*') || coalesce(nullif(regexp_replace(
-        regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '[^/]*$', ''), ''), '/') || t
-    END AS target FROM targets WHERE t <> ''),
+    WHEN regexp_matches(t, '(?i)^[a-z][a-z0-9+.-]*:') THEN NULL
+    WHEN t[1:2] = '//' THEN 'http:' || t
+    WHEN t[1] = '/' THEN site || t
+    WHEN t[1] = '?' THEN site || own || t
+    ELSE site || regexp_replace(own, '[^/]*$', '') || t END AS j FROM targets),
+cut AS (SELECT source, j, regexp_extract(j, '(?s)^.*?://[^/?#]*') AS site,
+    regexp_extract(j, '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS way,
+    regexp_extract(j, '(?s)^.*?://[^/?#]*[^?#]*(.*)$', 1) AS rest FROM joined WHERE j IS NOT NULL),
+links AS (SELECT source, CASE WHEN regexp_matches(way, '/\.\.?(/|$)') THEN site
+    || list_reduce(string_split(way, '/')[2:], lambda a, x: CASE x WHEN '.' THEN a
+           WHEN '..' THEN regexp_replace(a, '/[^/]*$', '') ELSE a || '/' || x END, '')
+    || CASE WHEN regexp_matches(way, '/\.\.?$') THEN '/' ELSE '' END || rest
+    ELSE j END AS target FROM cut),
 urls AS (SELECT url FROM pages UNION SELECT source FROM links UNION SELECT target FROM links),
 parts AS (SELECT url, lower(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1)) AS host,
     regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path,

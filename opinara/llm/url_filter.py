@@ -9,7 +9,10 @@ allowed, else one with an explicitly blocked url is blocked, else the default ho
 Edges come from the pages themselves (`<link rel=canonical>`, `<meta http-equiv=refresh>`) and
 from an optional table of redirects. Urls are one node if they agree without scheme and fragment,
 their host in lower case. The basic entities in link targets (`&amp;`, `&lt;`, `&gt;`, `&quot;`,
-`&apos;` and their numbers) are read as the characters they stand for. Link targets take part whether or not they are pages themselves.
+`&apos;` and their numbers) are read as the characters they stand for. Relative targets are resolved
+as browsers do: `?a` keeps the page's path, `..` and `.` are carried out, `#part` alone is the page
+itself. Targets of other kinds (`mailto:`, `javascript:`) are no edges. Link targets take part
+whether or not they are pages themselves.
 
 Null urls, and urls without `://`, have an empty host and path, no rule, no class and the default
 verdict. Null pages hold no links. Repeated rows are judged row by row; extra columns are ignored;
@@ -31,10 +34,16 @@ from opinara.session import materialize
 MAX_RULES = 1000
 URL_PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)(\?[^#]*)?"
 TAGS = r"(?is)<(?:link|meta)\b[^>]*>"
-CANONICAL = r"(?is)\brel\s*=\s*[\"']?canonical\b"
-HREF = r"(?is)\bhref\s*=\s*[\"']?([^\"'\s>]+)"
-REFRESH = r"(?is)\bhttp-equiv\s*=\s*[\"']?refresh\b"
-TARGET = r"(?is)\burl\s*=\s*[\"']?([^\"'\s>]+)"
+CANONICAL = r"(?is)[\s\"'/]rel\s*=\s*[\"']?\s*canonical\b"
+REFRESH = r"(?is)[\s\"'/]http-equiv\s*=\s*[\"']?\s*refresh\b"
+#: The value of an attribute, in either kind of quotes or in none.
+VALUE = r"\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\"'\s>]+))"
+HREF = r"(?is)[\s\"'/]href" + VALUE
+CONTENT = r"(?is)[\s\"'/]content" + VALUE
+#: What follows `url=` in the content of a refresh.
+REFRESH_URL = r"(?is)\burl\s*=\s*(?:\"([^\"]*)|'([^']*)|([^\"'].*))"
+#: Characters that are no part of a target.
+OUTER = r"^[\x09-\x0D ]+|[\x09-\x0D ]+$|[\t\r\n]"
 #: `&` is the last, as what it leaves is no entity any more.
 ENTITIES = (
     (r"&(?:lt|LT|#0*60|#[xX]0*3[cC]);", "<"),
@@ -44,6 +53,9 @@ ENTITIES = (
     (r"&(?:amp|AMP|#0*38|#[xX]0*26);", "&"),
 )
 ABSOLUTE = r"(?i)^[a-z][a-z0-9+.-]*://"
+SCHEME = r"(?i)^[a-z][a-z0-9+.-]*:"
+SITE_PATH_REST = r"(?s)^(.*?://[^/?#]*)([^?#]*)(.*)$"
+DOTS = r"/\.\.?(?:/|$)"
 
 
 def host(url: Column) -> Column:
@@ -94,16 +106,34 @@ def best_rule(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -> C
 
 
 def resolved(target: Column, url: Column) -> Column:
-    """A link target as an absolute url."""
-    scheme = F.regexp_extract(url, r"(?s)^(.*?://)", 1)
-    site = F.concat(scheme, host(url))
-    folder = F.regexp_replace(path(url), r"[^/]*$", "")
-    return (
-        F.when(target.rlike(ABSOLUTE), target)
+    """A link target as an absolute url; null if it leads to no page or to the page itself."""
+    site = F.concat(F.regexp_extract(url, r"(?s)^(.*?://)", 1), host(url))
+    own = F.when(path(url) == "", "/").otherwise(path(url))
+    folder = F.regexp_replace(own, r"[^/]*$", "")
+    joined = (
+        F.when((target == "") | F.startswith(target, F.lit("#")), F.lit(None))
+        .when(target.rlike(ABSOLUTE), target)
+        .when(target.rlike(SCHEME), F.lit(None))
         .when(F.startswith(target, F.lit("//")), F.concat(F.lit("http:"), target))
         .when(F.startswith(target, F.lit("/")), F.concat(site, target))
-        .otherwise(F.concat(site, F.when(folder == "", "/").otherwise(folder), target))
+        .when(F.startswith(target, F.lit("?")), F.concat(site, own, target))
+        .otherwise(F.concat(site, folder, target))
     )
+    site, plain, rest = (F.regexp_extract(joined, SITE_PATH_REST, i) for i in (1, 2, 3))
+    return F.when(plain.rlike(DOTS), F.concat(site, without_dots(plain), rest)).otherwise(joined)
+
+
+def without_dots(path: Column) -> Column:
+    """A path that starts with `/`, after its segments `.` and `..` are carried out."""
+    parts = F.split(path, "/", -1)
+    walked = F.aggregate(
+        F.slice(parts, 2, F.size(parts)),
+        F.lit(""),
+        lambda done, part: F.when(part == ".", done)
+        .when(part == "..", F.regexp_replace(done, r"/[^/]*$", ""))
+        .otherwise(F.concat(done, F.lit("/"), part)),
+    )
+    return F.concat(walked, F.when(path.rlike(r"/\.\.?$"), "/").otherwise(""))
 
 
 def unescaped(target: Column) -> Column:
@@ -112,19 +142,25 @@ def unescaped(target: Column) -> Column:
     return target
 
 
+def _value(text: Column, pattern: str) -> Column:
+    """What the pattern found in one of its three groups."""
+    return F.concat(*(F.regexp_extract(text, pattern, i) for i in (1, 2, 3)))
+
+
 def link_edges(pages: DataFrame) -> DataFrame:
     """Urls `source, target` of canonical links and refresh redirects in `url, html`."""
     tags = F.regexp_extract_all(F.coalesce("html", F.lit("")), F.lit(TAGS), F.lit(0))
     targets = F.transform(
         tags,
-        lambda tag: F.when(tag.rlike(CANONICAL), F.regexp_extract(tag, HREF, 1)).when(
-            tag.rlike(REFRESH), F.regexp_extract(tag, TARGET, 1)
+        lambda tag: F.when(tag.rlike(CANONICAL), unescaped(_value(tag, HREF))).when(
+            tag.rlike(REFRESH), _value(unescaped(_value(tag, CONTENT)), REFRESH_URL)
         ),
     )
-    return pages.select("url", F.explode(targets).alias("target")).filter("target <> ''").select(
-        F.col("url").alias("source"),
-        resolved(unescaped(F.col("target")), F.col("url")).alias("target"),
-    )
+    links = pages.select("url", F.explode(targets).alias("target"))
+    target = F.regexp_replace("target", OUTER, "")
+    return links.select(
+        F.col("url").alias("source"), resolved(target, F.col("url")).alias("target")
+    ).filter("target IS NOT NULL")
 
 
 def judge(

@@ -159,6 +159,50 @@ def test_entities_in_link_targets(spark):
     assert {i for i, v in got.items() if v == "block"} == {1, 2, 3, 4, 6, 7}
 
 
+TARGETS = [
+    ("?a=1", "http://s.net/d/p?a=1"),
+    ("#part", None),
+    ("", None),
+    ("q", "http://s.net/d/q"),
+    ("../q", "http://s.net/q"),
+    ("../../../q/./r/..", "http://s.net/q/"),
+    ("./", "http://s.net/d/"),
+    ("/a/../b/.", "http://s.net/b/"),
+    ("..a/b..", "http://s.net/d/..a/b.."),
+    ("mailto:x@s.net", None),
+    ("javascript:f()", None),
+    ("HTTPS://t.net/a/../b?../c", "HTTPS://t.net/b?../c"),
+    ("//t.net", "http://t.net"),
+    (" /two words\n", "http://s.net/two words"),
+    ("it's", "http://s.net/d/it's"),
+]
+
+
+def test_targets_of_every_kind(spark):
+    rows = [(i, "http://s.net/d/p?x=1#y", canonical(t)) for i, (t, _) in enumerate(TARGETS)]
+    frame = pages(spark, rows)
+    got = [r["target"] for r in url_filter.link_edges(frame.coalesce(1)).collect()]
+    assert got == [w for _, w in TARGETS if w]
+    tags = [
+        "<link data-href='/no' rel=canonical href='/yes'>",
+        "<link data-rel=canonical href='/no'>",
+        "<link rel='canonical' href=/yes>",
+        "<meta http-equiv=refresh content='3; URL=\"/y es\"'>",
+        '<meta content="0;url=&#39;/yes&#39;" http-equiv="Refresh">',
+        "<meta http-equiv=refresh content=5>",
+        "<meta http-equiv=refresh content=5;url=/yes>",
+    ]
+    frame = pages(spark, [(1, "http://s.net", "".join(tags) + "x" * 2_000_000)])
+    got = [r["target"] for r in url_filter.link_edges(frame).collect()]
+    assert got == [f"http://s.net/{x}" for x in ("yes", "yes", "y es", "yes", "yes")]
+
+
+def test_repeated_ids_with_other_urls(spark):
+    rows = [(1, "http://x.com/de/1", ""), (1, "http://y.net/", ""), (1, "http://y.net/", "")]
+    got = sorted(r["verdict"] for r in url_filter.judge(pages(spark, rows), URL_RULES).collect())
+    assert got == ["allow", "allow", "block"]
+
+
 def test_the_sql_knows_the_links_too(spark):
     import duckdb
 
@@ -171,7 +215,16 @@ def test_the_sql_knows_the_links_too(spark):
         (5, "http://c.net/1", canonical("http://x.com/de/3")),
         (7, "http://good.org/", canonical("http://c.net/1")),
         (8, None, None),
+        (9, "http://p.net/d/p", canonical("../q")),
+        (10, "http://p.net/q", canonical("http://x.com/de/./5?a=1&amp;b")),
+        (11, "http://p.net/r", "<meta http-equiv=refresh content='0; url=\"?a\"'>"),
+        (12, "http://p.net/r?a", canonical("http://x.com/fr/../de/6")),
+        (13, "http://p.net/m", canonical("mailto:x")),
+        (14, "http://p.net/", canonical("#q")),
     ]
+    rows += [(100 + i, f"http://s{i}.net/d/p", canonical(t)) for i, (t, _) in enumerate(TARGETS)]
+    rows += [(200 + i, w.replace("s.net", f"s{i}.net"), canonical("http://x.com/de/9"))
+             for i, (_, w) in enumerate(TARGETS) if w]
     connection = duckdb.connect()
     connection.execute("CREATE TABLE pages (page_id BIGINT, url VARCHAR, html VARCHAR)")
     connection.executemany("INSERT INTO pages VALUES (?, ?, ?)", rows)
