@@ -12,6 +12,8 @@ from opinara.session import PARTITION_SHIFT, materialize
 KEPT_SHARE = 0.75
 # Digits of the logarithm of a score to which scores count as equal, whatever their size.
 SCORE_DIGITS = 11
+# Runs of groups in sorted partitions that are broadcast, at about a hundred bytes each.
+MAX_RUNS = 200_000
 
 
 def by_score(score: str) -> Column:
@@ -27,7 +29,9 @@ def rank_in_groups(
     Groups known to fit a task take a window. Otherwise one global sort cuts even a single
     giant group into range partitions, and each run of a group in a partition gets the number
     of group rows before it: no task ever sees more than a partition. The sorted rows are
-    written once, because both the runs and the final join need the same row positions.
+    written once, because both the runs and the final join need the same row positions. Runs
+    are written and counted: up to MAX_RUNS, as a few large groups have, they are broadcast, and
+    the sorted rows are not shuffled again; more are joined by a shuffle.
     """
     if bounded_groups:
         whole = Window.partitionBy(*group)
@@ -43,11 +47,14 @@ def rank_in_groups(
     )
     whole = Window.partitionBy(*group)
     before = whole.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    runs = materialize(runs, "runs")
+    few = runs.count() <= MAX_RUNS
     runs = runs.select(
         *[F.col(c).alias(f"_run_{c}") for c in [*group, "_slice"]],
         (F.col("_first") - F.coalesce(F.sum("_rows").over(before), F.lit(0)) - 1).alias("_base"),
         F.sum("_rows").over(whole).alias("group_rows"),
     )
+    runs = F.broadcast(runs) if few else runs
     same_run = [F.col(c).eqNullSafe(F.col(f"_run_{c}")) for c in [*group, "_slice"]]
     return rows.join(runs, same_run).select(
         *df.columns, (F.col("_pos") - F.col("_base")).alias("rank"), "group_rows"

@@ -1,6 +1,7 @@
+import pytest
 from pyspark.sql import functions as F
 
-from opinara.operators import sampling
+from opinara.operators import sampling, selection
 from opinara.operators.reviews import class_filter, sentiment_label
 from opinara.operators.selection import top_fraction_per_group
 
@@ -101,6 +102,21 @@ def test_top_fraction_with_a_group_of_a_third_and_equal_scores(spark):
         assert got == expected
 
 
+@pytest.mark.parametrize("most, joined", [(0, "SortMergeJoin"), (100, "BroadcastHashJoin")])
+def test_few_runs_are_broadcast_and_many_are_not(spark, monkeypatch, most, joined):
+    monkeypatch.setattr(selection, "MAX_RUNS", most)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = [("a" if i % 3 else None, float(i % 5), i) for i in range(300)]
+        frame = spark.createDataFrame(rows, "g string, score double, id long")
+        order = [F.col("score").desc(), F.col("id").asc()]
+        top = top_fraction_per_group(frame, ["g"], order, 0.75)
+        assert joined in top._jdf.queryExecution().toString()
+        assert {tuple(r) for r in top.select("g", "score", "id", "rank").collect()} == brute_top(rows, 0.75)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_ranks_run_on_across_the_slices_of_one_group(spark):
     frame = spark.range(200_000).select(F.lit("one").alias("g"), F.col("id"))
     top = top_fraction_per_group(frame, ["g"], [F.col("id").asc()], 0.5)
