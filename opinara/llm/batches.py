@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 BLOCK_BYTES = 8 << 20
 
@@ -48,6 +48,12 @@ def map_blocks(
     return df.mapInArrow(run, schema)
 
 
+def task_number(spark: SparkSession, amount: int, share: int) -> int:
+    """Tasks that get about `share` of `amount` each, and at least the session's own number."""
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, -(-amount // share))
+
+
 def ragged(values: np.ndarray, lengths: np.ndarray, value_type: pa.DataType) -> pa.Array:
     """A list column of consecutive runs of `values`."""
     offsets = np.zeros(len(lengths) + 1, dtype=np.int32)

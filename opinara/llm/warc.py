@@ -7,14 +7,16 @@ shuffle of the html. Each task packs its records, one gzip member each, into arc
 size. An archive is one row of the written table: its name, its bytes (a valid `.warc.gz` file),
 and its captures (url key, offset, length).
 
-Index: captures are sorted by their url key, whose host is reversed (`org,example)/path`), and
-cut into compressed blocks of BLOCK_LINES lines; the directory holds the first and last key of
-each block, and the range of keys of each part of the index.
+Index: captures are sorted by their url key, whose host is reversed (`org,example)/path`), in parts
+of about PART_LINES, and cut into compressed blocks of BLOCK_LINES lines; the directory holds the
+first and last key of each block, and the range of keys of each part of the index.
 
-Reading: wanted keys find their part by binary search in the table of parts, whose number is that
-of the tasks that sorted the index and is checked; within a part they find their blocks by binary
-search in the directory, and only those are unpacked. The lines found are joined to the archives,
-and each record is read from its byte range alone.
+Reading: wanted keys find their part by binary search in the table of parts, whose number is
+checked, and their blocks by binary search in the directory of the part, which is read without the
+blocks themselves. A part that many keys fall in is searched by several tasks, each with a copy of
+its directory. Only the blocks found are moved and unpacked. Their lines of wanted keys are joined
+to the archives, whose partitions follow their bytes, and each record is read from its byte range
+alone.
 
 Null html is an empty payload. A null url is written as `urn:x-page:` with the id. A row with a
 null id is a response, and no response for others. Rows that repeat an id are records of their
@@ -38,21 +40,29 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opinara.llm.batches import blocks, texts
+from opinara.llm.batches import blocks, task_number, texts
 from opinara.llm.salting import SALTS, salted_join
+from opinara.operators.joins import keyed_lookup
 from opinara.session import materialize
 
 ARCHIVE_BYTES = 4 << 20
 ARCHIVE_RECORDS = 2000
 BLOCK_LINES = 512
+PART_LINES = 1_000_000
 MAX_PARTS = 100_000
+#: Wanted keys that one task looks up in a directory.
+KEYS_PER_TASK = 250_000
+#: Compressed bytes of archives that one task reads, more where that makes over READ_TASKS tasks.
+READ_BYTES = 16 << 20
+READ_TASKS = 50_000
 LEAST_PAYLOAD = 0
 DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 ARCHIVES = (
-    "archive string, content binary, "
+    "archive string, bytes long, content binary, "
     "captures array<struct<key: string, offset: long, length: long>>"
 )
+LINES = "key string, archive string, offset long, length long"
 URL = re.compile(r"(?s)^.*?://([^/?#]*)(.*)$")
 
 
@@ -138,7 +148,7 @@ def _originals(pages: DataFrame, key: str, least: int) -> DataFrame:
 
 def _payload_marks() -> list[Column]:
     payload = F.coalesce("html", F.lit(""))
-    return [F.sha1(payload.cast("binary")).alias("sha"), F.octet_length(payload).alias("bytes")]
+    return [F.sha2(payload, 256).alias("sha"), F.octet_length(payload).alias("bytes")]
 
 
 def write(pages: DataFrame, key: str = "page_id", least: int = LEAST_PAYLOAD) -> Collection:
@@ -154,7 +164,8 @@ def write(pages: DataFrame, key: str = "page_id", least: int = LEAST_PAYLOAD) ->
     lines = archives.select("archive", F.explode("captures").alias("c")).select(
         "c.key", "archive", "c.offset", "c.length"
     )
-    tasks = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    captures = archives.agg(F.sum(F.size("captures"))).first()[0] or 0
+    tasks = task_number(pages.sparkSession, captures, PART_LINES)
     ordered = lines.repartitionByRange(tasks, "key", "archive", "offset").sortWithinPartitions(
         "key", "archive", "offset"
     )
@@ -175,8 +186,13 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             pa.struct([("key", pa.string()), ("offset", pa.int64()), ("length", pa.int64())])
         )
         return pa.RecordBatch.from_arrays(
-            [pa.array([name]), pa.array([bytes(content)], pa.binary()), pa.array([captures], kind)],
-            ["archive", "content", "captures"],
+            [
+                pa.array([name]),
+                pa.array([len(content)], pa.int64()),
+                pa.array([bytes(content)], pa.binary()),
+                pa.array([captures], kind),
+            ],
+            ["archive", "bytes", "content", "captures"],
         )
 
     for block in blocks(batches, "html"):
@@ -217,7 +233,10 @@ def _index_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def lookup(collection: Collection, keys: DataFrame) -> DataFrame:
-    """`key, archive, offset, length` of all captures of the distinct `key`s asked for."""
+    """`key, archive, offset, length` of all captures of the distinct `key`s asked for.
+
+    Runs jobs: the keys with their parts and the lines of the blocks found are written.
+    """
     ranges = collection.parts.limit(MAX_PARTS + 1).collect()
     if len(ranges) > MAX_PARTS:
         raise ValueError(f"over {MAX_PARTS} parts of the index")
@@ -236,13 +255,29 @@ def lookup(collection: Collection, keys: DataFrame) -> DataFrame:
                 [pa.array(found, pa.string()), pa.array(parts, pa.int32())], ["key", "part"]
             )
 
-    wanted = keys.select("key").distinct().mapInArrow(assigned, "key string, part int")
-    schema = "key string, archive string, offset long, length long"
-    return (
-        wanted.groupBy("part")
-        .cogroup(collection.index.groupBy("part"))
-        .applyInPandas(_searched, schema)
+    wanted = keys.select("key").filter("key IS NOT NULL").distinct()
+    wanted = materialize(wanted.mapInArrow(assigned, "key string, part int"), "wanted-keys")
+    lines = wanted_blocks(collection, wanted).mapInArrow(_unpacked, LINES)
+    return keyed_lookup(materialize(lines, "lines"), wanted, "key", "left_semi")
+
+
+def wanted_blocks(collection: Collection, wanted: DataFrame) -> DataFrame:
+    """The index blocks whose range holds one of the keys `wanted(key, part)`."""
+    # A row for each part at most, whose number is checked.
+    crowds = wanted.groupBy("part").agg(
+        F.ceil(F.count(F.lit(1)) / KEYS_PER_TASK).cast("int").alias("salts")
+    )
+    salt = F.pmod(F.xxhash64("key"), F.col("salts")).cast("int").alias("salt")
+    every = F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")
+    searched = wanted.join(F.broadcast(crowds), "part").select("part", salt, "key")
+    directory = collection.index.select("part", "block", "first", "last")
+    directory = directory.join(F.broadcast(crowds), "part").select(*directory.columns, every)
+    found = (
+        searched.groupBy("part", "salt")
+        .cogroup(directory.groupBy("part", "salt"))
+        .applyInPandas(_searched, "part int, block int")
     )
+    return collection.index.join(found.distinct(), ["part", "block"], "left_semi")
 
 
 def page_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -253,29 +288,42 @@ def page_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], ["key"])
 
 
-def _searched(keys: pd.DataFrame, index: pd.DataFrame) -> pd.DataFrame:
-    """Lines of the wanted keys of one part; blocks without one stay packed."""
-    index = index.sort_values("block")
-    firsts, lasts, packed = (index[c].tolist() for c in ("first", "last", "lines"))
-    wanted: dict[int, set[str]] = {}
+def _searched(keys: pd.DataFrame, directory: pd.DataFrame) -> pd.DataFrame:
+    """Blocks of one part that may hold one of the keys."""
+    directory = directory.sort_values("block")
+    firsts, lasts, numbers = (directory[c].tolist() for c in ("first", "last", "block"))
+    found: set[int] = set()
     for key in keys["key"]:
-        for at in range(bisect_left(lasts, key), bisect_right(firsts, key)):
-            wanted.setdefault(at, set()).add(key)
-    found = []
-    for at, names in wanted.items():
-        for line in zlib.decompress(packed[at]).decode("utf-8", "surrogatepass").split("\n"):
-            key, archive, offset, length = line.rsplit("\t", 3)
-            if key in names:
-                found.append((key, archive, int(offset), int(length)))
-    return pd.DataFrame(found, columns=["key", "archive", "offset", "length"])
+        found.update(range(bisect_left(lasts, key), bisect_right(firsts, key)))
+    part = directory["part"].iloc[0] if found else 0
+    return pd.DataFrame({"part": part, "block": [numbers[at] for at in sorted(found)]})
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The lines of index blocks."""
+    for batch in batches:
+        for packed in batch.column("lines").to_pylist():
+            lines = zlib.decompress(packed).decode("utf-8", "surrogatepass").split("\n")
+            keys, archives, offsets, lengths = zip(*(line.rsplit("\t", 3) for line in lines))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(keys, pa.string()),
+                    pa.array(archives, pa.string()),
+                    pa.array(map(int, offsets), pa.int64()),
+                    pa.array(map(int, lengths), pa.int64()),
+                ],
+                ["key", "archive", "offset", "length"],
+            )
 
 
 def read(collection: Collection, located: DataFrame) -> DataFrame:
     """The records at the places of `lookup`: ids, payload sizes and digests, kinds, html.
 
-    An archive holds at most ARCHIVE_RECORDS records, so its list of ranges is bounded.
+    An archive holds at most ARCHIVE_RECORDS records, so its list of ranges is bounded. Runs a job.
     """
-    ranges = located.groupBy("archive").agg(
+    total = collection.archives.agg(F.sum("bytes")).first()[0] or 0
+    tasks = max(1, -(-total // max(READ_BYTES, total // READ_TASKS)))
+    ranges = located.repartition(tasks, "archive").groupBy("archive").agg(
         F.collect_list(F.struct("key", "offset", "length")).alias("ranges")
     )
     schema = (
@@ -284,6 +332,7 @@ def read(collection: Collection, located: DataFrame) -> DataFrame:
     )
     return (
         collection.archives.select("archive", "content")
+        .repartition(tasks, "archive")
         .join(ranges, "archive")
         .select("content", "ranges")
         .mapInArrow(_records, schema)

@@ -84,6 +84,41 @@ def test_lookup_of_some_urls(spark):
     assert sorted(r["html"] for r in got) == sorted(h for _, u, h in rows if u in wanted)
 
 
+@pytest.mark.parametrize("keys_per_task", [1, 250_000])
+def test_only_blocks_of_wanted_keys_are_unpacked(spark, monkeypatch, keys_per_task):
+    monkeypatch.setattr(warc, "KEYS_PER_TASK", keys_per_task)
+    rows = [(i, f"http://h{i:04d}.org/", f"page {i}") for i in range(8000)]
+    rows += [(9000 + i, "http://hot.org/", f"hot {i}") for i in range(1500)]
+    collection = warc.write(pages(spark, rows))
+    names = ["http://h0005.org/", "http://h7999.org/", "http://hot.org/", "http://hot.org/absent", "http://a.net/"]
+    keys = [(warc.url_key(u),) for u in names * 2] + [(None,)]
+    wanted = spark.createDataFrame(keys, "key string")
+    got = warc.lookup(collection, wanted)
+    assert got.count() == 1502
+    assert sorted(r["html"] for r in warc.read(collection, got).collect()) == sorted(
+        [rows[5][2], rows[7999][2], *(h for _, u, h in rows if u == "http://hot.org/")]
+    )
+    lines = collection.index.collect()
+    inside = sum(any(b["first"] <= k <= b["last"] for (k,) in keys if k) for b in lines)
+    parts = collection.parts.collect()
+    assigned = [
+        (k, p["part"]) for k in {k for (k,) in keys if k} for p in parts if p["first"] <= k <= p["last"]
+    ]
+    frame = spark.createDataFrame(assigned, "key string, part int")
+    assert warc.wanted_blocks(collection, frame).count() == inside < len(lines) / 2
+
+
+@pytest.mark.parametrize("lines, size", [(20, 1), (20, 1 << 30)])
+def test_parts_and_reading_tasks_follow_the_input(spark, monkeypatch, lines, size):
+    monkeypatch.setattr(warc, "PART_LINES", lines)
+    monkeypatch.setattr(warc, "READ_BYTES", size)
+    monkeypatch.setattr(warc, "READ_TASKS", 5)
+    rows = [(i, f"http://h{i}.org/", f"page {i}") for i in range(600)]
+    collection, records = read_all(spark, pages(spark, rows))
+    assert collection.parts.count() > 20
+    assert sorted(r["html"] for r in records.collect()) == sorted(h for _, _, h in rows)
+
+
 def test_least_payload_and_empty_table(spark):
     frame = pages(spark, [(1, "http://a/", "same"), (2, "http://b/", "same"), (3, "http://c/", "s"), (4, "http://d/", "s")])
     collection = warc.write(frame, least=3)
