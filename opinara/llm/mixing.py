@@ -32,6 +32,7 @@ from opinara.session import materialize
 MAX_PATTERNS = 100_000
 MAX_PASSES = 3
 BUCKET_DOCS = 512
+FAN = 1024
 WEIGHTS = (1, 2, 3)
 SEED = 7
 WORD = r"[^\x20\x09-\x0D]+"
@@ -182,6 +183,38 @@ def _boundary(frame: pd.DataFrame) -> pd.DataFrame:
     return frame
 
 
+def _borders(sums: DataFrame, buckets: int) -> DataFrame:
+    """`pattern_key, border, left`: the bucket in which a pattern's `rest` words are reached.
+
+    `sums(pattern_key, bucket, rest, words)` holds `buckets` buckets a pattern at most. Runs of
+    FAN ** n buckets are summed, then only the run of the border by runs of FAN ** (n - 1) and so
+    on, so that a window sees at most FAN rows of a pattern however many buckets it has.
+    """
+    step = 1
+    while step * FAN < buckets:
+        step *= FAN
+    upto = Window.partitionBy("pattern_key").orderBy("run")
+    inside = sums.withColumn("left", F.col("rest"))
+    while True:
+        run = F.floor(F.col("bucket") / step)
+        found = (
+            inside.groupBy("pattern_key", "left", run.alias("run"))
+            .agg(F.sum("words").alias("words"))
+            .withColumn("reached", F.sum("words").over(upto))
+            .filter("reached > left")
+            .withColumn("left", F.col("left") + F.col("words") - F.col("reached"))
+            .groupBy("pattern_key")
+            .agg(F.min(F.struct("run", "left")).alias("b"))
+            .select("pattern_key", F.col("b.run").alias("border"), F.col("b.left").alias("left"))
+        )
+        if step == 1:
+            return found
+        # One row a pattern at most, whose number is checked.
+        inside = sums.join(F.broadcast(found), "pattern_key").filter(run == F.col("border"))
+        inside = inside.drop("border")
+        step //= FAN
+
+
 def mix(
     docs: DataFrame,
     sources: Column,
@@ -250,18 +283,8 @@ def mix(
     placed = sized.join(F.broadcast(plan_frame), "pattern_key").withColumn(
         "bucket", F.shiftright(F.col("place") * F.col("buckets"), 31)
     )
-    before = Window.partitionBy("pattern_key").orderBy("bucket")
-    sums_before = F.sum("words").over(before)
-    left = (F.col("rest") + F.col("words") - F.col("reached")).alias("left")
-    border = (
-        placed.groupBy("pattern_key", "bucket", "rest")
-        .agg(F.sum("size").alias("words"))
-        .withColumn("reached", sums_before)
-        .filter("reached > rest")
-        .groupBy("pattern_key")
-        .agg(F.min(F.struct("bucket", left)).alias("b"))
-        .select("pattern_key", F.col("b.bucket").alias("border"), F.col("b.left").alias("left"))
-    )
+    by_bucket = placed.groupBy("pattern_key", "bucket", "rest").agg(F.sum("size").alias("words"))
+    border = _borders(materialize(by_bucket, "buckets"), max((row[3] for row in plan), default=1))
     # One row per pattern at most, whose number is checked above.
     placed = placed.join(F.broadcast(border), "pattern_key", "left")
     clear = placed.filter("border IS NULL OR bucket <> border").withColumn(

@@ -52,6 +52,26 @@ def test_flow_is_full_and_cheapest(seed):
     assert (-sum(sum(f.values()) for f in flows), cost(flows, supplies)) == best
 
 
+@pytest.mark.parametrize("fan, buckets", [(2, 64), (3, 30), (1024, 30), (3, 1)])
+def test_borders_are_those_of_running_sums(spark, monkeypatch, fan, buckets):
+    monkeypatch.setattr(mixing, "FAN", fan)
+    draw = random.Random(fan * buckets)
+    rests = {"a": 150, "b": 0, "c": 10**6, "d": 37}
+    sums = {n: {b: draw.randrange(0, 30) for b in range(buckets) if draw.random() < 0.8 or b == 0} for n in rests}
+    want = {}
+    for name, by_bucket in sums.items():
+        left = rests[name]
+        for bucket in sorted(by_bucket):
+            if by_bucket[bucket] > left:
+                want[name] = (bucket, left)
+                break
+            left -= by_bucket[bucket]
+    rows = [(n, b, rests[n], w) for n, found in sums.items() for b, w in found.items()]
+    frame = spark.createDataFrame(rows, "pattern_key string, bucket long, rest long, words long")
+    got = mixing._borders(frame, buckets).collect()
+    assert {r["pattern_key"]: (r["border"], r["left"]) for r in got} == want
+
+
 def test_sources_come_near_their_targets(spark):
     draw = random.Random(1)
     rows = [
