@@ -3,10 +3,12 @@
 The lexicon holds the terms whose inverse document frequency over all documents lies in a band:
 terms in at least LEAST_SHARE and at most MOST_SHARE of them. Its size is at most the mean number
 of distinct terms of a document over LEAST_SHARE, however many documents there are. Each of
-LEXICONS random subsets of it, to which a term belongs by its own hash, gives one number: a hash
-of the document's sorted distinct terms that the subset keeps. The fingerprint is the list of
-these numbers in hex, 0 for a subset that keeps none. Documents without a term in the band are
-fingerprinted by all their terms; those without words have zeros only.
+LEXICONS random subsets of it gives one number of 32 bits: a hash of the document's distinct terms
+that the subset keeps, the same in any order. A term draws its subsets by hashes of its own: one
+always, so that no term is without, and another with probability EXTRA. So subsets overlap, and each
+keeps about (1 + EXTRA) / LEXICONS of the lexicon. The fingerprint is the list of these numbers in
+hex, 0 for a subset that keeps none. Documents without a term in the band are fingerprinted by all
+their terms; those without words have zeros only.
 
 The likeness of two fingerprints is the share of equal numbers among the subsets that keep a term
 of either document, and 1 if no subset does. Small subsets make it fall with the share of
@@ -28,14 +30,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opinara.llm.batches import blocks, map_blocks, texts
+from opinara.llm.batches import blocks, map_blocks, task_number, texts
 from opinara.llm.frequent import frequent
 from opinara.llm.words import ODD, WordHasher, mixed
 
 LEAST_SHARE, MOST_SHARE = 0.002, 0.2
 LEXICONS = 128
-DIGITS = 4
+DIGITS = 8
+EXTRA = 0.5
 BLOCK_BYTES = 1 << 20
+#: Bytes of text that one task sorts and compares.
+RUN_BYTES = 256 << 20
 EDITED = (
     ("id", "long"),
     ("n_chars", "long"),
@@ -76,16 +81,19 @@ class Fingerprinter:
         fresh[1:] = (found[1:] != found[:-1]) | (owner[1:] != owner[:-1])
         found, owner = found[fresh], owner[fresh]
         sums = np.zeros(len(counts) * LEXICONS, dtype=np.uint64)
-        code = mixed(found + ODD)
-        subset = (code >> np.uint64(40)) % np.uint64(LEXICONS)
-        np.add.at(sums, owner * LEXICONS + subset.astype(np.int64), mixed(code))
+        first = mixed(found + ODD)
+        second = mixed(first + ODD)
+        also = (second >> np.uint64(40)) < np.uint64(int(EXTRA * (1 << 24)))
+        for code, whose in ((first, owner), (second[also], owner[also])):
+            subset = (code % np.uint64(LEXICONS)).astype(np.int64)
+            np.add.at(sums, whose * LEXICONS + subset, mixed(code))
         number = mixed(sums) >> np.uint64(64 - 4 * DIGITS)
         number = np.where(sums == 0, 0, np.maximum(number, 1))
         return number.reshape(len(counts), LEXICONS)
 
 
 def as_text(numbers: np.ndarray) -> list[str]:
-    return [row.tobytes().hex() for row in numbers.astype(">u2")]
+    return [row.tobytes().hex() for row in numbers.astype(">u4")]
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -123,13 +131,15 @@ def in_order(docs: DataFrame, key: str = "doc_id", column: str = "text") -> Data
     Documents are ordered by id and `mark`, a hash of the text. A range partitioning of these keys
     alone, which samples them, cuts the order into runs of about equal numbers of rows, one a task;
     a run ends with a copy (`last`) of the document that follows it, after the last run the first
-    document. Only the first key of each run comes to the driver. The texts are shuffled once.
+    document. Only the first key of each run comes to the driver. The texts are shuffled once, in
+    runs of about RUN_BYTES or as many as the session has shuffle partitions.
     """
     spark = docs.sparkSession
     rows = docs.select(
         F.col(key).cast("long").alias("id"), F.coalesce(column, F.lit("")).alias("text")
     ).withColumn("mark", F.xxhash64("text"))
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    size = docs.agg(F.sum(F.octet_length(column))).first()[0] or 0
+    tasks = task_number(spark, size, RUN_BYTES)
     keys = rows.select(F.col("id").isNotNull().alias("known"), "id", "mark")
     found = (
         keys.repartitionByRange(tasks, "known", "id", "mark")

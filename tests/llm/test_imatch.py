@@ -66,6 +66,25 @@ def test_runs_are_even_whatever_the_ids(spark, outlier):
         assert run[-1]["last"] and key(run[-1]) == key(following) and not any(r["last"] for r in run[:-1])
 
 
+def test_runs_follow_the_bytes(spark, monkeypatch):
+    monkeypatch.setattr(imatch, "RUN_BYTES", 500)
+    docs = spark.createDataFrame([(i, "t" * 50) for i in range(1000)], "doc_id long, text string")
+    assert imatch.in_order(docs).select("run").distinct().count() > 50
+
+
+def test_subsets_overlap_and_leave_no_term_out():
+    printer = imatch.Fingerprinter(np.empty(0, np.uint64))
+    terms = [f"term{i}" for i in range(4000)]
+    kept = (printer.numbers(terms) != 0).sum(axis=1)
+    assert kept.min() == 1 and kept.max() == 2
+    assert abs(kept.mean() - 1 - imatch.EXTRA) < 0.05
+    numbers = printer.numbers(terms)
+    assert len(np.unique(numbers[numbers != 0])) == kept.sum()  # 32 bits keep terms apart
+    assert all(len(t) == 8 * imatch.LEXICONS for t in imatch.as_text(numbers[:3]))
+    sizes = (numbers != 0).sum(axis=0)
+    assert sizes.min() > 0.5 * sizes.mean() and sizes.max() < 1.6 * sizes.mean()
+
+
 def test_lexicon_is_the_band(spark):
     texts = [("common rare" if i == 0 else f"common mid only{i}") if i < 3000 else "common" for i in range(4000)]
     texts = [t.replace("mid", "mid" if i % 10 == 0 else f"own{i}") for i, t in enumerate(texts)]
