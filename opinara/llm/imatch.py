@@ -37,7 +37,7 @@ from opinara.llm.words import ODD, WordHasher, mixed
 LEAST_SHARE, MOST_SHARE = 0.002, 0.2
 LEXICONS = 128
 DIGITS = 8
-EXTRA = 0.5
+EXTRA = 0.125
 BLOCK_BYTES = 1 << 20
 #: Bytes of text that one task sorts and compares.
 RUN_BYTES = 256 << 20
