@@ -1,9 +1,12 @@
 """Exact document frequencies of the frequent items of a corpus, in two bounded passes.
 
 An item of at least a `share` of all documents has half of its documents, or more, in blocks
-where it reaches half the share. So blocks report only such items, and an item whose reports
-reach half the share is a candidate; there are at most 2 / share times the mean number of items
-of a document. The second pass counts the candidates exactly.
+where it reaches half the share: elsewhere it has less than half the share of them all. So blocks
+report only such items, and an item whose reports reach the wanted number less half the share is a
+candidate; there are at most 2 / share times the mean number of items of a document. The second
+pass counts the candidates exactly. The smaller the share, the larger the blocks must be for few
+reports: a block of fewer than 2 / share documents reports all its items. A block is hashed in
+small parts, of which only the distinct items of each document stay.
 """
 
 from __future__ import annotations
@@ -15,9 +18,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opinara.llm.batches import map_blocks, texts
+from opinara.llm.batches import blocks, map_blocks, texts
 
 BLOCK_BYTES = 4 << 20
+HASHED_BYTES = 1 << 19
 #: Of texts: hashes of all their items, and the number of each text.
 Items = Callable[[Sequence[str]], tuple[np.ndarray, np.ndarray]]
 
@@ -33,14 +37,25 @@ def document_counts(items: Items, texts: Sequence[str]) -> tuple[np.ndarray, np.
     return np.unique(found[fresh], return_counts=True)
 
 
+def block_counts(items: Items, block: pa.RecordBatch, column: str) -> tuple[np.ndarray, np.ndarray]:
+    """The same of a block of rows, hashed in parts."""
+    parts = (document_counts(items, texts(p, column)) for p in blocks([block], column, HASHED_BYTES))
+    found = np.concatenate([np.repeat(*p) for p in parts])
+    found.sort()
+    starts = np.flatnonzero(np.append(True, found[1:] != found[:-1])[: len(found)])
+    return found[starts], np.diff(np.append(starts, len(found)))
+
+
 def frequent(
     docs: DataFrame,
     column: str,
     items: Callable[[], Items],
     share: float,
     block_bytes: int = BLOCK_BYTES,
+    least: int = 1,
 ) -> tuple[int, np.ndarray, np.ndarray]:
-    """Number of rows, sorted items of at least `share` of them, and their frequencies.
+    """Number of rows, sorted items of at least `share` of them, and `least` rows, and their
+    frequencies.
 
     `items` makes the function that finds a text's items. Null texts count as empty ones.
     """
@@ -50,13 +65,14 @@ def frequent(
         find = items()
 
         def apply(block):
-            found, counts = document_counts(find, texts(block, column))
+            found, counts = block_counts(find, block, column)
             often = counts >= share / 2 * block.num_rows
             return _rows(found[often], counts[often])
 
         return apply
 
-    candidates, _ = _summed(docs, column, reports, share / 2 * total, block_bytes)
+    wanted_rows = max(share * total, least)
+    candidates, _ = _summed(docs, column, reports, wanted_rows - share / 2 * total, block_bytes)
     if not len(candidates):
         return total, candidates, np.empty(0, dtype=np.int64)
     wanted = docs.sparkSession.sparkContext.broadcast(candidates)
@@ -65,13 +81,13 @@ def frequent(
         find = items()
 
         def apply(block):
-            found, counts = document_counts(find, texts(block, column))
+            found, counts = block_counts(find, block, column)
             known = np.isin(found, wanted.value, assume_unique=True)
             return _rows(found[known], counts[known])
 
         return apply
 
-    return total, *_summed(docs, column, exact, share * total, block_bytes)
+    return total, *_summed(docs, column, exact, wanted_rows, block_bytes)
 
 
 def _rows(found: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:

@@ -194,3 +194,31 @@ def test_components(spark):
     frame = spark.createDataFrame(edges + [(5000, 5000), (None, 1)], "u long, v long")
     assert {r["node"]: r["label"] for r in components(frame).collect()} == want
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_rare_repeated_shingles_have_their_own_weight(spark):
+    """A passage of three of forty texts weighs less than the words of one text alone."""
+    texts = [" ".join(f"t{i}x{k}" for k in range(30)) for i in range(40)]
+    for i in range(3):
+        texts[i] = "a passage that three texts share word by word " + texts[i]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    find = lambda: near_dedup.Shingler().shingles
+    counted = near_dedup.frequent(docs, "text", find, near_dedup.FINE, least=2)
+    assert counted[0] == 40 and sorted(counted[2].tolist()) == [3] * 5
+    weights = near_dedup.Weights(*counted, near_dedup.FINE)
+    found = weights.each(["a passage that three texts", "t0x0 t0x1 t0x2 t0x3 t0x4"])
+    assert found[0][1][0] == pytest.approx(2 + near_dedup.FALL * math.log10(40 / 3 / 10))
+    assert found[1][1][0] == pytest.approx(2 + near_dedup.FALL * math.log10(40 / 10))
+
+
+def test_idf_decides_between_classes(spark):
+    """Two pairs of equal overlap: shingles of many texts hold less together than rare ones."""
+    common = [f"c{k}" for k in range(46)]
+    rare = [f"r{k}" for k in range(46)]
+    texts = [" ".join([*base, *(f"{name}{i}x{k}" for k in range(5))])
+             for base, name, n in ((common, "m", 30), (rare, "n", 2)) for i in range(n)]
+    texts += [" ".join(f"f{i}x{k}" for k in range(20)) for i in range(400)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["class_id"] for r in near_dedup.classes(docs, heavy=near_dedup.FINE).collect()}
+    assert got[30] == got[31] == 30
+    assert len({got[i] for i in range(30)}) == 30
