@@ -269,10 +269,9 @@ def sentiment_label(t: Tables) -> DataFrame:
 
 @query
 def nonempty_tokens(t: Tables) -> DataFrame:
-    raw = t.reviews.select("review_id", fn.lowercase_text(F.col("reviewText")).alias("text"))
-    return reviews.nonempty_tokens(reviews.explode_words(raw)).groupBy("review_id", "word").agg(
-        F.count(F.lit(1)).alias("n")
-    )
+    pieces = fn.split_words(fn.lowercase_text(F.col("reviewText")))
+    raw = t.reviews.select("review_id", pieces.alias("words"))
+    return reviews.nonempty_tokens(word_stats.counted_words(raw, ["review_id"]))
 
 
 @query
@@ -314,8 +313,7 @@ def lowercase_text(t: Tables) -> DataFrame:
 
 @query
 def tokenize_strip(t: Tables) -> DataFrame:
-    words = reviews.explode_rows(t.words.select("review_id", "words"), "words", "word")
-    return words.groupBy("review_id", "word").agg(F.count(F.lit(1)).alias("n"))
+    return word_stats.counted_words(t.words, ["review_id"])
 
 
 @query

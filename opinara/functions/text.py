@@ -60,8 +60,9 @@ def token_count(text: Column) -> Column:
     return F.size(F.split(text, " "))
 
 
-def word_bag(words: Column) -> Column:
-    """Distinct non-empty words of an array with their counts, `array<struct<word, n>>`.
+def word_bag(words: Column, keep_empty: bool = False) -> Column:
+    """Distinct words of an array with their counts, `array<struct<word, n>>`, without the empty
+    word unless `keep_empty`.
 
     Sorting brings equal words together, so run starts give both the words and, by
     subtraction, their counts: n log n per row and no shuffle. The one-element outer arrays
@@ -86,4 +87,5 @@ def word_bag(words: Column) -> Column:
             ),
         )[0]
 
-    return F.transform(F.array(F.sort_array(F.array_remove(words, ""))), runs)[0]
+    counted = words if keep_empty else F.array_remove(words, "")
+    return F.transform(F.array(F.sort_array(counted)), runs)[0]

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from opinara.functions import text as fn
 from opinara.operators.joins import keyed_lookup
-from opinara.operators.reviews import POSITIVE, explode_words, nonempty_tokens
+from opinara.operators.reviews import POSITIVE, nonempty_tokens
+from opinara.session import materialize
 
 REVIEW = ["review_id", "sentiment"]
 
@@ -34,19 +35,36 @@ def unpack_bags(bags: DataFrame) -> DataFrame:
     return bags.select(*others, F.inline_outer("bag")).filter(F.col("word").isNotNull())
 
 
+def counted_words(rows: DataFrame, keys: list[str], words: str = "words") -> DataFrame:
+    """Occurrences of each word, the empty one too, of an array in the rows of each key:
+    `keys, word, n`. Runs jobs.
+
+    Words are counted within their row and the counts written. Only those of keys that several
+    rows share are added up by a shuffle: a task that groups the words of all its rows would hold
+    each of them in memory, although hardly any two belong together.
+    """
+    bags = rows.select(*keys, fn.word_bag(F.col(words), keep_empty=True).alias("bag"))
+    bags = materialize(bags, "bags")
+    shared = bags.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    shared = materialize(shared.select(*(F.col(k).alias(f"_{k}") for k in keys)), "shared-keys")
+    if shared.isEmpty():
+        return unpack_bags(bags)
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    several = unpack_bags(bags.join(shared, same, "left_semi")).groupBy(*keys, "word")
+    single = unpack_bags(bags.join(shared, same, "left_anti"))
+    return single.unionByName(several.agg(F.sum("n").alias("n")))
+
+
 def word_count(reviews: DataFrame, one_row_per_review: bool = False) -> DataFrame:
     """Occurrences of each word in each review: `review_id, sentiment, word, n`.
 
     Rows that share an id and a sentiment form one review. Callers that know there are none
-    save the shuffle with `one_row_per_review`.
+    save the search for them, which runs jobs, with `one_row_per_review`.
     """
     if one_row_per_review:
         return unpack_bags(bag_of_words(reviews).drop("review_len"))
-    return (
-        nonempty_tokens(explode_words(reviews.select(*REVIEW, "text")))
-        .groupBy(*REVIEW, "word")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    words = reviews.select(*REVIEW, fn.split_words(F.col("text")).alias("words"))
+    return nonempty_tokens(counted_words(words, REVIEW))
 
 
 def review_total(lines: DataFrame) -> DataFrame:

@@ -300,3 +300,16 @@ def test_close_scores_of_long_reviews_keep_their_order(spark):
     scored = spark.createDataFrame(rows, "review_id string, sentiment string, word string, tfidf double")
     kept = feature_selection(scored, 0.5, one_row_per_review=True)
     assert [r["word"] for r in kept.collect()] == ["b"]
+
+
+def test_words_are_counted_without_grouping_all_of_them(spark):
+    """Only keys of several rows are grouped by word; a null key is one key."""
+    rows = [(1, ["a", "b", "a", ""]), (2, ["a"]), (3, None), (None, ["c"])]
+    single = word_stats.counted_words(spark.createDataFrame(rows, "id long, words array<string>"), ["id"])
+    assert "Aggregate" not in single._jdf.queryExecution().executedPlan().toString()
+    want = [(1, "", 1), (1, "a", 2), (1, "b", 1), (2, "a", 1), (None, "c", 1)]
+    assert sorted(map(tuple, single.collect()), key=str) == sorted(want, key=str)
+    rows += [(1, ["a", "d"]), (None, ["c", "c"])]
+    shared = word_stats.counted_words(spark.createDataFrame(rows, "id long, words array<string>"), ["id"])
+    want = [(1, "", 1), (1, "a", 3), (1, "b", 1), (1, "d", 1), (2, "a", 1), (None, "c", 3)]
+    assert sorted(map(tuple, shared.collect()), key=str) == sorted(want, key=str)
