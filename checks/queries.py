@@ -217,7 +217,7 @@ def tsv_export(t: Tables) -> DataFrame:
 @query
 def overwrite_sink(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "training")
-    stage = writers.stage_training(nb.train_word_counts(t.counts))
+    stage = writers.stage_training(materialize(nb.train_word_counts(t.counts), "model-words"))
     for _ in range(2):
         writers.write_tsv(stage, path, mode="overwrite")
     return readers.read_stage(t.spark, path, "training")
@@ -226,7 +226,7 @@ def overwrite_sink(t: Tables) -> DataFrame:
 @query
 def merged_export(t: Tables) -> DataFrame:
     source, target = scratch_path(t.spark, "features"), scratch_path(t.spark, "merged")
-    writers.write_tsv(writers.stage_features(selection.feature_text(t.frames.features)), source)
+    writers.write_tsv(writers.stage_features(selection.feature_text(t.frames.selected)), source)
     writers.merged_export(t.spark, source, target)
     return readers.read_stage(t.spark, target, "features")
 
@@ -479,12 +479,12 @@ def tf_idf(t: Tables) -> DataFrame:
 
 @query
 def feature_selection(t: Tables) -> DataFrame:
-    return rounded(t.frames.features, "tfidf")
+    return rounded(t.frames.selected, "tfidf")
 
 
 @query
 def feature_text(t: Tables) -> DataFrame:
-    return selection.feature_text(t.frames.features)
+    return selection.feature_text(t.frames.selected)
 
 
 @query
@@ -504,7 +504,7 @@ def avg_tfidf_by_sentiment(t: Tables) -> DataFrame:
 
 @query
 def feature_word_frequency(t: Tables) -> DataFrame:
-    return reports.feature_word_frequency(t.frames.features)
+    return reports.feature_word_frequency(t.frames.selected)
 
 
 # Naive Bayes

@@ -14,6 +14,9 @@ from opinara.operators.reviews import POSITIVE, nonempty_tokens
 from opinara.session import materialize
 
 REVIEW = ["review_id", "sentiment"]
+#: Words whose frequencies are broadcast, at about a hundred bytes each.
+MAX_WORDS = 1_000_000
+WORDS_PER_TASK = 2_000_000
 
 
 def bag_of_words(reviews: DataFrame) -> DataFrame:
@@ -107,12 +110,36 @@ def document_frequency(counts: DataFrame) -> DataFrame:
     )
 
 
-def tf_idf(tf: DataFrame, frequencies: DataFrame, n_reviews: Column) -> DataFrame:
-    """tf * ln(N / df), unsmoothed: a word of every review scores 0."""
+def dealt_by_review(bags: DataFrame) -> DataFrame:
+    """Written bags shuffled by review. Runs a job.
+
+    The number of tasks follows the words: adaptive execution would merge partitions by the bytes
+    of the bags, which are a small part of those of the rows that they unpack to.
+    """
+    words = bags.agg(F.sum("review_len")).first()[0] or 0
+    least = int(bags.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return bags.repartition(max(least, -(-words // WORDS_PER_TASK)), *REVIEW)
+
+
+def few_words(frequencies: DataFrame) -> bool:
+    """Whether a table of words may be broadcast. Runs a job."""
+    return frequencies.count() <= MAX_WORDS
+
+
+def tf_idf(
+    tf: DataFrame, frequencies: DataFrame, n_reviews: Column, broadcast: bool = False
+) -> DataFrame:
+    """tf * ln(N / df), unsmoothed: a word of every review scores 0.
+
+    With `broadcast`, for `few_words`, the rows of `tf` stay where they are.
+    """
     df_table = frequencies.select("word", "df")
-    scored = keyed_lookup(
-        tf, df_table, "word", key_counts=df_table.withColumnRenamed("df", "n_rows")
-    )
+    if broadcast:
+        scored = tf.join(F.broadcast(df_table), "word")
+    else:
+        scored = keyed_lookup(
+            tf, df_table, "word", key_counts=df_table.withColumnRenamed("df", "n_rows")
+        )
     return scored.withColumn("tfidf", F.col("tf") * F.ln(n_reviews / F.col("df")))
 
 

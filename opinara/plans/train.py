@@ -31,14 +31,19 @@ class WordFrames:
     scored: DataFrame
     statistics: DataFrame
     one_row_per_review: bool
+    #: Scored words dealt out by review, where that needs no shuffle of words.
+    by_review: DataFrame | None = None
+
+    @cached_property
+    def selected(self) -> DataFrame:
+        """The selected words for one reader, who finds them dealt out by review if `by_review`."""
+        scored = self.scored if self.by_review is None else self.by_review
+        return selection.feature_selection(scored, one_row_per_review=self.one_row_per_review)
 
     @cached_property
     def features(self) -> DataFrame:
         """The selected words, written when first asked for."""
-        chosen = selection.feature_selection(
-            self.scored, one_row_per_review=self.one_row_per_review
-        )
-        return materialize(chosen, "features")
+        return materialize(self.selected, "features")
 
 
 def word_frames(
@@ -49,6 +54,8 @@ def word_frames(
 
     Written are the counted words, which document frequencies and the score join pass over, the
     frequencies, which the join and the class totals share, and, on demand, the selected features.
+    Where the frequencies are few enough to be broadcast, words are scored where they are; for the
+    selection the bags are shuffled by review then, not the words they unpack to.
     """
     labelled = sentiment_label(reviews)
     if one_row_per_review:
@@ -59,12 +66,16 @@ def word_frames(
         tf, rows = materialize(word_stats.term_frequency(counts), "tf"), reviews
     n_reviews = word_stats.review_total(rows if lines is None else lines).scalar()
     frequencies = materialize(word_stats.document_frequency(tf), "frequencies")
-    scored = word_stats.tf_idf(tf, frequencies, n_reviews)
+    few, by_review = word_stats.few_words(frequencies), None
+    scored = word_stats.tf_idf(tf, frequencies, n_reviews, few)
     if one_row_per_review:
         statistics = word_stats.class_statistics_of_bags(bags, frequencies, n_reviews)
+        if few:
+            dealt = word_stats.bag_term_frequency(word_stats.dealt_by_review(bags))
+            by_review = word_stats.tf_idf(dealt, frequencies, n_reviews, few)
     else:
         statistics = word_stats.class_statistics(scored)
-    return WordFrames(tf, n_reviews, frequencies, scored, statistics, one_row_per_review)
+    return WordFrames(tf, n_reviews, frequencies, scored, statistics, one_row_per_review, by_review)
 
 
 def train_model(frames: WordFrames) -> tuple[DataFrame, DataFrame]:

@@ -313,3 +313,15 @@ def test_words_are_counted_without_grouping_all_of_them(spark):
     shared = word_stats.counted_words(spark.createDataFrame(rows, "id long, words array<string>"), ["id"])
     want = [(1, "", 1), (1, "a", 3), (1, "b", 1), (1, "d", 1), (2, "a", 1), (None, "c", 3)]
     assert sorted(map(tuple, shared.collect()), key=str) == sorted(want, key=str)
+
+
+def test_few_words_are_scored_and_selected_without_a_shuffle_of_words(spark):
+    """One exchange, that of the bags by review, lies below the selected words' texts."""
+    rows = [(i, 5.0 if i % 2 else 1.0, f"a b{i % 3} c{i % 5} c{i % 5} d") for i in range(40)]
+    frames = train.word_frames(spark.createDataFrame(rows, "review_id long, overall double, text string"))
+    texts = feature_text(frames.selected)
+    plan = texts._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning") == 1
+    wide = word_stats.tf_idf(frames.tf, frames.frequencies, frames.n_reviews)
+    assert sorted(map(tuple, wide.select(frames.scored.columns).collect())) == sorted(map(tuple, frames.scored.collect()))
+    assert sorted(map(tuple, feature_text(feature_selection(wide)).collect())) == sorted(map(tuple, texts.collect()))
