@@ -22,7 +22,7 @@ from opinara.operators import naive_bayes as nb
 from opinara.operators import selection
 from opinara.operators.joins import keyed_lookup
 from opinara.operators.reviews import POSITIVE
-from opinara.operators.word_stats import few_words, unpack_bags
+from opinara.operators.word_stats import unpack_bags
 from opinara.session import materialize
 
 #: Keys whose totals are broadcast, at about a hundred bytes each.
@@ -92,7 +92,6 @@ def train(train_bags: DataFrame, key: str) -> Models:
     counts = unpack_bags(train_bags.select(key, "review_id", "sentiment", "review_len", "bag"))
     reviews = materialize(_review_totals(train_bags, key), "keyed-reviews")
     frequencies = materialize(document_frequency(counts, key), "keyed-frequencies")
-    few = few_words(frequencies)
     frequencies = _with_totals(frequencies, reviews.select(key, "n_reviews"), key)
     scoring = F.col("df") < F.col("n_reviews")
     class_words = frequencies.groupBy(key).agg(
@@ -101,13 +100,12 @@ def train(train_bags: DataFrame, key: str) -> Models:
             for s in ("pos", "neg")
         )
     )
-    table = frequencies.select(key, "word", "n_reviews", "df")
-    if few:
-        joined = counts.join(F.broadcast(table), [key, "word"])
-    else:
-        key_counts = frequencies.select(key, "word", F.col("df").alias("n_rows"))
-        joined = keyed_lookup(counts, table, [key, "word"], key_counts=key_counts)
-    scored = joined.withColumn(
+    scored = keyed_lookup(
+        counts,
+        frequencies.select(key, "word", "n_reviews", "df"),
+        [key, "word"],
+        key_counts=frequencies.select(key, "word", F.col("df").alias("n_rows")),
+    ).withColumn(
         "tfidf", F.col("n") / F.col("review_len") * F.ln(F.col("n_reviews") / F.col("df"))
     )
     chosen = selection.top_fraction_per_group(
