@@ -29,7 +29,7 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate class, that with the smallest doc_id."""
-    return near_dedup.keep_one(docs, heavy=near_dedup.FINE)
+    return near_dedup.keep_one(docs, heavy=near_dedup.EXACT)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,6 +7,8 @@ candidate; there are at most 2 / share times the mean number of items of a docum
 pass counts the candidates exactly. The smaller the share, the larger the blocks must be for few
 reports: a block of fewer than 2 / share documents reports all its items. A block is hashed in
 small parts, of which only the distinct items of each document stay.
+
+`repeated` counts the items of every frequency, by a shuffle of one row for each item of a document.
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ from collections.abc import Callable, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from opinara.llm.batches import blocks, map_blocks, texts
@@ -28,13 +30,18 @@ Items = Callable[[Sequence[str]], tuple[np.ndarray, np.ndarray]]
 
 def document_counts(items: Items, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct items of texts and the number of the texts that hold each."""
+    return np.unique(document_items(items, texts)[0], return_counts=True)
+
+
+def document_items(items: Items, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct items of each text and the places of their texts, in the order of the items."""
     found, numbers = items(texts)
     owner = np.repeat(np.arange(len(numbers)), numbers)
     order = np.argsort(found, kind="stable")
     found, owner = found[order], owner[order]
     fresh = np.ones(len(found), dtype=bool)
     fresh[1:] = (found[1:] != found[:-1]) | (owner[1:] != owner[:-1])
-    return np.unique(found[fresh], return_counts=True)
+    return found[fresh], owner[fresh]
 
 
 def block_counts(items: Items, block: pa.RecordBatch, column: str) -> tuple[np.ndarray, np.ndarray]:
@@ -90,6 +97,34 @@ def frequent(
     return total, *_summed(docs, column, exact, wanted_rows, block_bytes)
 
 
+def repeated(docs: DataFrame, column: str, items: Callable[[], Items]) -> DataFrame:
+    """`block, item, n`: the items that several rows of `docs` hold, with the number of these rows,
+    for every block that holds the item, once or more often.
+
+    `docs` has the number of each row's `block`. What a task holds is a share of the items; the rows
+    of an item that is everywhere are spilled, not held.
+    """
+
+    def build():
+        find = items()
+
+        def apply(part):
+            found, owner = document_items(find, texts(part, column))
+            # Text by text, so that runs of equal blocks are compressed.
+            order = np.argsort(owner, kind="stable")
+            found, owner = found[order], owner[order]
+            block = part.column("block").take(pa.array(owner))
+            return pa.RecordBatch.from_arrays([block, pa.array(found.view(np.int64))], ["block", "item"])
+
+        return apply
+
+    held = map_blocks(
+        docs.select("block", column), column, build, "block int, item long", limit=HASHED_BYTES
+    )
+    number = F.count(F.lit(1)).over(Window.partitionBy("item"))
+    return held.withColumn("n", number).filter("n > 1")
+
+
 def _rows(found: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array(found.view(np.int64)), pa.array(counts.astype(np.int64))], ["item", "n"]

@@ -3,12 +3,13 @@
 Shingles are five lower-case words in a row (all words of a shorter text). A shingle's weight in
 a document is (1 + ln tf) * idf. The idf is 1 + log10(N / df) down to a tenth of the documents, so
 1 to 2; below that it rises by FALL for each tenth more, because a large group of edited copies must
-stay together, whose common shingles weigh less than the edits. Frequencies below the share `heavy`
-count as that share. So those that matter are at most 1 / heavy times the mean number of shingles of
-a document, however many documents there are, and `frequent` counts them exactly. The query and the
-pipeline take FINE: in up to 8,192 documents every repeated shingle has its own idf, in more of them
-each shingle of one in 4,096 or more. With `heavy` of 2 / N every frequency counts, by a table that
-grows with the input.
+stay together, whose common shingles weigh less than the edits. With `heavy` of EXACT, which the query
+and the pipeline take, every frequency counts: documents are dealt to blocks, `repeated` finds by a
+shuffle which shingles several documents hold, and each block gets the frequencies of its own, so no
+task holds a table of all of them. A document's frequencies stay beside its sketch for the steps that
+weigh its text again. With a share in `heavy`, frequencies below it count as that share. So those that
+matter are at most 1 / heavy times the mean number of shingles of a document, however many documents
+there are, and `frequent` counts them for a broadcast.
 
 Improved consistent weighted sampling draws SAMPLES pairs (shingle, quantile) per document; two
 documents agree in a sample with the probability of their weighted Jaccard similarity. The random
@@ -46,13 +47,13 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opinara.llm.batches import blocks, map_blocks, ragged, texts
+from opinara.llm.batches import blocks, map_blocks, ragged, small_batches, task_number, texts
 from opinara.llm.bitmaps import likely
 from opinara.llm.components import components
-from opinara.llm.frequent import frequent
+from opinara.llm.frequent import frequent, repeated
 from opinara.llm.salting import SALTS, salted_join
 from opinara.llm.words import ODD, WordHasher, mixed
-from opinara.session import materialize
+from opinara.session import materialize, release
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -60,6 +61,7 @@ BANDS, ROWS = 12, 4
 SAMPLES = BANDS * ROWS
 HEAVY = 0.1
 FINE = 1 / 4096
+EXACT = 0.0
 FALL = 0.2
 HEAVY_BLOCK_BYTES = 32 << 20
 SALT_ROWS = 256
@@ -70,6 +72,9 @@ SEED = 11
 TABLE_BITS = 16
 FLOAT_ROOM = 1e-5
 BLOCK_BYTES = 1 << 19
+#: Text of a block whose documents get their frequencies together, and blocks of a task.
+DEALT_BYTES = 4 << 20
+DEALT = 16
 
 
 class Shingler:
@@ -109,14 +114,20 @@ class Weights:
     def __init__(
         self, total: int, heavy: np.ndarray, frequencies: np.ndarray, share: float = HEAVY
     ):
-        self.shingler, self.heavy = Shingler(), heavy
+        self.shingler, self.total = Shingler(), total
+        self.heavy, self.frequencies = heavy, frequencies
         least = max(total * share, 1e-9)
         self.idf = idf(total / np.maximum(frequencies, least))
         # Of the other shingles, which are in fewer documents than `share` of them, or in one.
         self.rare = float(idf(1 / share if least >= 1 else max(total, 1)))
 
-    def of(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Sorted distinct shingles of each text, their weights, and their number."""
+    def of(
+        self, texts: Sequence[str], given: np.ndarray | None = None
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Sorted distinct shingles of each text, their weights, and their number.
+
+        `given` are the frequencies of all these shingles, where they are known.
+        """
         found, numbers = self.shingler.shingles(texts)
         ends = np.cumsum(numbers)
         parts = [
@@ -126,16 +137,30 @@ class Weights:
             return found, np.empty(0), numbers
         shingles = np.concatenate([p[0] for p in parts])
         weights = 1 + np.log(np.concatenate([p[1] for p in parts]))
-        if len(self.heavy):
-            at = np.minimum(np.searchsorted(self.heavy, shingles), len(self.heavy) - 1)
-            weights *= np.where(self.heavy[at] == shingles, self.idf[at], self.rare)
+        if given is not None:
+            weights *= idf(self.total / given)
+        elif len(self.heavy):
+            at, known = self._known(shingles)
+            weights *= np.where(known, self.idf[at], self.rare)
         else:
             weights *= self.rare
         return shingles, weights, np.array([len(p[0]) for p in parts])
 
-
-    def each(self, texts: Sequence[str]) -> list[tuple[np.ndarray, np.ndarray]]:
-        shingles, weights, numbers = self.of(texts)
+    def _known(self, shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.minimum(np.searchsorted(self.heavy, shingles), len(self.heavy) - 1)
+        return at, self.heavy[at] == shingles
+
+    def counts(self, shingles: np.ndarray) -> np.ndarray:
+        """Their frequencies, 1 for those that are not among the known ones."""
+        if not len(self.heavy):
+            return np.ones(len(shingles), dtype=np.int64)
+        at, known = self._known(shingles)
+        return np.where(known, self.frequencies[at], 1)
+
+    def each(
+        self, texts: Sequence[str], given: np.ndarray | None = None
+    ) -> list[tuple[np.ndarray, np.ndarray]]:
+        shingles, weights, numbers = self.of(texts, given)
         ends = np.cumsum(numbers)[:-1]
         return list(zip(np.split(shingles, ends), np.split(weights, ends)))
 
@@ -198,6 +223,25 @@ def _sums(weights: np.ndarray, numbers: np.ndarray) -> np.ndarray:
     return sums[ends] - sums[ends - numbers]
 
 
+SKETCH = "mark string, bands array<long>, total double"
+
+
+def _sketch(
+    block: pa.RecordBatch, column: str, weights: Weights, sampler: Sampler, counted: bool
+) -> pa.RecordBatch:
+    found = texts(block, column)
+    marks = [hashlib.sha256(t.encode("utf-8", "replace")).hexdigest()[:32] for t in found]
+    shingles, weight, numbers = weights.of(found)
+    keys = band_keys(sampler.codes(shingles, weight, numbers)).view(np.int64)
+    bands = ragged(keys.ravel(), np.where(numbers > 0, BANDS, 0), pa.int64())
+    columns = [block.column("id"), pa.array(marks), bands, pa.array(_sums(weight, numbers))]
+    names = ["id", "mark", "bands", "total"]
+    if counted:
+        columns.append(ragged(weights.counts(shingles), numbers, pa.int64()))
+        names.append("counts")
+    return pa.RecordBatch.from_arrays(columns, names)
+
+
 def sketches(docs: DataFrame, key: str, column: str, weighing) -> DataFrame:
     """`id, mark` of every row, `bands`, the keys of its bands, empty without words, and `total`,
     the sum of its weights."""
@@ -205,28 +249,40 @@ def sketches(docs: DataFrame, key: str, column: str, weighing) -> DataFrame:
     def build():
         weights = Weights(*weighing.value)
         sampler = Sampler(usual=weights.rare)
-
-        def apply(block):
-            found = texts(block, column)
-            marks = [hashlib.sha256(t.encode("utf-8", "replace")).hexdigest()[:32] for t in found]
-            shingles, weight, numbers = weights.of(found)
-            keys = band_keys(sampler.codes(shingles, weight, numbers)).view(np.int64)
-            return pa.RecordBatch.from_arrays(
-                [
-                    block.column("id"),
-                    pa.array(marks),
-                    ragged(keys.ravel(), np.where(numbers > 0, BANDS, 0), pa.int64()),
-                    pa.array(_sums(weight, numbers)),
-                ],
-                ["id", "mark", "bands", "total"],
-            )
-
-        return apply
+        return lambda block: _sketch(block, column, weights, sampler, counted=False)
 
     rows = docs.select(F.col(key).alias("id"), F.col(column).alias(column))
     kind = rows.schema["id"].dataType.simpleString()
-    schema = f"id {kind}, mark string, bands array<long>, total double"
-    return map_blocks(rows, column, build, schema, limit=BLOCK_BYTES)
+    return map_blocks(rows, column, build, f"id {kind}, {SKETCH}", limit=BLOCK_BYTES)
+
+
+def exact_sketches(docs: DataFrame, key: str, column: str) -> tuple[int, DataFrame]:
+    """The number of rows, and the same of every row by the frequencies of all shingles, with
+    `counts`, those of its sorted distinct shingles. Runs jobs."""
+    spark = docs.sparkSession
+    total, size = docs.agg(F.count(F.lit(1)), F.sum(F.octet_length(column))).first()
+    number = max(-(-(size or 0) // DEALT_BYTES), DEALT * task_number(spark, 0, 1))
+    dealt = F.pmod(F.xxhash64(key, column), F.lit(number)).cast("int").alias("block")
+    rows = docs.select(dealt, F.col(key).alias("id"), F.col(column).alias("text"))
+    known = materialize(repeated(rows, "text", lambda: Shingler().shingles), "repeated-shingles")
+    release(spark)
+    made = []
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        items = right.column("item").to_numpy().view(np.uint64)
+        items, first = np.unique(items, return_index=True)
+        weights = Weights(total, items, right.column("n").to_numpy()[first], EXACT)
+        if not made:
+            made.append(Sampler(usual=weights.rare))
+        parts = blocks(left.to_batches(), "text", BLOCK_BYTES)
+        found = [_sketch(p, "text", weights, made[0], counted=True) for p in parts]
+        return pa.Table.from_batches(found)
+
+    kind = rows.schema["id"].dataType.simpleString()
+    sketched = rows.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(
+        run, f"id {kind}, {SKETCH}, counts array<long>"
+    )
+    return total, sketched
 
 
 def _salted(frame: DataFrame, salts: Column) -> DataFrame:
@@ -237,6 +293,18 @@ def _salt(value: str, salts: Column) -> Column:
     return F.pmod(F.xxhash64(value), salts).cast("int").alias("salt")
 
 
+def _counts(contents: DataFrame) -> list[str]:
+    return [c for c in contents.columns if c == "counts"]
+
+
+def _body(rows: pa.StructArray | pa.RecordBatch) -> tuple[list[str], np.ndarray | None]:
+    """Texts and the frequencies of their shingles, None where they are not beside them."""
+    if isinstance(rows, pa.StructArray):
+        rows = pa.RecordBatch.from_struct_array(rows)
+    given = rows.column("counts").flatten().to_numpy() if "counts" in rows.schema.names else None
+    return texts(rows, "text"), given
+
+
 def verified(pairs: DataFrame, contents: DataFrame, weighing, least: float) -> DataFrame:
     """The pairs `u, v` whose texts have a similarity of `least` or more.
 
@@ -248,12 +316,13 @@ def verified(pairs: DataFrame, contents: DataFrame, weighing, least: float) -> D
     fan = pairs.groupBy(F.col("v").alias("id")).agg(F.max("near").alias("near"))
     fan = materialize(fan, "pair-ends")
     ends = likely(contents, "id", fan.select("id"))
+    body = F.struct("text", *_counts(contents))
     right = _salted(ends.join(fan, "id"), salts).select(
-        F.col("id").alias("v"), "salt", F.col("text").alias("right")
+        F.col("id").alias("v"), "salt", body.alias("right")
     )
     others = likely(contents, "id", pairs.select("u"))
     left = pairs.join(
-        others.select(F.col("id").alias("u"), F.col("text").alias("left")), "u"
+        others.select(F.col("id").alias("u"), body.alias("left")), "u"
     ).select("u", "v", "left", _salt("u", salts))
     joined = left.join(right, ["v", "salt"]).select("u", "v", "left", "right")
 
@@ -263,9 +332,10 @@ def verified(pairs: DataFrame, contents: DataFrame, weighing, least: float) -> D
             for start in range(0, batch.num_rows, PAIRS):
                 part = batch.slice(start, PAIRS)
                 ends = part.column("v").to_pylist()
-                texts_of = dict(zip(ends, part.column("right").to_pylist()))
-                right = dict(zip(texts_of, weights.each(list(texts_of.values()))))
-                left = weights.each(part.column("left").to_pylist())
+                place = {v: i for i, v in enumerate(ends)}
+                others = part.column("right").take(pa.array(list(place.values()), pa.int64()))
+                right = dict(zip(place, weights.each(*_body(others))))
+                left = weights.each(*_body(part.column("left")))
                 good = [similarity(a, right[v]) >= least - 1e-9 for a, v in zip(left, ends)]
                 yield part.select(["u", "v"]).filter(pa.array(good, pa.bool_()))
 
@@ -302,7 +372,7 @@ def _prefixes(contents: DataFrame, totals: DataFrame, weighing, least: float) ->
     def postings(batches):
         weights = Weights(*weighing.value)
         for block in blocks(batches, "text", BLOCK_BYTES):
-            shingles, weight, numbers = weights.of(texts(block, "text"))
+            shingles, weight, numbers = weights.of(*_body(block))
             owner = np.repeat(np.arange(len(numbers)), numbers)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -313,7 +383,7 @@ def _prefixes(contents: DataFrame, totals: DataFrame, weighing, least: float) ->
                 ["id", "token", "weight"],
             )
 
-    rows = contents.select("id", "text").mapInArrow(
+    rows = contents.select("id", "text", *_counts(contents)).mapInArrow(
         postings, f"id {kind}, token long, weight float"
     )
     often = rows.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
@@ -434,11 +504,24 @@ def classes(
 ) -> DataFrame:
     """Every row's id with `class_id`, the smallest id of its class, and `kept`. Runs jobs.
 
-    `heavy` is the share of the documents below which shingles weigh alike.
+    `heavy` is the share of the documents below which shingles weigh alike; with EXACT none do.
     """
-    counted = frequent(docs, column, lambda: Shingler().shingles, heavy, HEAVY_BLOCK_BYTES, 2)
-    weighing = docs.sparkSession.sparkContext.broadcast((*counted, heavy))
-    sketched = materialize(sketches(docs, key, column, weighing), "sketches")
+    with small_batches(docs.sparkSession):
+        return _classes(docs, key, column, least, heavy)
+
+
+def _classes(docs: DataFrame, key: str, column: str, least: float, heavy: float) -> DataFrame:
+    spark = docs.sparkSession
+    if heavy == EXACT:
+        total, sketched = exact_sketches(docs, key, column)
+        counted = (total, np.empty(0, np.uint64), np.empty(0, np.int64))
+        weighing = spark.sparkContext.broadcast((*counted, heavy))
+    else:
+        counted = frequent(docs, column, lambda: Shingler().shingles, heavy, HEAVY_BLOCK_BYTES, 2)
+        weighing = spark.sparkContext.broadcast((*counted, heavy))
+        sketched = sketches(docs, key, column, weighing)
+    sketched = materialize(sketched, "sketches")
+    release(spark)
     # Equal texts are one node, their smallest id; a hot text meets salted rows only.
     same = sketched.groupBy("mark").agg(F.min("id").alias("node"), F.count("id").alias("n"))
     same = materialize(same.filter("node IS NOT NULL"), "same-texts")
@@ -465,10 +548,15 @@ def classes(
     )
     involved = materialize(members.select(F.col("node").alias("id")).distinct(), "involved")
     everything = docs.select(F.col(key).alias("id"), F.coalesce(column, F.lit("")).alias("text"))
-    contents = materialize(
-        likely(everything, "id", involved).join(involved, "id").dropDuplicates(["id"]),
-        "candidates",
-    )
+    contents = likely(everything, "id", involved).join(involved, "id").dropDuplicates(["id"])
+    if counts := _counts(sketched):
+        # Rows that repeat an id may differ in text: the frequencies are those of the same text.
+        mark = F.substring(F.sha2(F.col("text").cast("binary"), 256), 1, 32)
+        beside = likely(sketched.select("id", "mark", *counts), "id", involved)
+        contents = contents.withColumn("mark", mark).join(
+            beside.dropDuplicates(["id", "mark"]), ["id", "mark"]
+        )
+    contents = materialize(contents, "candidates")
     # Weights bound the similarity: it is at most the lighter text's over the heavier one's.
     lighter, heavier = F.least("total", "first_total"), F.greatest("total", "first_total")
     pairs = (

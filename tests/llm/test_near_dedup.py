@@ -222,3 +222,62 @@ def test_idf_decides_between_classes(spark):
     got = {r["doc_id"]: r["class_id"] for r in near_dedup.classes(docs, heavy=near_dedup.FINE).collect()}
     assert got[30] == got[31] == 30
     assert len({got[i] for i in range(30)}) == 30
+
+
+def test_every_frequency_counts_however_many_documents(spark):
+    """A passage of two of 9,000 documents, fewer than one in 4,096, has the weight of two."""
+    texts = [f"t{i}a t{i}b t{i}c t{i}d t{i}e" for i in range(9000)]
+    texts[5] += " a passage that two texts share"
+    texts[6000] += " a passage that two texts share"
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    total, found = near_dedup.exact_sketches(docs, "doc_id", "text")
+    rows = {r["id"]: r for r in found.collect()}
+    assert total == len(rows) == 9000
+    rare, shared = (2 + near_dedup.FALL * math.log10(9000 / n / 10) for n in (1, 2))
+    for i in (5, 6000):
+        assert sorted(rows[i]["counts"]) == [1] * 5 + [2] * 2
+        assert rows[i]["total"] == pytest.approx(5 * rare + 2 * shared)
+    assert rows[7]["counts"] == [1] and rows[7]["total"] == pytest.approx(rare)
+
+
+def test_exact_classes_equal_brute_force(spark, rows, monkeypatch):
+    monkeypatch.setattr(near_dedup, "DEALT_BYTES", 1 << 12)
+    docs = spark.createDataFrame([(d, t, "x", 1) for d, t in rows], SCHEMA).repartition(5)
+    counts = [shingles(t or "") for _, t in rows]
+    df, total = Counter(s for c in counts for s in c), len(rows)
+    weights = [
+        {s: (1 + math.log(n)) * float(near_dedup.idf(total / df[s])) for s, n in c.items()} for c in counts
+    ]
+    edges = []
+    for i in range(total):
+        for j in range(i):
+            a, b = weights[i], weights[j]
+            low = sum(min(a[s], b[s]) for s in a.keys() & b.keys())
+            whole = sum(a.values()) + sum(b.values()) - low
+            if (rows[i][1] or "") == (rows[j][1] or "") or (whole and low / whole >= 0.8):
+                edges.append((rows[i][0], rows[j][0]))
+    labels = {d: d for d, _ in rows}
+    for _ in rows:
+        for a, b in edges:
+            labels[a] = labels[b] = min(labels[a], labels[b])
+    got = near_dedup.classes(docs, heavy=near_dedup.EXACT).collect()
+    assert {r["doc_id"]: r["class_id"] for r in got} == labels
+
+
+def test_exact_classes_of_repeated_null_and_no_rows(spark):
+    rows = [(1, "a b c d e f"), (1, "other words stand in this one"), (None, "a b c d e f"), (2, None), (3, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = near_dedup.classes(docs, heavy=near_dedup.EXACT).collect()
+    found = sorted(((r["doc_id"], r["class_id"]) for r in got), key=str)
+    assert found == [(1, 1), (1, 1), (2, 2), (3, 2), (None, None)]
+    nothing = spark.createDataFrame([], "doc_id long, text string")
+    assert near_dedup.classes(nothing, heavy=near_dedup.EXACT).count() == 0
+
+
+def test_batches_are_small_inside_only(spark):
+    from opinara.llm.batches import BATCHES, small_batches
+
+    before = {name: spark.conf.get(name) for name in BATCHES}
+    with small_batches(spark):
+        assert {name: spark.conf.get(name) for name in BATCHES} == BATCHES
+    assert {name: spark.conf.get(name) for name in BATCHES} == before
