@@ -306,3 +306,16 @@ def test_explode_words_and_nonempty(spark):
         (1, ""), (1, "a"), (1, "b"), (2, ""),
     ]
     assert nonempty_tokens(words).count() == 2
+
+
+def test_words_are_mapped_in_slices_of_bounded_size():
+    """What is made at once follows the words of a slice, not the rows of a batch."""
+    import pyarrow as pa
+
+    from opinara.functions.word_lists import SLICE_WORDS, map_words
+
+    rows = [["Running", "cats"] * (SLICE_WORDS // 8)] * 20 + [[], ["a"] * (2 * SLICE_WORDS), ["cats"]]
+    batch = pa.array([["left", "out"], *rows]).slice(1)
+    made = list(map_words([batch, batch.slice(0, 0)], str.lower))
+    assert [w for part in made for w in part.to_pylist()] == [[w.lower() for w in r] for r in rows]
+    assert max(len(part.flatten()) for part in made if len(part) > 1) <= SLICE_WORDS and len(made) > 5
